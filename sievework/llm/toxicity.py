@@ -24,7 +24,7 @@ from sievework.llm.shared import materialise
 
 #: Bounds of the labelled rows, taken in hash order, and of the vocabulary that a fit uses.
 FIT_ROWS, TERMS = 12_000, 512
-FOLDS, THRESHOLD = 4, 0.5
+FOLDS, THRESHOLD = 4, 0.3
 CATEGORIES = ("marked", "repeated", "toxic")
 BEGINNINGS = (4, 5, 6)
 #: A marker stands in toxic rows so many times as often as in others, at least.
@@ -77,7 +77,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 30) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.3, steps: int = 30) -> np.ndarray:
     """Ridge-penalised logistic regression by Newton steps; the bias is free, the first weight."""
     z = np.concatenate([np.ones((len(x), 1), x.dtype), x], 1)
     w = np.zeros(z.shape[1])
