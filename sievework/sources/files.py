@@ -1,0 +1,155 @@
+"""Sources of whole files: notebooks, HTML pages and Python trees. A file is a row until its parser runs."""
+
+from __future__ import annotations
+
+import json
+import re
+from collections.abc import Iterator
+from html.parser import HTMLParser
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sievework.functions.pycode import SCENES, scene_sources
+from sievework.functions.text import camel_words
+from sievework.sources.registry import REGISTRY
+
+
+def whole_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """(path, content) of text files below a folder, one row each."""
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(path, wholetext=True)
+    return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
+
+
+def file_filter(path: Column, deny: tuple[str, ...] = (), allow: str | None = None) -> Column:
+    """Files whose name and folders are wanted: no name of the deny list, no hidden or private file, folders as allowed."""
+    name = F.element_at(F.split(path, "/"), -1)
+    out = ~name.isin(*deny) & ~name.rlike(r"^[_.]") if deny else ~name.rlike(r"^[_.]")
+    return out & path.rlike(allow) if allow else out
+
+
+def right_dialect(content: Column) -> Column:
+    """Code of the community library, not of its ancestor."""
+    return content.contains("from manim import") & ~content.contains("from manimlib")
+
+
+def notebook_samples(text: str) -> list[dict]:
+    """Scene cells in order, each with the last Markdown cell before it that no earlier scene took.
+
+    Imports of the first five cells go before a cell that has none; magic lines drop out.
+    """
+    try:
+        cells = json.loads(text).get("cells", [])
+    except (ValueError, AttributeError):
+        return []
+    body = lambda c: "".join(s) if isinstance(s := c.get("source", ""), list) else s
+    head = [x for c in cells[:5] if c.get("cell_type") == "code" for x in body(c).split("\n") if re.match(r"(import|from)\s", x)]
+    pending, out = None, []
+    for pos, cell in enumerate(cells):
+        source = body(cell)
+        if cell.get("cell_type") == "markdown":
+            pending = re.sub(r"(?m)^#+\s*", "", source).strip() or pending
+        elif cell.get("cell_type") == "code" and (m := re.search(r"class\s+(\w+)\s*\([^)]*Scene[^)]*\)", source)):
+            code = "\n".join(x for x in source.split("\n") if not x.lstrip().startswith("%")).strip()
+            if not re.search(r"(?m)^(import|from)\s", code) and head:
+                code = "\n".join(dict.fromkeys(head)) + "\n\n" + code
+            words = re.sub(r"(?<!^)(?=[A-Z])", " ", m[1]).lower()
+            out.append({"pos": pos, "name": m[1], "description": pending or f"Create an animation of {words}", "code": code})
+            pending = None
+    return out
+
+
+class _Examples(HTMLParser):
+    def __init__(self) -> None:
+        super().__init__()
+        self.stack: list[tuple[str, str, str]] = []
+        self.found: list[tuple[str, str]] = []
+        self.text: list[str] | None = None
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        a = dict(attrs)
+        self.stack.append((tag, a.get("class") or "", a.get("id") or ""))
+        if tag == "pre" and any(t == "div" and "highlight-python" in c.split() for t, c, _ in self.stack):
+            self.text = []
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag == "pre" and self.text is not None:
+            section = next((i for t, _, i in reversed(self.stack) if t == "section" and i), "")
+            self.found.append((section, "".join(self.text)))
+            self.text = None
+        while self.stack and self.stack.pop()[0] != tag:
+            pass
+
+    def handle_data(self, data: str) -> None:
+        if self.text is not None:
+            self.text.append(data)
+
+
+CATEGORIES = {"basic-concepts": "Basic Concepts", "animations": "Animations", "plotting-with-manim": "Plotting", "special-camera-settings": "Camera"}
+
+
+def page_samples(html: str, least: int = 50) -> list[dict]:
+    """Python examples of a page: code blocks of some length with a class, their name and the section's category."""
+    parser = _Examples()
+    parser.feed(html)
+    out = []
+    for pos, (section, code) in enumerate(parser.found):
+        code = code.strip()
+        if len(code) >= least and (m := re.search(r"class\s+(\w+)\s*\(", code)):
+            out.append({"pos": pos, "name": m[1], "description": f"{CATEGORIES.get(section, 'General')}: {m[1]}", "code": code, "category": CATEGORIES.get(section, "General")})
+    return out
+
+
+def _expand(files: DataFrame, parse, columns: str) -> DataFrame:
+    """Rows that a Python parser finds in each file, with the file's path."""
+    names = [c.split()[0] for c in columns.split(", ")]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            rows = [{"path": p} | r for p, text in zip(pdf["path"], pdf["content"], strict=True) for r in parse(text or "")]
+            yield pd.DataFrame(rows, columns=["path", *names])
+
+    return files.select("path", "content").mapInPandas(run, f"path string, {columns}")
+
+
+@REGISTRY.source("notebooks", priority=3, title="Notebooks", settings=("path",))
+def notebooks(spark: SparkSession, path: str) -> DataFrame:
+    found = _expand(whole_files(spark, path, "*.ipynb"), notebook_samples, "pos long, name string, description string, code string")
+    return found.select("description", "code", F.col("path").alias("source_file"), F.col("name").alias("class_name"))
+
+
+@REGISTRY.source("example_pages", priority=5, title="Example pages", settings=("path",))
+def example_pages(spark: SparkSession, path: str) -> DataFrame:
+    found = _expand(whole_files(spark, path, "*.html"), page_samples, "pos long, name string, description string, code string, category string")
+    return found.select("description", "code", "category", F.col("name").alias("example_name"), F.col("path").alias("original_url"))
+
+
+def pages_to_samples(pages: DataFrame) -> DataFrame:
+    """Examples of a table of pages (url, html)."""
+    return _expand(pages.select(F.col("url").alias("path"), F.col("html").alias("content")), page_samples, "pos long, name string, description string, code string, category string")
+
+
+@REGISTRY.source("scene_tree", priority=3, title="Tree of scene files", settings=("path",))
+def scene_tree(spark: SparkSession, path: str, bases: set[str] | None = None, deny: tuple[str, ...] = (), allow: str | None = None) -> DataFrame:
+    """Scene classes of the Python files of a folder; description from the docstring, else from the name."""
+    files = whole_files(spark, path, "*.py").where(right_dialect(F.col("content")) & file_filter(F.col("path"), deny, allow))
+    wanted = bases or SCENES
+    found = _expand(files, lambda text: scene_sources(text, wanted), "name string, code string, docstring string")
+    described = F.coalesce(F.col("docstring"), F.concat(F.lit("Create an animation of "), camel_words(F.col("name"))))
+    imported = F.when(F.col("code").contains("import"), F.col("code")).otherwise(F.concat(F.lit("from manim import *\n\n"), F.col("code")))
+    return found.select(described.alias("description"), imported.alias("code"), F.col("path").alias("source_file"), F.col("name").alias("class_name"), F.col("docstring").isNotNull().alias("has_docstring"))
+
+
+def bundled(scenes: DataFrame, utilities: DataFrame) -> DataFrame:
+    """Scenes (dir, code) below the definitions of their folder's utilities (dir, content) that they need."""
+    from sievework.functions.pycode import required_definitions
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            done = [required_definitions(c, u) if isinstance(u, str) else (c, []) for c, u in zip(pdf["code"], pdf["content"], strict=True)]
+            yield pdf.drop(columns=["content"]).assign(code=[d[0] for d in done], bundled_dependencies=[d[1] for d in done])
+
+    kept = ", ".join(f"`{n}` {t}" for n, t in scenes.dtypes)
+    met = scenes.join(utilities.select("dir", "content"), "dir", "left").select(*scenes.columns, "content")
+    return met.mapInPandas(run, f"{kept}, bundled_dependencies array<string>")
