@@ -23,7 +23,7 @@ from sievework.llm.quality import labelled
 from sievework.llm.shared import materialise
 
 #: Bounds of the labelled rows, taken in hash order, and of the vocabulary that a fit uses.
-FIT_ROWS, TERMS = 12_000, 512
+FIT_ROWS, TERMS, BLOCK = 12_000, 512, 1024
 FOLDS, THRESHOLD = 4, 0.3
 CATEGORIES = ("marked", "repeated", "toxic")
 BEGINNINGS = (4, 5, 6)
@@ -77,38 +77,43 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.3, steps: int = 30) -> np.ndarray:
-    """Ridge-penalised logistic regression by Newton steps; the bias is free, the first weight."""
-    z = np.concatenate([np.ones((len(x), 1), x.dtype), x], 1)
-    w = np.zeros(z.shape[1])
-    ridge = np.full(z.shape[1], penalty)
+def logistic(x: np.ndarray, y: np.ndarray, rows: np.ndarray, penalty: float = 0.3, steps: int = 30) -> np.ndarray:
+    """Ridge-penalised logistic regression on these rows by Newton steps; the bias is free, the first weight.
+
+    Sums go over blocks of rows, so no copy of x is made.
+    """
+    n = x.shape[1] + 1
+    w, ridge = np.zeros(n), np.full(n, penalty)
     ridge[0] = 1e-3
     for _ in range(steps):
-        p = sigmoid(z @ w)
-        gradient = z.T @ (p - y) + ridge * w
-        hessian = (z * (p * (1 - p))[:, None]).T @ z
-        hessian[np.diag_indices_from(hessian)] += ridge
+        gradient, hessian = ridge * w, np.diag(ridge)
+        for a in range(0, len(rows), BLOCK):
+            part = rows[a : a + BLOCK]
+            z = np.concatenate([np.ones((len(part), 1), x.dtype), x[part]], 1)
+            p = sigmoid(z @ w)
+            gradient += (p - y[part]) @ z
+            z_weighted = z * (p * (1 - p)).astype(x.dtype)[:, None]
+            hessian += z_weighted.T @ z
         move = np.linalg.solve(hessian, gradient)
         move *= min(1.0, 5 / max(1e-9, np.abs(move).max()))
         w -= move
-        if np.abs(move).max() < 1e-4:
+        if np.abs(move).max() < 1e-3:
             break
     return w
 
 
 def fit_chain(x: np.ndarray, targets: np.ndarray, fold: np.ndarray) -> list[np.ndarray]:
     """Weights by category; targets has a column for each, fold tells which rows a helper model leaves out."""
-    weights, inputs = [], x
+    weights, terms, every = [], x.shape[1], np.arange(len(x))
+    inputs = np.concatenate([x, np.zeros((len(x), targets.shape[1]), x.dtype)], 1)
     for c in range(targets.shape[1]):
-        y = targets[:, c]
-        earlier = np.zeros(len(y))
-        for f in range(FOLDS):
-            seen, left = fold != f, fold == f
-            if left.any() and seen.any():
-                w = logistic(inputs[seen], y[seen])
-                earlier[left] = sigmoid(w[0] + inputs[left] @ w[1:])
-        weights.append(logistic(inputs, y))
-        inputs = np.concatenate([inputs, earlier[:, None].astype(x.dtype)], 1)
+        y, seen_by = targets[:, c], inputs[:, : terms + c]
+        weights.append(logistic(seen_by, y, every))
+        for f in range(FOLDS if c + 1 < targets.shape[1] else 0):
+            left = every[fold == f]
+            if len(left) and len(left) < len(every):
+                w = logistic(seen_by, y, every[fold != f])
+                inputs[left, terms + c] = sigmoid(w[0] + seen_by[left] @ w[1:])
     return weights
 
 
