@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.shared import byte_texts, positioned
+from sievework.llm.shared import byte_texts, materialise, positioned
 
 CAPACITY = 2048
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -151,6 +151,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Tokenise docs and pack their pieces: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    Texts are read and tokenised once; only piece lengths and checksums are sorted and shuffled.
+    Texts are read and tokenised once (range sorting looks at its input twice, so the pieces are written
+    before); only piece lengths and checksums are sorted and shuffled.
     """
-    return pack(pieces_of(docs, capacity), capacity)
+    return pack(materialise(pieces_of(docs, capacity), "pack-tokens"), capacity)
