@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -33,10 +34,18 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:
-    """Write df to the shared folder as Parquet and read it back: cuts lineage, survives lost executors."""
+    """Write df to the shared folder as Parquet and read it back: cuts lineage, survives lost executors.
+
+    The shuffle files that only this write needed go when it ends.
+    """
     spark = df.sparkSession
     path = f"{shared_root(spark)}/sievework/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

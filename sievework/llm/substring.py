@@ -240,7 +240,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
         earliest = windows.groupBy("w").agg(F.min(place).alias("f"), F.count("*").alias("n")).where("n > 1").select("w", "f")
         late = windows.join(earliest, "w").where(place > F.col("f"))
         ranges = ranges.unionByName(late.select("doc_id", "rid", F.col("start").alias("s"), (F.col("start") + WINDOW).alias("e")))
-    return ranges
+    return materialise(ranges, "substring-ranges")
 
 
 def _joined_ranges(docs: DataFrame, columns: list[str]) -> DataFrame:
