@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SCENES = {"Scene", "ThreeDScene", "VoiceoverScene", "MovingCameraScene", "ZoomedScene", "InteractiveScene", "SampleSpaceScene", "LiveStreamingScene", "GraphScene", "LinearTransformationScene", "VectorScene", "SpecialThreeDScene", "SpaceScene"}
-KNOWN = set("len range enumerate zip sum min max print str int float bool list dict True False None self Scene Text MathTex Tex Circle Square Line Arrow Dot UP DOWN LEFT RIGHT WHITE BLACK RED GREEN BLUE YELLOW ORANGE PURPLE PI TAU Create Write FadeIn FadeOut Transform ReplacementTransform Axes NumberPlane Graph Vector Matrix Polygon".split())
+SCENES = {"GraphScene", "InteractiveScene", "LinearTransformationScene", "LiveStreamingScene", "MovingCameraScene", "SampleSpaceScene", "Scene", "SpaceScene", "SpecialThreeDScene", "ThreeDScene", "VectorScene", "VoiceoverScene", "ZoomedScene"}
+KNOWN = set("Arrow Axes BLACK BLUE Circle Create DOWN Dot FadeIn FadeOut False GREEN Graph LEFT Line MathTex Matrix None NumberPlane ORANGE PI PURPLE Polygon RED RIGHT ReplacementTransform Scene Square TAU Tex Text Transform True UP Vector WHITE Write YELLOW bool dict enumerate float int len list max min print range self str sum zip".split())
 #: Longer code counts as not parsable: the parser recurses, and a crash would take the worker along.
 LONGEST = 1_000_000
 FACTS = "struct<ok: boolean, error: string, has_import: boolean, scene_classes: array<string>, missing_construct: array<string>, empty_construct: array<string>, has_ellipsis: boolean, undefined: array<string>, has_construct: boolean, dry_run_scene: string>"
@@ -105,22 +105,22 @@ def scene_sources(code: str, bases: set[str] | None = None) -> list[dict]:
 
 
 ASSETS = (
-    (r"farmer|rabbit|turtle|bee|kid|student|professor|person|character", "character"),
-    (r"(kantorovich|dantzig|euler|gauss)\.jpg", "portrait"),
-    (r"(factory|house|building|store)\.svg", "building"),
-    (r"(pause|play|stop|button)\.svg", "ui_button"),
-    (r"(eq|leq|geq|iff|implies)\.svg", "math_symbol"),
-    (r"(python|java|cpp|haskell|logo)\.svg", "logo"),
-    (r"carrot|apple|food|item|product|potato|fertilizer", "item"),
+    (r"bee|character|farmer|kid|person|professor|rabbit|student|turtle", "character"),
+    (r"(dantzig|euler|gauss|kantorovich)\.jpg", "portrait"),
+    (r"(building|factory|house|store)\.svg", "building"),
+    (r"(button|pause|play|stop)\.svg", "ui_button"),
+    (r"(eq|geq|iff|implies|leq)\.svg", "math_symbol"),
+    (r"(cpp|haskell|java|logo|python)\.svg", "logo"),
+    (r"apple|carrot|fertilizer|food|item|potato|product", "item"),
     (r"car|truck|vehicle", "vehicle"),
     (r"(background|bg|scene)\.png", "background"),
-    (r"(black|white|green|blue)\.png", "solid_color"),
+    (r"(black|blue|green|white)\.png", "solid_color"),
     (r"(farm|field|landscape).*\.png", "background"),
-    (r"(proof|paper|document|handbook|performance).*\.png", "document"),
+    (r"(document|handbook|paper|performance|proof).*\.png", "document"),
     (r"(dragonfly|giraffe|mud|soap).*\.png", "generic_shape"),
-    (r"diagram|graph|chart|simplex|duality", "diagram"),
-    (r"cache|cpu|memory|hardware", "technical"),
-    (r"(thingy|arrow|pointer)\.png", "arrow"),
+    (r"chart|diagram|duality|graph|simplex", "diagram"),
+    (r"cache|cpu|hardware|memory", "technical"),
+    (r"(arrow|pointer|thingy)\.png", "arrow"),
     (r"assets/.*\.(png|svg)", "generic_shape"),
     (r"\d+.*\.png", "generic_shape"),
     (r"thumbnail", "thumbnail"),

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 PENDING = "[PENDING_DESCRIPTION]"
 FENCES = ("prefix", "between", "regex", "slice")
 PROMPTS = ("{d}", "Create a Manim animation that {l}", "Write Manim code to {l}", "Generate a Manim scene that {l}", "Implement a Manim animation for: {d}", "Using Manim, {l}")
-ELEMENTS = {"circles": r"Circle\(", "squares": r"Square\(", "rectangles": r"Rectangle\(", "lines": r"Line\(", "arrows": r"Arrow\(", "text": r"Text\(", "equations": r"MathTex\(", "groups": r"VGroup\(", "3d_objects": r"(Surface|Sphere|Cube|Cylinder)\(", "triangles": r"Triangle\(", "polygons": r"Polygon\(", "dots": r"Dot\("}
+_CALLS = (*(rf"{c}\(" for c in "Circle Square Rectangle Line Arrow Text MathTex VGroup".split()), r"(Cube|Cylinder|Sphere|Surface)\(", *(rf"{c}\(" for c in ("Triangle", "Polygon", "Dot")))
+ELEMENTS = dict(zip("circles squares rectangles lines arrows text equations groups 3d_objects triangles polygons dots".split(), _CALLS, strict=True))
 LEGACY_ELEMENTS = tuple(ELEMENTS)[:9]
 
 

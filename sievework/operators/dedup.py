@@ -79,15 +79,21 @@ def prefix_edges(keyed: DataFrame, threshold: float = THRESHOLD, code_only: bool
     return edges if code_only else edges.where((F.col("desc_sim") > threshold) | (F.col("code_sim") == 1.0))
 
 
-def components(edges: DataFrame, limit: int = 30) -> DataFrame:
-    """(node, root) by alternating large-star and small-star steps, each checkpointed, until they settle."""
-    spark = edges.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
+def _checkpointing(df: DataFrame) -> None:
+    """Checkpoints go where spark.checkpoint.dir says; where it is unset and the master local, to a temporary folder."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
         import tempfile
 
-        if not spark.sparkContext.master.startswith("local"):
+        root = context.getConf().get("spark.checkpoint.dir")
+        if not root and not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sievework-"))
+        context.setCheckpointDir(root or tempfile.mkdtemp(prefix="sievework-"))
+
+
+def components(edges: DataFrame, limit: int = 100) -> DataFrame:
+    """(node, root) by alternating large-star and small-star steps, each checkpointed, until they settle."""
+    _checkpointing(edges)
     edges = edges.select(F.greatest("i", "j").alias("u"), F.least("i", "j").alias("v")).where("u <> v").distinct().checkpoint()
     before = None
     for _ in range(limit):
@@ -179,7 +185,8 @@ def greedy_removed(samples: DataFrame, priorities: DataFrame, threshold: float =
     reps = keyed.join(firsts.select(F.col("gid").alias("seq")), "seq", "left_semi")
     classes = firsts.groupBy("code_key").agg(F.min("gid").alias("i"))
     stars = firsts.select("code_key", F.col("gid").alias("j")).join(classes, "code_key").where("i < j").select("i", "j")
-    near = prefix_edges(reps, threshold)
+    _checkpointing(samples)
+    near = prefix_edges(reps, threshold).checkpoint()
     roots = components(stars.unionByName(near.select("i", "j")))
     own = near.groupBy(F.col("i").alias("gid")).agg(F.collect_list(F.struct("j", "desc_sim", "code_sim")).alias("edges"))
     rows = keyed.select("seq", "n_code", "n_desc", "code_key", "priority").join(firsts, ["n_code", "n_desc", "code_key"]).select("seq", "gid", "code_key", "priority")

@@ -14,8 +14,10 @@ from sievework.functions.text import PENDING
 PLACEHOLDER_COMMENTS = r"(?im)#\s*(Your code here|Implementation goes here|Add your.*here|Fill in|Complete this)"
 COMMANDS = r"self\.(play|add|wait|remove|bring_to_front|bring_to_back)\("
 METHODS = ("play", "wait", "add", "remove", "move_to", "shift", "scale", "rotate", "set_color", "fade", "transform", "animate")
-OBJECTS = tuple("Text Tex Circle Square Line Arrow Dot Graph Axes Vector Matrix Polygon Arc Angle BraceBetweenPoints Triangle Rectangle Ellipse Sector Annulus Cutout NumberPlane ComplexPlane PolarPlane CoordinateSystem Cube Sphere Cylinder Cone Prism Pyramid Polyhedron Dodecahedron Icosahedron Octahedron YoungTableau ParametricFunction ImplicitFunction StreamLines Tree Table".split())
-SHAPES = {"circle": ("Circle(", "circle"), "square": ("Square(", "square"), "triangle": ("Triangle(", "Polygon", "triangle"), "line": ("Line(", "line"), "arrow": ("Arrow(", "arrow"), "text": ("Text(", "Tex(", "MathTex("), "graph": ("Graph(", "Axes(", "NumberPlane(", "plot"), "matrix": ("Matrix(", "matrix"), "vector": ("Vector(", "Arrow(", "vector")}
+OBJECTS = tuple("Angle Annulus Arc Arrow Axes BraceBetweenPoints Circle ComplexPlane Cone CoordinateSystem Cube Cutout Cylinder Dodecahedron Dot Ellipse Graph Icosahedron ImplicitFunction Line Matrix NumberPlane Octahedron ParametricFunction PolarPlane Polygon Polyhedron Prism Pyramid Rectangle Sector Sphere Square StreamLines Table Tex Text Tree Triangle Vector YoungTableau".split())
+_MORE = {"triangle": ("Polygon",), "vector": ("Arrow(",)}
+_NAMED = lambda names: {n: (n, f"{n.title()}(", *_MORE.get(n, ())) for n in names.split()}
+SHAPES = _NAMED("circle square triangle line arrow") | {"text": ("MathTex(", "Tex(", "Text("), "graph": ("plot", "NumberPlane(", "Axes(", "Graph(")} | _NAMED("matrix vector")
 TEX_ESCAPE = r"""(MathTex|Text|Tex)\s*\(\s*["'][^"']*\\[^\\r][^"']*["']"""
 GENERIC = ("Create a Manim animation", "Create an animation", "Manim scene")
 

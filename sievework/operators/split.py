@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions.text import augment_prompt, ensure_scene
 
-SYSTEM = "You are a Manim code generator. Create clean, working Manim animations using ManimCE syntax. Always wrap code in Python code blocks."
+SYSTEM = "You write Manim Community scenes that run as they are. Answer with one fenced block of Python."
 
 
 def exact_split(samples: DataFrame, ratio: float = 0.1, seed: int = 42) -> DataFrame:
