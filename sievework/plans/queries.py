@@ -76,6 +76,11 @@ def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select(F.col("doc_id").alias("seq"), F.substring_index("text", "\n", 1).alias("description"), F.expr(CODE).alias("code"), "source")
 
 
+def python_scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `scenes`, with an assignment where the code would be plain prose."""
+    return documents(spark, sf_dir).select(F.col("doc_id").alias("seq"), F.expr(CODE.replace("ELSE text END", "ELSE concat('z', doc_id, ' = 1') END")).alias("code"))
+
+
 def priorities(df: DataFrame) -> DataFrame:
     return df.select(F.col("source").alias("source_id")).distinct().withColumn("priority", F.expr("CAST(substr(source_id, 4) AS INT) % 5 + 1"))
 
@@ -119,14 +124,17 @@ def ensure_import(spark, sf_dir):
     return scenes(spark, sf_dir).select("seq", text.ensure_import(F.col("code")).alias("code"))
 
 
-@query(
-    f"""SELECT doc_id AS seq, CASE
+_ENSURED = """CASE
  WHEN contains(x, 'class') AND contains(x, 'Scene') AND contains(x, 'def construct') THEN x
  WHEN NOT starts_with(x, 'from manim import') THEN concat('from manim import *', chr(10), chr(10), 'class AnimationScene(Scene):', chr(10), '    def construct(self):', chr(10), array_to_string(list_transform(string_split(x, chr(10)), lambda l: CASE WHEN trim(l) <> '' THEN '        ' || l ELSE '' END), chr(10)), chr(10))
- ELSE x END AS code FROM (SELECT doc_id, trim({CODE}, concat(' ', chr(9), chr(10), chr(13))) AS x FROM documents WHERE doc_id % 16 NOT IN (5))"""
-)
+ WHEN NOT (contains(x, 'class') AND contains(x, 'Scene')) THEN concat(x, chr(10), chr(10), 'class AnimationScene(Scene):', chr(10), '    def construct(self):', chr(10), '        ')
+ ELSE x END"""
+_STRIPPED = f"(SELECT doc_id, trim({CODE}, concat(' ', chr(9), chr(10), chr(13))) AS x FROM documents)"
+
+
+@query(f"SELECT doc_id AS seq, {_ENSURED} AS code FROM {_STRIPPED}")
 def ensure_scene(spark, sf_dir):
-    return scenes(spark, sf_dir).where("seq % 16 not in (5)").select("seq", text.ensure_scene(F.col("code")).alias("code"))
+    return scenes(spark, sf_dir).select("seq", text.ensure_scene(F.col("code")).alias("code"))
 
 
 @query(
@@ -208,11 +216,9 @@ def within_source_distinct(spark, sf_dir):
     return dedup.distinct_by(samples(spark, sf_dir), "source", "code").select("seq")
 
 
-@query(f"SELECT seq FROM ({_SAMPLES}) s WHERE code IN (SELECT code FROM (SELECT substr(code, 1, 2000) AS code, description FROM ({_SAMPLES})) GROUP BY code HAVING count(DISTINCT description) = 1) AND length(code) <= 2000")
+@query("SELECT doc_id AS seq FROM documents WHERE text IN (SELECT text FROM documents GROUP BY text HAVING count(DISTINCT source) = 1)")
 def conflicting_descriptions_drop(spark, sf_dir):
-    s = samples(spark, sf_dir).withColumn("code", F.left("code", F.lit(2000)))
-    kept = dedup.conflicting_descriptions_dropped(s)
-    return samples(spark, sf_dir).where(F.length("code") <= 2000).select("seq").join(kept.select("seq"), "seq", "left_semi")
+    return dedup.conflicting_descriptions_dropped(samples(spark, sf_dir).withColumn("description", F.col("source"))).select("seq")
 
 
 @query(f"SELECT doc_id AS seq, {_PRIORITY} AS priority FROM documents WHERE source <> 'src3' UNION ALL SELECT doc_id, 0 FROM documents WHERE source = 'src3'")
@@ -311,17 +317,17 @@ def quality_verdict_vs_labels(spark, sf_dir):
 
 
 @query(
-    """SELECT doc_id AS seq, k NOT IN (7) AS ok, k NOT IN (3, 7, 9) AS has_import, k NOT IN (5, 7, 9) AS has_scene, k = 13 AS missing_construct, k IN (4) AS empty_construct, k = 11 AS has_ellipsis
-FROM (SELECT doc_id, doc_id % 16 AS k FROM documents) WHERE k <> 15"""
+    """SELECT doc_id AS seq, k NOT IN (7) AS ok, k NOT IN (3, 7, 9, 15) AS has_import, k NOT IN (5, 7, 9, 15) AS has_scene, k = 13 AS missing_construct, k IN (4) AS empty_construct, k = 11 AS has_ellipsis
+FROM (SELECT doc_id, doc_id % 16 AS k FROM documents)"""
 )
 def syntax_facts(spark, sf_dir):
-    f = scenes(spark, sf_dir).where("seq % 16 <> 15").select("seq", pycode.py_facts(F.col("code")).alias("f"))
+    f = python_scenes(spark, sf_dir).select("seq", pycode.py_facts(F.col("code")).alias("f"))
     return f.select("seq", "f.ok", "f.has_import", (F.size("f.scene_classes") > 0).alias("has_scene"), (F.size("f.missing_construct") > 0).alias("missing_construct"), (F.size("f.empty_construct") > 0).alias("empty_construct"), "f.has_ellipsis")
 
 
-@query("SELECT doc_id AS seq, doc_id % 16 NOT IN (5, 7, 9, 13, 15) AS would_render FROM documents WHERE doc_id % 16 <> 15")
+@query("SELECT doc_id AS seq, doc_id % 16 NOT IN (5, 7, 9, 13, 15) AS would_render FROM documents")
 def render_dry_run(spark, sf_dir):
-    return quality.dry_run(scenes(spark, sf_dir).where("seq % 16 <> 15")).select("seq", "would_render")
+    return quality.dry_run(python_scenes(spark, sf_dir)).select("seq", "would_render")
 
 
 @query()
@@ -349,19 +355,20 @@ _FIXED = {
     6: ("fadeoutandshift_to_fadeout", [("FadeOutAndShift(d, UP)", "FadeOut(d, shift=UP)")]),
     8: ("get_height_to_property", [("a.get_height()", "a.height")]),
     10: ("center_to_get_center", [("d.center[0]", "d.get_center()[0]")]),
+    12: ("fadeinfrom_to_fadein", [("FadeInFrom(Arrow(), LEFT)", "FadeIn(Arrow(), shift=LEFT)")]),
     14: ("texmobject_to_mathtex,removed_tex_to_color_map", [("TexMobject(\"y\", tex_to_color_map=m)", "MathTex(\"y\")")]),
 }
 _FIXED_SQL = "CASE doc_id % 16 " + " ".join(f"WHEN {k} THEN replace(x, '{pairs[0][0]}', '{pairs[0][1]}')" for k, (_, pairs) in _FIXED.items() if pairs) + " WHEN 1 THEN replace(replace(replace(x, 'TextMobject', 'Text'), 'FadeInFromDown(t)', 'FadeIn(t, shift=DOWN)'), concat('t.set_width(', doc_id % 5, ')'), concat('t.width = ', doc_id % 5)) ELSE x END"
 _TAGS_SQL = "CASE doc_id % 16 " + " ".join(f"WHEN {k} THEN '{t}'" for k, (t, _) in _FIXED.items()) + " ELSE '' END"
 
 
-@query(f"SELECT doc_id AS seq, {_FIXED_SQL} AS code, {_TAGS_SQL} AS tags FROM (SELECT doc_id, {CODE} AS x FROM documents) WHERE doc_id % 16 NOT IN (12, 15)")
+@query(f"SELECT doc_id AS seq, {_FIXED_SQL} AS code, {_TAGS_SQL} AS tags FROM (SELECT doc_id, {CODE} AS x FROM documents)")
 def native_code_fixes(spark, sf_dir):
-    fixed = scenes(spark, sf_dir).where("seq % 16 not in (12, 15)").select("seq", fixes.native_fixes(F.col("code")).alias("f"))
+    fixed = scenes(spark, sf_dir).select("seq", fixes.native_fixes(F.col("code")).alias("f"))
     return fixed.select("seq", "f.code", F.array_join("f.tags", ",").alias("tags"))
 
 
-@query(f"SELECT tag, count(*) AS n FROM (SELECT unnest(string_split({_TAGS_SQL}, ',')) AS tag FROM documents WHERE doc_id % 16 NOT IN (12, 15)) WHERE tag <> '' GROUP BY tag")
+@query(f"SELECT tag, count(*) AS n FROM (SELECT unnest(string_split({_TAGS_SQL}, ',')) AS tag FROM documents) WHERE tag <> '' GROUP BY tag")
 def fix_tag_counts(spark, sf_dir):
     tags = native_code_fixes(spark, sf_dir).select(F.split("tags", ",").alias("fixes_applied"))
     return statistics.tag_counts(tags).where("tag <> ''")
@@ -459,11 +466,11 @@ def reduction_rates_rollup(spark, sf_dir):
     return statistics.with_totals(_stages(spark, sf_dir), "initial_extraction", "after_deduplication").withColumn("reduction_pct", F.round("reduction_pct", 6))
 
 
-@query("SELECT source, count(*) FILTER (WHERE doc_id % 2 = 0) AS n FROM documents GROUP BY source UNION ALL SELECT 'src_none', 0")
+@query("SELECT source, count(*) AS n FROM documents GROUP BY source UNION ALL SELECT 'src_none', 0")
 def source_distribution_zero_filled(spark, sf_dir):
     s = samples(spark, sf_dir)
     named = s.select(F.col("source").alias("source_id")).distinct().unionByName(spark.createDataFrame([("src_none",)], "source_id string"))
-    return statistics.source_distribution(s.where("seq % 2 = 0"), named)
+    return statistics.source_distribution(s, named)
 
 
 @query("SELECT source, count(*) AS n FROM documents GROUP BY source ORDER BY n DESC, source LIMIT 5")
@@ -544,12 +551,10 @@ def conversation_pairs(spark, sf_dir):
     return split.question_answer(split.from_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))).select("conv_id", "description", "code")
 
 
-@query(f"SELECT doc_id AS seq, concat('```python', chr(10), {CODE}, chr(10), '```') AS answer FROM documents WHERE doc_id % 16 IN (0, 1, 2)")
+@query(f"SELECT doc_id AS seq, concat('```python', chr(10), {_ENSURED}, chr(10), '```') AS answer FROM {_STRIPPED}")
 def conversation_records(spark, sf_dir):
-    s = scenes(spark, sf_dir).where("seq % 16 in (0, 1, 2)")
-    whole = F.concat(F.lit("```python\n"), F.col("code"), F.lit("\n```"))
     turns = split.conversation(F.col("description"), F.col("code"))
-    return s.select("seq", F.when(F.replace(F.get(turns, F.lit(2))["value"], F.lit("\n"), F.lit("")) == F.replace(whole, F.lit("\n"), F.lit("")), whole).alias("answer"))
+    return scenes(spark, sf_dir).select("seq", F.get(turns, F.lit(2))["value"].alias("answer"))
 
 
 _NAMED = "concat('from manim import *', chr(10), 'class A', doc_id % 100, '(Scene):', chr(10), '    pass')"
@@ -576,7 +581,7 @@ def keep_listed(spark, sf_dir):
 @query("SELECT doc_id AS seq, CASE WHEN doc_id % 4 = 0 THEN concat('made of ', length(text)) ELSE 'kept' END AS description FROM documents")
 def description_cache_fill(spark, sf_dir):
     s = documents(spark, sf_dir).select(F.col("doc_id").alias("seq"), F.when(F.col("doc_id") % 4 == 0, text.PENDING).otherwise("kept as it is, no change").alias("description"), F.concat(F.length("text").cast("string"), F.lit("|"), F.col("text")).alias("code"), "source")
-    known = descriptions.keyed(s.where("seq % 8 = 0")).select(F.col("cache_key").alias("key"), F.concat(F.lit("made of "), F.substring_index("code", "|", 1)).alias("description")).distinct()
+    known = descriptions.keyed(s.where("source = 'src1'")).select(F.col("cache_key").alias("key"), F.concat(F.lit("made of "), F.substring_index("code", "|", 1)).alias("description")).distinct()
     filled, _ = descriptions.fill(s, known, lambda codes: [f"made of {c.split('|')[0]}" for c in codes])
     return filled.select("seq", F.when(F.col("description").startswith("kept"), "kept").otherwise(F.col("description")).alias("description"))
 
@@ -600,9 +605,9 @@ def answer_parsing(spark, sf_dir):
 _PAGE = "concat('<section id=\"animations\"><div class=\"highlight-python notranslate\"><pre>', replace(replace(CODE, '<', '&lt;'), '>', '&gt;'), '</pre></div></section><pre>no</pre>')"
 
 
-@query(f"SELECT doc_id AS seq, concat('S', doc_id) AS name, 'Animations' AS category, trim({CODE}, chr(10) || ' ') AS code FROM documents WHERE doc_id % 16 IN (0, 1, 2, 3, 4, 6, 8, 10, 11, 12, 13, 14)")
+@query(f"SELECT doc_id AS seq, concat('S', doc_id) AS name, 'Animations' AS category, x AS code FROM {_STRIPPED} WHERE length(x) >= 50 AND regexp_matches(x, 'class\\s+\\w+\\s*\\(')")
 def html_examples(spark, sf_dir):
-    d = documents(spark, sf_dir).where("doc_id % 16 <> 15").select(F.col("doc_id").cast("string").alias("url"), F.expr(_PAGE.replace("CODE", CODE)).alias("html")).where("url % 16 not in (5, 7, 9)")
+    d = documents(spark, sf_dir).select(F.col("doc_id").cast("string").alias("url"), F.expr(_PAGE.replace("CODE", CODE)).alias("html"))
     return files.pages_to_samples(d).select(F.col("path").cast("long").alias("seq"), "name", "category", "code")
 
 
