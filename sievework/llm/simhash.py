@@ -163,13 +163,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_representatives(docs: DataFrame) -> DataFrame:
-    """One row of each component, the one of smallest doc_id (of rows repeating it, one), with all its columns.
+    """One row of each group of near-duplicates, the one of smallest doc_id (of rows repeating it, one), with all its columns.
 
-    Rows without a doc_id are kept: nothing identifies them.
+    Groups are linked by a Jaccard index of 0.8 or more of five-word shingles (`jaccard`), not by op5's
+    fingerprints. Rows without a doc_id are kept: nothing identifies them.
     """
     from pyspark.sql import Window
 
-    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    from sievework.llm import jaccard
+
+    marked = materialise(jaccard.with_key(docs.select("doc_id", "text")).select("doc_id", F.col("_key").alias("node")), "jaccard-keys")
+    firsts = marked.where("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    placed = firsts.join(jaccard.near_classes(docs.where("doc_id is not null")), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    kept = placed.groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
     name = "_row"
     while name in docs.columns:

@@ -223,6 +223,47 @@ def test_every_close_pair_meets_and_full_buckets_too(spark, monkeypatch):
     assert {signed[i]: low[c] for i, c in want.items()} == {s: roots.get(s, s) for s in signed}
 
 
+def _shingles(text):
+    words = WORD.findall((text or "").encode().lower())
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def _jaccard_kept(texts):
+    """Indexes of the first text of each component of pairs with a Jaccard index of 0.8 or more."""
+    sets = [_shingles(t) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i + 1, len(texts)):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                old, new = sorted((root[i], root[j]), reverse=True)
+                root = [new if r == old else r for r in root]
+    return [i for i, r in enumerate(root) if i == r]
+
+
+@pytest.mark.parametrize("hot", [64, 3])
+def test_representatives_by_jaccard(spark, monkeypatch, hot):
+    from sievework.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "HOT", hot)
+    r = random.Random(11)
+    texts = ["", None, "one two", "ONE  two", "one two three"]
+    for k in range(30):
+        words = r.choices(VOCABULARY, k=r.randrange(20, 300))
+        words = PASSAGE.split()[:50] + words if k % 3 == 0 else words
+        texts.append(" ".join(words))
+        for _ in range(6):
+            changed = list(words)
+            for _ in range(r.randrange(1, 2 + len(words) // 40)):
+                changed[r.randrange(len(words))] = r.choice(VOCABULARY)
+            texts.append(" ".join(changed))
+    r.shuffle(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    want = _jaccard_kept(texts)
+    assert sorted(x["doc_id"] for x in simhash.keep_representatives(df).collect()) == want
+    assert want != sorted(i for i, c in _classes({i: _fingerprint(t) for i, t in enumerate(texts)}).items() if i == c)
+    assert simhash.keep_representatives(df.where("false")).count() == 0
+
+
 def test_token_counts(docs, empty):
     path = public_tokenizers.path("word_bpe_49k.json")
     vocabulary = token_counts.word_vocabulary(path) | {bytes([b]) for b in range(256)}
