@@ -163,22 +163,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_representatives(docs: DataFrame) -> DataFrame:
-    """One row of each group of near-duplicates, the one of smallest doc_id (of rows repeating it, one), with all its columns.
+    """One row of each group of near-duplicates, the one of smallest doc_id, with all its columns.
 
-    Groups are linked by a Jaccard index of 0.8 or more of five-word shingles (`jaccard`), not by op5's
-    fingerprints. Rows without a doc_id are kept: nothing identifies them.
+    Texts that share a doc_id are told apart by their words: a row stays for each group, wherever its doc_id
+    stands else, and of equal rows one. Groups are linked by a Jaccard index of 0.8 or more of five-word
+    shingles (`jaccard`), not by op5's fingerprints. Rows without a doc_id are kept: nothing identifies them.
     """
     from pyspark.sql import Window
 
     from sievework.llm import jaccard
 
+    name, key = "_row", "_node"
+    while {name, key} & set(docs.columns):
+        name, key = f"{name}_", f"{key}_"
     marked = materialise(jaccard.with_key(docs.select("doc_id", "text")).select("doc_id", F.col("_key").alias("node")), "jaccard-keys")
     firsts = marked.where("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     placed = firsts.join(jaccard.near_classes(docs.where("doc_id is not null")), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    kept = placed.groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    name = "_row"
-    while name in docs.columns:
-        name += "_"
-    one = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").withColumn(name, first).where(F.col(name) == 1).drop(name)
+    kept = placed.groupBy("root").agg(F.min(F.struct("doc_id", "node")).alias("k")).select("k.doc_id", F.col("k.node").alias(key))
+    first = F.row_number().over(Window.partitionBy("doc_id", key).orderBy("text"))
+    held = jaccard.with_key(docs.where("doc_id is not null"), key).join(kept, ["doc_id", key], "left_semi")
+    one = held.withColumn(name, first).where(F.col(name) == 1).select(docs.columns)
     return one.unionByName(docs.where("doc_id is null"))

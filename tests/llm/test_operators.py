@@ -264,6 +264,13 @@ def test_representatives_by_jaccard(spark, monkeypatch, hot):
     assert simhash.keep_representatives(df.where("false")).count() == 0
 
 
+def test_representatives_with_shared_doc_ids(spark):
+    """Unlike texts of one doc_id both stay; the one that repeats an earlier document goes."""
+    a, b = PASSAGE, "alpha beta gamma delta epsilon zeta eta"
+    df = spark.createDataFrame([(1, a), (2, a), (2, b), (3, b), (4, "x y"), (4, "z"), (4, "z")], "doc_id long, text string")
+    assert sorted(map(tuple, simhash.keep_representatives(df).collect())) == sorted([(1, a), (2, b), (4, "x y"), (4, "z")])
+
+
 def test_token_counts(docs, empty):
     path = public_tokenizers.path("word_bpe_49k.json")
     vocabulary = token_counts.word_vocabulary(path) | {bytes([b]) for b in range(256)}
