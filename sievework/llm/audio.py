@@ -101,6 +101,17 @@ def pcm_wav(pcm: bytes, rate: int = 16000) -> bytes:
     return b"RIFF" + struct.pack("<I", len(body)) + body
 
 
+def wav_block(media: bytes) -> int:
+    """nBlockAlign of a RIFF file's format chunk."""
+    view, at = memoryview(media), 12
+    while at + 8 <= len(media):
+        size = struct.unpack_from("<I", media, at + 4)[0]
+        if bytes(view[at : at + 4]) == b"fmt ":
+            return struct.unpack_from("<H", media, at + 20)[0]
+        at += 8 + size + (size & 1)
+    raise ValueError("no format chunk")
+
+
 def wav_data(media: bytes) -> tuple[int, memoryview]:
     """Format code and data chunk of a RIFF file."""
     view, at, law = memoryview(media), 12, 0
@@ -160,15 +171,34 @@ def features(payloads: list[memoryview]) -> list[str]:
     return [t.text() for t in tallies]
 
 
-def to_pcm(media: bytes) -> bytes:
-    """A stored mu-law or A-law file as a 16 kHz PCM file."""
+def _linear(law: int, data: memoryview, block: int) -> np.ndarray | None:
+    """Samples of a mu-law (7), A-law (6) or mono IMA ADPCM (0x11) data chunk; None for any other format.
+
+    A short last ADPCM block gives what it holds; under its four bytes of header, nothing.
+    """
+    codes = np.frombuffer(data, np.uint8)
+    if law in (6, 7):
+        return (MULAW if law == 7 else ALAW)[codes]
+    if law != 0x11 or block < 4:
+        return None
+    whole = len(codes) // block * block
+    parts = [decode_adpcm(codes[:whole].reshape(-1, block)).reshape(-1)] if whole else []
+    if len(codes) - whole >= 4:
+        parts.append(decode_adpcm(codes[None, whole:])[0])
+    return np.concatenate(parts) if parts else np.empty(0, np.int16)
+
+
+def to_pcm(media: bytes) -> bytes | None:
+    """A stored mono mu-law, A-law or IMA ADPCM file of 8 kHz as a 16 kHz PCM file; None for any other format."""
     law, data = wav_data(media)
-    x = (MULAW if law == 7 else ALAW)[np.frombuffer(data, np.uint8)]
+    x = _linear(law, data, wav_block(media) if law == 0x11 else 1)
+    if x is None:
+        return None
     return pcm_wav(resample_2x(np.concatenate([x[:1], x, x[-1:], x[-1:]])).tobytes() if len(x) else b"")
 
 
 def decode_media(df: DataFrame, media: str = "media") -> DataFrame:
-    """Every row of df with `pcm`: its stored mu-law or A-law file as 16 kHz PCM; null stays null."""
+    """Every row of df with `pcm`: its stored mu-law, A-law or IMA ADPCM file as 16 kHz PCM; null for null and other formats."""
     from pyspark.sql import functions as F
 
     @F.arrow_udf("binary")

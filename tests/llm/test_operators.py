@@ -76,6 +76,23 @@ def test_adpcm_against_scalar():
         assert samples.tolist() == want
 
 
+def test_stored_files_as_pcm(spark):
+    import struct
+
+    draws = np.random.default_rng(5)
+    codes = draws.integers(0, 256, 256 * 3 + 70, np.uint8)
+    adpcm = bytearray(audio.wav(codes.tobytes(), 0x11))
+    adpcm[32:34] = struct.pack("<H", 256)  # nBlockAlign; the last block is short
+    samples = np.concatenate([audio.decode_adpcm(codes[:768].reshape(3, 256)).reshape(-1), audio.decode_adpcm(codes[None, 768:])[0]])
+    files = {7: audio.wav(codes.tobytes()), 6: audio.wav(codes.tobytes(), 6), 0x11: bytes(adpcm), 1: audio.wav(codes.tobytes(), 1)}
+    df = spark.createDataFrame([*files.items(), (0, None)], "law int, media binary")
+    got = {r["law"]: r["pcm"] for r in audio.decode_media(df).collect()}
+    for law, x in ((7, audio.MULAW[codes]), (6, audio.ALAW[codes]), (0x11, samples)):
+        pcm = np.frombuffer(audio.wav_data(bytes(got[law]))[1], "<i2")
+        assert len(pcm) == 2 * len(x) and (pcm[::2] == x).all()
+    assert got[1] is None and got[0] is None
+
+
 def test_features_do_not_depend_on_segments(monkeypatch):
     payload = memoryview(np.random.default_rng(2).integers(0, 256, 576 * 20, np.uint8).tobytes())
     whole = audio.features([payload])
