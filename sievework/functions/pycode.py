@@ -12,14 +12,10 @@ from pyspark.sql import functions as F
 
 SCENES = {"GraphScene", "InteractiveScene", "LinearTransformationScene", "LiveStreamingScene", "MovingCameraScene", "SampleSpaceScene", "Scene", "SpaceScene", "SpecialThreeDScene", "ThreeDScene", "VectorScene", "VoiceoverScene", "ZoomedScene"}
 KNOWN = set("Arrow Axes BLACK BLUE Circle Create DOWN Dot FadeIn FadeOut False GREEN Graph LEFT Line MathTex Matrix None NumberPlane ORANGE PI PURPLE Polygon RED RIGHT ReplacementTransform Scene Square TAU Tex Text Transform True UP Vector WHITE Write YELLOW bool dict enumerate float int len list max min print range self str sum zip".split())
-#: Longer code counts as not parsable: the parser recurses, and a crash would take the worker along.
-LONGEST = 1_000_000
 FACTS = "struct<ok: boolean, error: string, has_import: boolean, scene_classes: array<string>, missing_construct: array<string>, empty_construct: array<string>, has_ellipsis: boolean, undefined: array<string>, has_construct: boolean, dry_run_scene: string>"
 
 
 def parse(code: str) -> tuple[ast.Module | None, str | None]:
-    if len(code) > LONGEST:
-        return None, "code too long to parse"
     try:
         with warnings.catch_warnings():
             warnings.simplefilter("ignore")

@@ -268,3 +268,10 @@ def test_stream(spark, tmp_path):
         (tmp_path / "in" / f"{k}.json").write_text("\n".join(map(json.dumps, rows)))
         ingest(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/out").count() == 3
+
+
+def test_code_of_over_a_million_characters_is_parsed():
+    code = "from manim import *\n\n\nclass Long(Scene):\n    def construct(self):\n        self.wait()\n" + "x = 1  # padding padding padding\n" * 40_000
+    assert len(code) > 1_000_000 and pycode.facts(code)["scene_classes"] == ["Long"] and pycode.facts(code)["ok"]
+    assert [s["name"] for s in pycode.scene_sources(code)] == ["Long"]
+    assert pycode.facts("(" * 100_000)["ok"] is False
