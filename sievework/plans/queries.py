@@ -400,9 +400,13 @@ def render_samples(spark, sf_dir):
 _VOICE = "concat('from manim import *', chr(10), 'class V', doc_id, '(VoiceoverScene):', chr(10), '    def construct(self):', chr(10), '        with self.voiceover(text=\"', replace(replace(left(text, 60), chr(10), ' '), '\"', ''), '\") as tracker:', chr(10), '            self.play(Create(Circle()))', chr(10), '        self.wait()', chr(10))"
 
 
+#: The same scene with the whole text narrated.
+_VOICE_WHOLE = _VOICE.replace("left(text, 60)", "text")
+
+
 @query()
 def voiceover_convert(spark, sf_dir):
-    v = documents(spark, sf_dir).select(F.col("doc_id").alias("seq"), fixes.plain_scene_code(F.expr(_VOICE)).alias("f"))
+    v = documents(spark, sf_dir).select(F.col("doc_id").alias("seq"), fixes.plain_scene_code(F.expr(_VOICE_WHOLE)).alias("f"))
     return v.select("seq", "f.code", "f.blocks", "f.classes")
 
 

@@ -24,3 +24,10 @@ def test_query(spark, db, name):
 
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_voiceover_convert_narrates_whole_texts(spark, tmp_path):
+    text = " ".join(f"word{i}" for i in range(60))
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    r = QUERIES["voiceover_convert"](spark, str(tmp_path)).first()
+    assert r["blocks"] == 1 and "self.wait(5.0)" in r["code"]  # 60 words; the first 60 characters give 4.0 s
