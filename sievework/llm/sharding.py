@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.shared import materialise, positioned
@@ -56,6 +56,10 @@ def schedule(classes: list[tuple[int, int, int]], shards: int) -> list[tuple[int
     return out
 
 
+def _text_key() -> Column:
+    return F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+
+
 def assign_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
     """Shard and slot of every row: rows of equal text stay together, shards hold near-equal bytes.
 
@@ -63,8 +67,13 @@ def assign_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
     empty texts. Repeated rows are rows of their group; equal doc_ids only share the order of slots.
     An empty table gives no rows. Returns doc_id, size, text_crc32, shard, slot.
     """
+    return _assigned(docs, shards).drop("key")
+
+
+def _assigned(docs: DataFrame, shards: int) -> DataFrame:
+    """`assign_shards` with the hash of the text, `key`."""
     text = F.coalesce("text", F.lit("")).cast("binary")
-    rows = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.unhex(F.sha2(text, 256)).alias("key"))
+    rows = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), _text_key().alias("key"))
     rows = positioned(rows, ["key", "doc_id"], "shard-rows")
     groups = rows.groupBy("key").agg(F.count("*").alias("copies"), F.first("size").alias("size"), F.min("pos").alias("first"))
     groups = positioned(groups, [(-F.col("size") * F.col("copies")).alias("w"), "size", "key"], "shard-groups").withColumnRenamed("pos", "at")
@@ -75,14 +84,24 @@ def assign_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
     shard = F.size(F.filter("bounds", lambda b: b <= rank)) - 1
     placed = groups.join(plan, ["size", "copies"]).withColumn("shard", shard)
     placed = placed.select("key", "first", "shard", (F.expr("slots[shard]") + (rank - F.expr("bounds[shard]")) * F.col("copies")).alias("slot0"))
-    return rows.join(placed, "key").select("doc_id", "size", "text_crc32", "shard", (F.col("slot0") + F.col("pos") - F.col("first")).alias("slot"))
+    return rows.join(placed, "key").select("key", "doc_id", "size", "text_crc32", "shard", (F.col("slot0") + F.col("pos") - F.col("first")).alias("slot"))
 
 
 def shard_files(docs: DataFrame, path: str, shards: int = 8) -> DataFrame:
-    """Write docs as one folder per shard under `path`, rows joined by doc_id; returns the assignment."""
-    plan = materialise(assign_shards(docs, shards), "shard-plan")
-    docs.join(plan.select("doc_id", "shard", "slot").dropDuplicates(["doc_id"]), "doc_id").write.partitionBy("shard").mode("overwrite").parquet(path)
-    return plan
+    """Write docs as one folder per shard under `path`; returns the assignment.
+
+    Rows meet their slot by doc_id (null too), text and their number among the rows equal in both, so every row
+    is written once and equal texts stay in one shard.
+    """
+    from pyspark.sql import Window
+
+    plan = materialise(_assigned(docs, shards), "shard-plan")
+    same = Window.partitionBy("_key", "_id")
+    numbered = docs.withColumns({"_key": _text_key(), "_id": F.col("doc_id")}).withColumn("_n", F.row_number().over(same.orderBy(F.lit(0))))
+    slots = plan.select(F.col("key").alias("_k"), F.col("doc_id").alias("_i"), "shard", "slot").withColumn("_m", F.row_number().over(Window.partitionBy("_k", "_i").orderBy("slot")))
+    met = numbered.join(slots, (F.col("_key") == F.col("_k")) & F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_n") == F.col("_m")))
+    met.select(*docs.columns, "shard", "slot").write.partitionBy("shard").mode("overwrite").parquet(path)
+    return plan.drop("key")
 
 
 def shard_digest(docs: DataFrame) -> DataFrame:

@@ -171,6 +171,17 @@ def test_sharding(docs, empty):
     assert sharding.shard_digest(empty).count() == 0
 
 
+def test_shard_files_write_every_row(spark, tmp_path):
+    table = [(None, "a b"), (None, "a b"), (1, "a b"), (1, "c " * 9), (1, "c " * 9), (2, "c " * 9), (3, None), (None, "d")]
+    df = spark.createDataFrame(table, "doc_id long, text string")
+    sharding.shard_files(df, str(tmp_path / "out"), 3)
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(map(str, table)) == sorted(str((r["doc_id"], r["text"])) for r in got)
+    for t in {t for _, t in table}:
+        assert len({r["shard"] for r in got if r["text"] == t}) == 1
+    assert len({(r["shard"], r["slot"]) for r in got}) == len(table)
+
+
 def test_schedule_equals_heap():
     import heapq
 
