@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import bisect
 import heapq
+import math
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions.similarity import jaccard_floor, similarity
 from sievework.functions.text import normalize_code, normalize_description, token_set
+from sievework.operators.store import joined_unevenly, stored
 
 THRESHOLD = 0.95
 
@@ -44,70 +46,74 @@ def distinct_by(samples: DataFrame, *keys: str | Column, order: str = "seq") ->
 def exact_survivors(samples: DataFrame) -> DataFrame:
     """Of each exact class the row of highest priority, of these the earliest; rows without code all stay.
 
-    Takes the columns of `with_keys` and `with_priority`. One combined aggregate a class, no window over it.
+    Takes the columns of `with_keys` and `with_priority`. The keys are made once and written; one combined
+    aggregate a class, no window over it.
     """
-    best = samples.where("code_key is not null").groupBy("code_key").agg(F.min(F.struct((-F.col("priority")).alias("p"), "seq")).alias("b")).select(F.col("b.seq").alias("seq"))
-    return samples.join(best, "seq", "left_semi").unionByName(samples.where("code_key is null"))
+    keys = stored(samples.select("seq", "code_key", "priority"), "dedup-classes")
+    best = keys.where("code_key is not null").groupBy("code_key").agg(F.min(F.struct((-F.col("priority")).alias("p"), "seq")).alias("b")).select(F.col("b.seq").alias("seq"))
+    return samples.join(best.unionByName(keys.where("code_key is null").select("seq")), "seq", "left_semi")
+
+
+def _banded(rows: DataFrame, n: str, floor: float, around: int) -> DataFrame:
+    """A row for each band of set sizes within `around` of its own; sizes in the ratio of the floor lie at most a band apart."""
+    band = F.floor(F.log(F.col(n)) / -math.log(floor)).cast("int")
+    return rows.withColumn("band", F.explode(F.sequence(band - around, band + around)) if around else band)
 
 
 def prefix_edges(keyed: DataFrame, threshold: float = THRESHOLD, code_only: bool = False) -> DataFrame:
     """Pairs i < j above the threshold, by a prefix-filter join on the rarest code tokens.
 
     A pair above the threshold has a Jaccard index over (t - 0.2) / 0.8, so it shares one of the rarest
-    |x| - ceil(J |x|) + 1 tokens of either row, and its lengths differ by at most the ratio that leaves.
-    Rows of one exact class have equal token sets, so one representative of each distinct (tokens, length,
-    description) carries the join; a hot text does not square.
+    |x| - ceil(J |x|) + 1 tokens of either row, its lengths differ by at most the ratio that leaves, and what
+    stands after the shared token in both orders is still enough for the overlap. Rows meet by token and band
+    of set sizes. One representative of each distinct (code, description) is written and carries the join: the
+    normal forms are made once, and a hot text does not square.
     """
     floor = jaccard_floor(threshold)
-    rows = keyed.where(F.size("t_code") > 0)
-    group = ["n_code", "n_desc"]
-    reps = rows.groupBy(*group).agg(F.min("seq").alias("seq"), F.first("t_code").alias("t_code"), F.first("t_desc").alias("t_desc"))
+    reps = keyed.where("n_code <> ''").groupBy("n_code", "n_desc").agg(F.min("seq").alias("seq"))
+    reps = stored(reps.withColumns({"t_code": token_set(F.col("n_code")), "t_desc": token_set(F.col("n_desc"))}).where(F.size("t_code") > 0), "dedup-texts")
+    return _text_edges(reps, threshold, floor, code_only)
+
+
+def _text_edges(reps: DataFrame, threshold: float, floor: float, code_only: bool) -> DataFrame:
+    """`prefix_edges` of a written table of distinct texts: seq, n_code, n_desc, t_code, t_desc."""
     spread = reps.select("seq", F.size("t_code").alias("n"), F.length("n_code").alias("len"), F.explode("t_code").alias("token"))
-    counts = spread.groupBy("token").count()
-    ranked = spread.join(counts, "token").groupBy("seq", "n", "len").agg(F.array_sort(F.collect_list(F.struct("count", "token"))).alias("tokens"))
+    counts = stored(spread.groupBy("token").count().withColumn("weight", F.col("count")), "dedup-tokens")
+    ranked = joined_unevenly(spread, counts, "token", "weight").groupBy("seq", "n", "len").agg(F.array_sort(F.collect_list(F.struct("count", "token"))).alias("tokens"))
     prefix = (F.col("n") - F.ceil(F.lit(floor) * F.col("n") - 1e-9) + 1).cast("int")
-    short = ranked.select("seq", "n", "len", F.explode(F.slice("tokens", F.lit(1), prefix)).alias("t")).select("seq", "n", "len", "t.token")
-    a, b = short.alias("a"), short.alias("b")
+    short = ranked.select("seq", "n", "len", F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("pos", "t")).select("seq", "n", "len", "pos", "t.token")
+    short = stored(short, "dedup-prefixes")
+    a, b = _banded(short, "n", floor, 1).alias("a"), _banded(short, "n", floor, 0).alias("b")
     ratio = (threshold - 0.8) / 0.2
     near = (F.least("a.len", "b.len") >= F.greatest("a.len", "b.len") * ratio) & (F.least("a.n", "b.n") >= F.greatest("a.n", "b.n") * floor)
-    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.seq") < F.col("b.seq")) & near).select(F.col("a.seq").alias("i"), F.col("b.seq").alias("j")).distinct()
-    left = reps.select([F.col(c).alias(f"i_{c}") for c in reps.columns])
-    right = reps.select([F.col(c).alias(f"j_{c}") for c in reps.columns])
-    met = pairs.join(left, F.col("i") == F.col("i_seq")).join(right, F.col("j") == F.col("j_seq"))
+    rest = F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos"))  # shared tokens at most, if this is the first
+    seen = F.least("a.pos", "b.pos")
+    near = near & ((rest + seen) * (1 + floor) >= (F.col("a.n") + F.col("b.n")) * floor - 1e-9)
+    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.band") == F.col("b.band")) & (F.col("a.seq") < F.col("b.seq")) & near)
+    pairs = stored(pairs.select(F.col("a.seq").alias("i"), F.col("b.seq").alias("j")).distinct(), "dedup-pairs")
+    met = stored(reps.join(pairs.select(F.explode(F.array("i", "j")).alias("seq")).distinct(), "seq", "left_semi"), "dedup-met")
+    left, right = (met.select([F.col(c).alias(f"{side}_{c}") for c in met.columns]) for side in "ij")
+    both = pairs.join(left, F.col("i") == F.col("i_seq")).join(right, F.col("j") == F.col("j_seq"))
     sim = lambda what: similarity(F.col(f"i_n_{what}"), F.col(f"j_n_{what}"), F.col(f"i_t_{what}"), F.col(f"j_t_{what}"))
-    edges = met.select("i", "j", sim("desc").alias("desc_sim"), sim("code").alias("code_sim")).where(F.col("code_sim") > threshold)
+    edges = both.select("i", "j", sim("desc").alias("desc_sim"), sim("code").alias("code_sim")).where(F.col("code_sim") > threshold)
     return edges if code_only else edges.where((F.col("desc_sim") > threshold) | (F.col("code_sim") == 1.0))
 
 
-def _checkpointing(df: DataFrame) -> None:
-    """Checkpoints go where spark.checkpoint.dir says; where it is unset and the master local, to a temporary folder."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        import tempfile
-
-        root = context.getConf().get("spark.checkpoint.dir")
-        if not root and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(root or tempfile.mkdtemp(prefix="sievework-"))
-
-
-def components(edges: DataFrame, limit: int = 100) -> DataFrame:
-    """(node, root) by alternating large-star and small-star steps, each checkpointed, until they settle."""
-    _checkpointing(edges)
-    edges = edges.select(F.greatest("i", "j").alias("u"), F.least("i", "j").alias("v")).where("u <> v").distinct().checkpoint()
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) by alternating large-star and small-star steps, each written, until they settle."""
+    edges = stored(edges.select(F.greatest("i", "j").alias("u"), F.least("i", "j").alias("v")).where("u <> v").distinct(), "dedup-links")
     before = None
-    for _ in range(limit):
+    while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = small.union(low.select("u", "m")).distinct().checkpoint()
+        edges = stored(small.union(low.select("u", "m")).distinct(), "dedup-links")
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
-            break
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = now
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
 def resolve(rows: pd.DataFrame) -> pd.DataFrame:
@@ -173,29 +179,60 @@ def resolve(rows: pd.DataFrame) -> pd.DataFrame:
 REMOVED = "seq long, kept_seq long, reason string, desc_sim double, code_sim double"
 
 
+def _classes_removed(rows: DataFrame) -> DataFrame:
+    """The greedy rule inside exact classes that nothing else links to: no row needs more than its class's record holders.
+
+    A class's holder is the first row, then each first row of a priority above all before it; a row loses to
+    the holder of its time, a holder to the next one. There are at most as many holders as priorities.
+    """
+    firsts = rows.groupBy("code_key", "priority").agg(F.min(F.struct("seq", "text")).alias("f"), F.count("*").alias("n"))
+    firsts = firsts.select("code_key", F.struct(F.col("f.seq").alias("seq"), "priority", F.col("f.text").alias("text")).alias("f"), "n")
+    classes = firsts.groupBy("code_key").agg(F.array_sort(F.collect_list("f")).alias("firsts"), F.sum("n").alias("rows"))
+    start = F.array().cast("array<struct<seq: long, priority: int, text: binary>>")
+    last = lambda held: F.get(held, F.size(held) - 1)
+    holders = F.aggregate("firsts", start, lambda held, f: F.when((F.size(held) == 0) | (last(held)["priority"] < f["priority"]), F.array_append(held, f)).otherwise(held))
+    classes = stored(classes.where("rows > 1").select("code_key", "rows", holders.alias("holders")), "dedup-holders")
+    met = joined_unevenly(rows.select("seq", "code_key", "text"), classes, "code_key", "rows")
+    before = F.filter("holders", lambda h: h["seq"] <= F.col("seq"))
+    kept = F.when(last(before)["seq"] == F.col("seq"), F.get("holders", F.size(before))).otherwise(last(before))
+    out = met.select("seq", "text", kept.alias("k")).where("k is not null")
+    desc = F.when(F.col("text") == F.col("k.text"), 1.0)
+    return out.select("seq", F.col("k.seq").alias("kept_seq"), F.lit("exact_code_match").alias("reason"), desc.alias("desc_sim"), F.lit(1.0).alias("code_sim"))
+
+
 def greedy_removed(samples: DataFrame, priorities: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Every removed row, what it lost to, and why; desc_sim is null where only the codes were compared.
+    """Every removed row, what it lost to, and why; desc_sim is null where only the codes were compared (equal texts: 1).
 
-    Links and components are found between groups of equal normal forms. The rule itself goes row by row
-    (a row that loses later may have removed others before), so a component's rows meet in one task, as a few
-    numbers each; texts stay behind.
+    Normal forms are made once and written with the keys. Links and components are found between groups of
+    equal normal forms. A component that is one exact class is settled by joins; where near links tie texts
+    together the rule goes row by row (a row that loses later may have removed others before), so such a
+    component's rows meet in one task, as a few numbers each; texts stay behind.
     """
     keyed = with_priority(with_keys(samples), priorities).where("code_key is not null")
-    firsts = keyed.groupBy("n_code", "n_desc", "code_key").agg(F.min("seq").alias("gid"))
-    reps = keyed.join(firsts.select(F.col("gid").alias("seq")), "seq", "left_semi")
-    classes = firsts.groupBy("code_key").agg(F.min("gid").alias("i"))
-    stars = firsts.select("code_key", F.col("gid").alias("j")).join(classes, "code_key").where("i < j").select("i", "j")
-    _checkpointing(samples)
-    near = prefix_edges(reps, threshold).checkpoint()
-    roots = components(stars.unionByName(near.select("i", "j")))
-    own = near.groupBy(F.col("i").alias("gid")).agg(F.collect_list(F.struct("j", "desc_sim", "code_sim")).alias("edges"))
-    rows = keyed.select("seq", "n_code", "n_desc", "code_key", "priority").join(firsts, ["n_code", "n_desc", "code_key"]).select("seq", "gid", "code_key", "priority")
-    repeated = rows.groupBy("gid").count().where("count > 1").select("gid", F.col("gid").alias("root"))
-    placed = roots.select(F.col("node").alias("gid"), "root").unionByName(roots.select(F.col("root").alias("gid"), "root")).unionByName(repeated)
-    placed = placed.groupBy("gid").agg(F.min("root").alias("root"))
-    members = rows.join(placed, "gid").join(own.withColumnRenamed("gid", "g"), (F.col("gid") == F.col("g")) & (F.col("seq") == F.col("g")), "left").drop("g")
+    text = F.unhex(F.sha2(F.concat_ws("\0", "n_code", "n_desc"), 256))
+    keyed = stored(keyed.select("seq", F.col("priority").cast("int").alias("priority"), "code_key", text.alias("text"), "n_code", "n_desc"), "dedup-keyed")
+    groups = stored(keyed.groupBy("text", "code_key").agg(F.min("seq").alias("gid"), F.count("*").alias("rows")), "dedup-groups")
+    reps = keyed.join(groups.select(F.col("gid").alias("seq")), "seq", "left_semi").select("seq", "n_code", "n_desc")
+    reps = stored(reps.withColumns({"t_code": token_set(F.col("n_code")), "t_desc": token_set(F.col("n_desc"))}).where(F.size("t_code") > 0), "dedup-texts")
+    near = stored(_text_edges(reps, threshold, jaccard_floor(threshold), False), "dedup-near")
+
+    # Classes that a near link touches, with all their groups; their components are told apart by the links.
+    ends = near.where("code_sim < 1").select(F.explode(F.array("i", "j")).alias("gid")).distinct()
+    tied = stored(groups.join(ends, "gid", "left_semi").groupBy("code_key").count().select("code_key"), "dedup-tied")
+    own = groups.join(tied, "code_key", "left_semi")
+    firsts = own.groupBy("code_key").agg(F.min("gid").alias("i"))
+    stars = own.select("code_key", F.col("gid").alias("j")).join(firsts, "code_key").where("i < j").select("i", "j")
+    roots = stored(components(stars.unionByName(near.select("i", "j"))), "dedup-roots")
+    placed = roots.select(F.col("node").alias("gid"), "root").unionByName(roots.select(F.col("root").alias("gid"), "root")).distinct()
+    table = stored(own.join(placed, "gid").select("text", "gid", "root", "rows"), "dedup-placed")
+    rows = joined_unevenly(keyed.select("seq", "priority", "code_key", "text"), table, "text", "rows")
+    edges = near.groupBy(F.col("i").alias("g")).agg(F.collect_list(F.struct("j", "desc_sim", "code_sim")).alias("edges"))
+    members = rows.join(edges, (F.col("gid") == F.col("g")) & (F.col("seq") == F.col("g")), "left").drop("g", "text")
     members = members.withColumn("edges", F.coalesce("edges", F.array().cast("array<struct<j: long, desc_sim: double, code_sim: double>>")))
-    return members.groupBy("root").applyInPandas(resolve, REMOVED).withColumn("desc_sim", F.nanvl("desc_sim", F.lit(None).cast("double")))
+    linked = members.groupBy("root").applyInPandas(resolve, REMOVED).withColumn("desc_sim", F.nanvl("desc_sim", F.lit(None).cast("double")))
+
+    alone = _classes_removed(stored(keyed.select("seq", "priority", "code_key", "text").join(tied, "code_key", "left_anti"), "dedup-alone"))
+    return linked.unionByName(alone)
 
 
 def greedy_survivors(samples: DataFrame, priorities: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

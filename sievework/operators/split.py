@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.functions.text import augment_prompt, ensure_scene
+from sievework.operators.store import positioned
 
 SYSTEM = "You write Manim Community scenes that run as they are. Answer with one fenced block of Python."
 
@@ -31,12 +32,8 @@ def exact_split(samples: DataFrame, ratio: float = 0.1, seed: int = 42) -> DataF
 
 
 def dense_index(samples: DataFrame, order: str = "seq") -> DataFrame:
-    """Add `idx`, the row's place from 0 in `order`: range-partitioned, with one count a partition summed up."""
-    ordered = samples.repartitionByRange(order).sortWithinPartitions(order).withColumn("_p", F.spark_partition_id())
-    ends = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    base = ordered.groupBy("_p").count().select("_p", F.coalesce(F.sum("count").over(ends), F.lit(0)).alias("_base"))
-    local = F.row_number().over(Window.partitionBy("_p").orderBy(order)) - 1
-    return ordered.withColumn("_i", local).join(F.broadcast(base), "_p").withColumn("idx", F.col("_base") + F.col("_i")).drop("_p", "_i", "_base")
+    """Add `idx`, the row's place from 0 in `order`; every row and column comes through, whatever the shuffle settings."""
+    return positioned(samples, [order], "dense-index", "idx")
 
 
 def modulo_split(samples: DataFrame, every: int = 10) -> DataFrame:

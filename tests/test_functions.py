@@ -56,7 +56,7 @@ def test_error_order(spark):
         ("class A(Scene):\n    def construct(self): ...", "empty_construct", ["A"]),
         ("class A(Scene):\n    def construct(self): pass\nclass B(A): x = 1", "empty_construct", ["A"]),
         ("x = (", "ok", False),
-        ("a" * 2_000_000, "ok", False),
+        ("a" * 2_000_000, "ok", True),
         ("(" * 5000 + ")" * 5000, "ok", False),
     ],
 )
@@ -160,6 +160,38 @@ def test_greedy_equals_brute_force(spark):
     assert dedup.removed_examples(removed, s, 5).count() == 5
 
 
+def test_greedy_of_exact_classes_names_what_each_row_lost_to(spark):
+    rows = [(i, "d", c, s) for i, (c, s) in enumerate([("x y", "low"), ("x y", "low"), ("y x", "mid"), ("x y", "low"), ("x y", "high"), ("x y", "mid"), ("", "low"), ("", "low"), (None, "high"), ("q", "low")])]
+    s = spark.createDataFrame(rows, "seq long, description string, code string, source string")
+    p = spark.createDataFrame([("low", 1), ("mid", 2), ("high", 3)], "source_id string, priority int")
+    got = {r["seq"]: (r["kept_seq"], r["desc_sim"]) for r in dedup.greedy_removed(s, p).collect()}
+    assert got == {0: (2, None), 1: (0, 1.0), 2: (4, None), 3: (2, None), 5: (4, 1.0)}
+    assert dedup.greedy_removed(s.where("false"), p).count() == 0
+
+
+def test_components_of_a_long_path(spark):
+    """However far apart the ends of a chain are, it has one root."""
+    n = 150
+    chain = spark.range(n - 1).select(F.col("id").alias("i"), (F.col("id") + 1).alias("j"))
+    roots = dedup.components(chain).collect()
+    assert {r["node"] for r in roots} == set(range(1, n)) and {r["root"] for r in roots} == {0}
+
+
+@pytest.mark.parametrize("aqe", ["true", "false"])
+def test_dense_index_keeps_wide_rows(spark, aqe):
+    """Under adaptive coalescing, with long columns, and a column called pos."""
+    spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select(F.col("doc_id").alias("seq"), "text", F.lit("own").alias("pos"))
+        got = split.dense_index(d).select("seq", "idx", F.md5("text").alias("h"), "pos").toPandas().sort_values("seq")
+        assert len(got) == 10_000 and got["idx"].tolist() == list(range(10_000)) and set(got["pos"]) == {"own"}
+        assert split.modulo_split(d).where("split = 'test'").count() == 1000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_exact_priority(spark):
     s = spark.createDataFrame([(1, "a", "x y", "low"), (2, "b", "y x", "high"), (3, "c", "", "low"), (4, "d", "", "low")], "seq long, description string, code string, source string")
     p = spark.createDataFrame([("high", 3)], "source_id string, priority int")
