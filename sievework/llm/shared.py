@@ -2,66 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
 
-_OWN: dict[str, str] = {}
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+from sievework.operators.store import joined_unevenly, positioned, scratch, shared_root
+from sievework.operators.store import stored as materialise
 
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as `spark.checkpoint.dir` names it.
-
-    Where it is unset a temporary folder serves, but only for a local master: on a cluster the
-    executors would each write to their own disk.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if "root" not in _OWN:
-        _OWN["root"] = tempfile.mkdtemp(prefix="sievework-")
-        atexit.register(shutil.rmtree, _OWN["root"], True)
-    return _OWN["root"]
-
-
-def materialise(df: DataFrame, tag: str) -> DataFrame:
-    """Write df to the shared folder as Parquet and read it back: cuts lineage, survives lost executors.
-
-    The shuffle files that only this write needed go when it ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_root(spark)}/sievework/{tag}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def positioned(df: DataFrame, order: list, tag: str) -> DataFrame:
-    """df sorted by `order` over range partitions, with its dense global position `pos` (from 0).
-
-    Only one count per partition passes through a single task, so no sort or numbering is ever
-    done in one place. The order columns should tell rows apart; rows equal in all of them get
-    neighbouring positions in any order.
-    """
-    row = F.monotonically_increasing_id()
-    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    kept = materialise(ordered.withColumns({"_pid": F.shiftright(row, 33), "_idx": row.bitwiseAND((1 << 33) - 1)}), tag)
-    ends = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    base = kept.groupBy("_pid").count().select("_pid", F.coalesce(F.sum("count").over(ends), F.lit(0)).alias("_base"))
-    return kept.join(F.broadcast(base), "_pid").withColumn("pos", F.col("_base") + F.col("_idx")).drop("_pid", "_idx", "_base")
+__all__ = ["byte_texts", "chunks", "joined_unevenly", "materialise", "positioned", "scratch", "shared_root"]
 
 
 def byte_texts(column: pa.Array) -> list[bytes]:

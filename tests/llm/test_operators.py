@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -125,23 +126,73 @@ def test_packing(docs, empty):
     assert packing.pack_documents(empty).count() == 0
 
 
-def test_best_fit_equals_sequential():
-    lengths = sorted((draw.randrange(1, 65) for _ in range(700)), reverse=True)
+def _best_fit(lengths, capacity):
+    """Number of sequences of sequential best-fit decreasing."""
     gaps: list[int] = []
-    for n in lengths:
+    for n in sorted(lengths, reverse=True):
         fits = [g for g in gaps if g >= n]
         if fits:
             gaps.remove(min(fits))
             gaps.append(min(fits) - n)
         else:
-            gaps.append(64 - n)
-    counts = {n: lengths.count(n) for n in set(lengths)}
-    runs = packing.best_fit(counts, 64)
-    used = {}
-    for length, _, n, lo, each, offset in runs:
-        for k in range(n):
-            used.setdefault(lo + k // each, []).append((offset + k % each * length, length))
-    assert len(used) == len(gaps) and all(sum(x[1] for x in u) <= 64 for u in used.values())
+            gaps.append(capacity - n)
+    return len(gaps)
+
+
+def _table(rows):
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["p", "kind", "id", "size", "places"])
+
+
+@pytest.mark.parametrize("parts", [1, 4, 9])
+def test_sweeps_over_partitions_equal_one_stack(parts):
+    """Successors and ranks do not depend on how the sorted entries are cut."""
+    entries = [(0, i, draw.randrange(1, 60), draw.choice([1, 1, 3])) for i in range(60)] + [(1, i, draw.randrange(1, 60), 1) for i in range(130)]
+    entries.sort(key=lambda e: (-e[2], e[0], e[1]))
+    stack, want = [], {}
+    for kind, i, _, places in entries:
+        if kind == 0:
+            stack += [i] * places
+        elif stack:
+            want[i] = stack.pop()
+    cuts = [0, *sorted(draw.sample(range(1, len(entries)), parts - 1)), len(entries)]
+    out = []
+    for p, (s, e) in enumerate(zip(cuts, cuts[1:])):
+        rows = [(p, *entry) for entry in entries[s:e]]
+        out += [r for batch in packing.sweep(iter([_table(rows[:5])] + ([_table(rows[5:])] if rows[5:] else []))) for r in batch.to_pylist()]
+    counts = [(p, sum(r["p"] == p and r["kind"] == 1 for r in out), sum(r["n"] for r in out if r["p"] == p)) for p in range(parts)]
+    runs, served = packing.carried(counts)
+    got = {r["id"]: r["seq"] for r in out if r["kind"] == 2}
+    left = {(r["p"], r["at"] + k): r["id"] for r in out if r["kind"] == 0 for k in range(r["n"])}
+    alone = {(r["p"], r["at"]): r["id"] for r in out if r["kind"] == 1}
+    for p, first, n, at, top in runs:
+        got |= {alone[p, first + k]: left[at, top - 1 - k] for k in range(n)}
+    assert got == want
+    assert all((at < served[p]) == (i in got) for (p, at), i in alone.items())
+
+
+@pytest.mark.parametrize("lengths", [[draw.randrange(1, 65) for _ in range(700)], [3] * 500, [draw.randrange(20, 24) for _ in range(300)], [33] * 20 + [2] * 900, [64] * 5, [1]])
+def test_rounds_come_near_sequential_best_fit(spark, lengths):
+    df = spark.createDataFrame([(i, 0, n) for i, n in enumerate(lengths)], "doc_id long, piece int, length long").repartition(3)
+    got = rows(packing.pack(df, 64))
+    assert sorted(got["length"]) == sorted(lengths)
+    for _, own in got.groupby("sequence_id"):
+        own = own.sort_values("offset")
+        assert own["offset"].tolist() == [0, *own["length"].cumsum().tolist()[:-1]] and own["length"].sum() <= 64
+    assert got["sequence_id"].nunique() <= 1.02 * _best_fit(lengths, 64) + 1
+
+
+def test_packing_of_long_runs_and_missing_ids(spark):
+    """A run of a million blanks or line ends, with and without characters that only one library is asked for."""
+    from tokenizers import Tokenizer
+
+    full = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a" + " " * 1_200_000 + "b", "\n" * 1_100_000, "x" * 300_000, "字" + " \t" * 30_000 + "é", "  " * 9000 + "w", "a  b\n\n c" * 5000, "!" * 1_000_001, "'s" * 100_000, " x" * 300_000]
+    for t in texts:
+        want = np.array(full.encode(t, add_special_tokens=False).ids, np.uint32)
+        assert (packing.byte_bpe(t) == want).all()
+    df = spark.createDataFrame([(None, texts[0]), (None, texts[0]), (4, None)], "doc_id long, text string")
+    got = rows(packing.pack_documents(df))
+    assert got["doc_id"].isna().sum() == len(got) - 1 and not got[["sequence_id", "offset"]].duplicated().any()
 
 
 def test_topk(spark):
@@ -151,7 +202,7 @@ def test_topk(spark):
     floor = {i: [int(np.floor(64 * x)) for x in v] for i, v in table if v and None not in v and np.isfinite(v).all()}
     got = rows(topk.exact_topk(df, 5))
     for q in (i for i in floor if i % 20 == 0):
-        best = sorted((max(1 - (1 << 62), min((1 << 62) - 1, -sum(a * b for a, b in zip(floor[q], v)))), i) for i, v in floor.items() if i != q)[:5]
+        best = sorted((-max(-(1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(floor[q], v)))), i) for i, v in floor.items() if i != q)[:5]
         own = got[got.query_id == q].sort_values("rank")
         assert own["vec_id"].tolist() == [i for _, i in best] and own["rank"].tolist() == [1, 2, 3, 4, 5]
         assert own["score"].tolist() == [-s for s, _ in best]
@@ -159,6 +210,44 @@ def test_topk(spark):
     assert len(topk.exact_topk(df.where("vec_id < 3")).collect()) == 2
 
 
+def _topk(table, k, every=20):
+    floor = [(i, [int(np.floor(64 * x)) for x in v]) for i, v in table]
+    out = []
+    for q in sorted({i for i, _ in floor if i % every == 0}):
+        own = min(v for i, v in table if i == q)
+        own = [int(np.floor(64 * x)) for x in own]
+        best = sorted((-max(-(1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(own, v)))), i) for i, v in floor if i != q)[:k]
+        out += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
+    return out
+
+
+def test_topk_of_repeated_ids_and_large_scores(spark, monkeypatch):
+    table = [(20, [0.5, 0.5]), (20, [1.0, 0.0]), (1, [0.3, 0.1]), (3, [0.2, 0.9]), (3, [0.2, 0.9]), (5, [2.0**25, 1.5 * 2.0**24]), (40, [2.0**25, 2.0**24]), (-60, [-(2.0**25), 1.0]), (60, [1.0] * 2), (60, [1.0] * 2)]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk.exact_topk(df, 3).collect())) == _topk(table, 3)
+    assert max(r["score"] for r in topk.exact_topk(df, 3).collect()) > 1 << 62
+    monkeypatch.setattr(topk, "QUERY_BYTES", 16)  # a query a round
+    assert sorted(map(tuple, topk.exact_topk(df, 20).collect())) == _topk(table, 20)
+
+
+def test_topk_compacts_candidates_on_mass_bounds():
+    """Where masses differ most candidates go before their last dimension, and none that counts."""
+    r = np.random.default_rng(4)
+    x = np.floor(r.normal(0, 40, (4000, 64)) * np.linspace(2, 0.05, 64))
+    q, ids = x[:8], np.arange(4000)
+    best = topk.Best(ids[:8], np.ascontiguousarray(q.T), 10)
+    whole = topk.mass(np.ascontiguousarray(x.T))
+    order = np.argsort(-whole[0], kind="stable")
+    for s in range(0, 4000, 500):
+        at = order[s : s + 500]
+        best.offer(ids[at], np.ascontiguousarray(x[at].T), whole[:, at])
+    scores = (q @ x.T).astype(np.int64)
+    for k in range(8):
+        want = sorted((-s, i) for i, s in enumerate(scores[k].tolist()) if i != k)[:10]
+        assert list(zip((-best.score[k]).tolist(), best.vec[k].tolist(), strict=True)) == want
+    assert best.dropped > 0.5 * best.seen
+
+
 def test_sharding(docs, empty):
     got = rows(sharding.shard_digest(docs))
     assert sorted(got["doc_id"]) == list(range(len(TEXTS)))
@@ -268,11 +357,13 @@ def _jaccard_kept(texts):
     return [i for i, r in enumerate(root) if i == r]
 
 
-@pytest.mark.parametrize("hot", [64, 3])
-def test_representatives_by_jaccard(spark, monkeypatch, hot):
+@pytest.mark.parametrize(("counters", "block", "bucket"), [(1 << 20, 2048, 2_000_000), (16, 3, 50)])
+def test_representatives_by_jaccard(spark, monkeypatch, counters, block, bucket):
     from sievework.llm import jaccard
 
-    monkeypatch.setattr(jaccard, "HOT", hot)
+    monkeypatch.setattr(jaccard, "COUNTERS", counters)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "BUCKET", bucket)
     r = random.Random(11)
     texts = ["", None, "one two", "ONE  two", "one two three"]
     for k in range(30):
@@ -420,8 +511,7 @@ def test_pipeline(spark):
     kept = rows(quality.score_documents(docs, labels))
     clean = rows(toxicity.score_documents(docs, labels))
     left = before[before["doc_id"].isin(kept[kept["predicted"] == 1]["doc_id"]) & before["doc_id"].isin(clean[clean["predicted"] == 0]["doc_id"])].sort_values("doc_id")
-    fps = {i: _fingerprint(t) for i, t in zip(left["doc_id"], left["text"], strict=True)}
-    left = left[[i == c for i, c in _classes(fps).items()]]
+    left = left.iloc[_jaccard_kept(left["text"].tolist())]
     want = sum(n - r for n, r, _ in _windows_removed(left["text"].tolist()))
     at = docs
     for name, stage in corpus_pipeline.STAGES[:4]:
