@@ -142,6 +142,22 @@ def validate(samples: DataFrame, config: Mapping[str, Any] | None = None, source
     return out.withColumns({"issue_texts": texts, "is_valid": passes(F.col("issues"), strict)})
 
 
+def validate_by_source(samples: DataFrame, config: Mapping[str, Any] | None = None, strict: bool = True) -> DataFrame:
+    """As `validate`, with each source's overrides where the configuration has some. Every row is parsed once."""
+    named = sorted((config or {}).get("source_overrides", {}))
+    others = samples.where(~F.coalesce(F.col("source").isin(named), F.lit(False))) if named else samples
+    out = validate(others, config, strict=strict)
+    for name in named:
+        out = out.unionByName(validate(samples.where(F.col("source") == name), config, name, strict))
+    return out
+
+
+def usable(code_only_sources: list[str] = ()) -> Column:
+    """`basic`, or `code_only` for the sources that have no descriptions."""
+    loose = F.coalesce(F.col("source").isin(list(code_only_sources)), F.lit(False)) if code_only_sources else F.lit(False)
+    return F.when(loose, code_only(F.col("code"))).otherwise(basic(F.col("code"), F.col("description")))
+
+
 def dry_run(samples: DataFrame) -> DataFrame:
     """Add `would_render`: the code parses, has a scene class by name and the text defines construct."""
     return samples.withColumn("would_render", py_facts(F.col("code"))["dry_run_scene"].isNotNull() & F.coalesce(F.col("code").contains("def construct"), F.lit(False)))

@@ -11,13 +11,19 @@ from sievework.operators.store import positioned
 SYSTEM = "You write Manim Community scenes that run as they are. Answer with one fenced block of Python."
 
 
+def draw(seed: int, key: str = "seq") -> Column:
+    """A number of 32 bits for each row, by MD5 of key and seed, which any engine can repeat."""
+    return F.conv(F.left(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), F.lit(8)), 16, 10).cast("long")
+
+
 def exact_split(samples: DataFrame, ratio: float = 0.1, seed: int = 42) -> DataFrame:
-    """Add `split`: exactly int(n * ratio) rows are test, chosen by hash order of (seq, seed).
+    """Add `split`: exactly int(n * ratio) rows are test, the first in order of MD5 of (seq, seed).
 
     The cut is found from counts of hash prefixes, so no global sort runs: all prefixes below the cut's are
     test whole, and only the rows of the one prefix that holds the cut are ranked.
     """
-    hashed = samples.withColumn("_h", F.xxhash64("seq", F.lit(seed))).withColumn("_b", F.shiftrightunsigned("_h", 48))
+    hashed = samples.withColumn("_h", F.md5(F.concat_ws(":", F.col("seq").cast("string"), F.lit(str(seed)))))
+    hashed = hashed.withColumn("_b", F.conv(F.left("_h", F.lit(4)), 16, 10).cast("int"))
     counts = sorted((r["_b"], r["count"]) for r in hashed.groupBy("_b").count().collect())  # at most 65,536 rows
     left, edge = int(sum(n for _, n in counts) * ratio), -1
     for b, n in counts:
@@ -43,7 +49,7 @@ def modulo_split(samples: DataFrame, every: int = 10) -> DataFrame:
 
 def augmented(train: DataFrame, seed: int = 42) -> DataFrame:
     """Every row and one or two prompt variants of it, the number drawn by hash; variants drop the repair flags."""
-    n = F.pmod(F.xxhash64("seq", F.lit(seed)), F.lit(2)) + 1
+    n = draw(seed) % 2 + 1
     out = train.withColumn("variant", F.explode(F.sequence(F.lit(0).cast("long"), n)))
     out = out.withColumn("description", augment_prompt(F.col("description"), F.col("variant")))
     for name in ("auto_fixed", "fixes_applied"):
@@ -91,6 +97,6 @@ def curriculum(samples: DataFrame, length: Column, levels: int = 4) -> DataFrame
 
 def weighted_sample(samples: DataFrame, weights: dict[str, float], seed: int = 42) -> DataFrame:
     """A sample by source, repeatable: a row stays if its hash falls below the source's weight."""
-    share = F.pmod(F.xxhash64("seq", F.lit(seed)), F.lit(1_000_000)) / 1_000_000
+    share = draw(seed) % 1_000_000 / 1_000_000
     weight = F.create_map(*(x for k, w in weights.items() for x in (F.lit(k), F.lit(float(w))))) if weights else F.create_map().cast("map<string,double>")
     return samples.where(share < F.coalesce(F.try_element_at(weight, F.col("source")), F.lit(1.0)))

@@ -107,3 +107,55 @@ def voiceover_stats(files: DataFrame, code: str = "code") -> DataFrame:
     blocks = F.regexp_extract_all(F.col(code), F.lit(r"voiceover\(\s*(?:text\s*=\s*)?\"([^\"]*)\""), F.lit(1))
     words = F.transform(blocks, lambda b: F.size(F.filter(F.split(b, r"\s+"), lambda w: w != "")))
     return files.select("*", F.size(blocks).alias("blocks"), F.aggregate(words, F.lit(0), lambda a, w: a + w).alias("words"), F.array_max(words).alias("longest"), F.regexp_count(F.col(code), F.lit(r"<bookmark")).alias("bookmarks"))
+
+
+def fix_statistics(fixed: DataFrame) -> DataFrame:
+    """Samples processed and fixed, the rate, and counts of fixes by kind and of fixed samples by source, in one row."""
+    whole = fixed.agg(F.count("*").alias("samples_processed"), F.count_if("auto_fixed").alias("samples_fixed"))
+    kinds = tag_counts(fixed).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("tag", "n")))).alias("fixes_by_type"))
+    sources = fixed.where("auto_fixed").groupBy("source").count().agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("source", "count")))).alias("fixes_by_source"))
+    rate = F.coalesce(F.col("samples_fixed") * 100 / F.nullif(F.col("samples_processed"), F.lit(0)), F.lit(0.0))
+    return whole.withColumn("fix_rate", rate).join(kinds, how="cross").join(sources, how="cross")  # one row each
+
+
+def render_statistics(rendered: DataFrame) -> DataFrame:
+    """Rendered samples: totals, passed, failed, repaired, failures by source and by kind of error, in one row."""
+    from sievework.functions.text import error_bucket
+
+    whole = rendered.agg(F.count("*").alias("total_samples"), F.count_if("rendering_validated").alias("valid_samples"), F.count_if("rendering_failed").alias("invalid_samples"), F.count_if(F.col("auto_fixed") & F.col("rendering_validated")).alias("fixed_and_rendered"))
+    failed = rendered.where("rendering_failed")
+    counted = lambda key, name: failed.groupBy(key.alias("k")).count().agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("k", "count")))).alias(name))
+    rate = F.coalesce(F.col("valid_samples") * 100 / F.nullif(F.col("total_samples"), F.lit(0)), F.lit(0.0))
+    return whole.withColumn("pass_rate", rate).join(counted(F.col("source"), "failures_by_source"), how="cross").join(counted(error_bucket(F.col("render_error")), "failures_by_error"), how="cross")
+
+
+def dedup_report(before: DataFrame, removed: DataFrame) -> DataFrame:
+    """Raw, unique and removed samples, removals by reason and source, kept by source, and removals by similarity."""
+    total = before.groupBy("source").count()
+    gone = removed.join(before.select("seq", "source"), "seq")
+    reasons = gone.agg(F.count("*").alias("duplicates_removed"), F.count_if(F.col("reason") == "exact_code_match").alias("exact_code_duplicates"), F.count_if(F.col("reason") == "high_similarity").alias("high_similarity_duplicates"))
+    by = gone.groupBy("source").count().withColumnRenamed("count", "gone")
+    kept = total.join(by, "source", "left").select("source", (F.col("count") - F.coalesce("gone", F.lit(0))).alias("kept"), F.coalesce("gone", F.lit(0)).alias("gone"), "count")
+    maps = kept.agg(F.sum("count").alias("total_raw_samples"), F.map_from_entries(F.sort_array(F.collect_list(F.struct("source", "gone")))).alias("duplicates_by_source"), F.map_from_entries(F.sort_array(F.collect_list(F.struct("source", "kept")))).alias("kept_by_source"))
+    shown = gone.groupBy(F.round("code_sim", 1).cast("string").alias("bucket")).count().agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("bucket", "count")))).alias("similarity_distribution"))
+    one = maps.join(reasons, how="cross").join(shown, how="cross")
+    unique = F.col("total_raw_samples") - F.col("duplicates_removed")
+    return one.withColumns({"unique_samples": unique, "reduction_percentage": F.coalesce(F.col("duplicates_removed") * 100 / F.nullif(F.col("total_raw_samples"), F.lit(0)), F.lit(0.0))})
+
+
+def split_statistics(train: DataFrame, final_train: DataFrame, test: DataFrame) -> DataFrame:
+    """Sizes before and after augmentation, the factor between, and the train rows by source, in one row."""
+    sizes = train.agg(F.count("*").alias("train_before_augmentation")).join(test.agg(F.count("*").alias("test")), how="cross")
+    by = final_train.groupBy("source").count().agg(F.coalesce(F.sum("count"), F.lit(0)).alias("train_after_augmentation"), F.map_from_entries(F.sort_array(F.collect_list(F.struct("source", "count")))).alias("source_distribution"))
+    return sizes.join(by, how="cross").withColumn("augmentation_factor", F.coalesce(F.col("train_after_augmentation") / F.nullif(F.col("train_before_augmentation"), F.lit(0)), F.lit(0.0)))
+
+
+def converter_counts(converted: DataFrame) -> DataFrame:
+    """Of `plain_scene_code`'s rows (struct `f`): files, blocks, bookmarks and classes converted."""
+    return converted.agg(F.count("*").alias("files"), *(F.coalesce(F.sum(f"f.{c}"), F.lit(0)).alias(c) for c in ("blocks", "bookmarks", "classes")))
+
+
+def distinct_days(samples: DataFrame) -> DataFrame:
+    """Number of distinct days in the metadata (`day`, or `aoc_day`) by source."""
+    day = F.coalesce(F.get_json_object("metadata", "$.day"), F.get_json_object("metadata", "$.aoc_day"))
+    return samples.groupBy("source").agg(F.count_distinct(day).alias("days"))

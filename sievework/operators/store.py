@@ -77,12 +77,14 @@ def scratch(spark: SparkSession) -> Iterator[None]:
 def positioned(df: DataFrame, order: list, tag: str, name: str = "pos") -> DataFrame:
     """df sorted by `order` over range partitions, with its dense global position (from 0) as column `name`.
 
+    Without an order the rows are numbered as they come.
+
     Rows are written with the number of their partition before anything else looks at it: a range exchange
     planned twice may be cut in two ways. Only one count per partition passes through a single task. Rows
     equal in all order columns get neighbouring positions in any order.
     """
     row = F.monotonically_increasing_id()
-    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
     pid, idx, base = (f"_{name}_{part}" for part in ("pid", "idx", "base"))
     kept = stored(ordered.withColumns({pid: F.shiftright(row, 33), idx: row.bitwiseAND((1 << 33) - 1)}), tag)
     ends = Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
@@ -90,18 +92,19 @@ def positioned(df: DataFrame, order: list, tag: str, name: str = "pos") -> DataF
     return kept.join(F.broadcast(bases), pid).withColumn(name, F.col(base) + F.col(idx)).drop(pid, idx, base)
 
 
-def joined_unevenly(rows: DataFrame, table: DataFrame, key: str, weight: str, how: str = "inner", most: int = 1000) -> DataFrame:
+def joined_unevenly(rows: DataFrame, table: DataFrame, key: str | list[str], weight: str, how: str = "inner", most: int = 1000) -> DataFrame:
     """rows joined to a table of unique keys, where a few keys may hold most rows.
 
     `weight` is the table's column of how many rows have the key. Fewer than `most` keys can have over one in
     `most` of all rows: these are broadcast and their rows stay where they are, the rest meet by shuffle. Both
     sides should be stored tables. `weight` is not in the result.
     """
-    total = table.agg(F.sum(weight)).first()[0] or 0
-    bound = max(10_000, total // most)
-    heavy = table.where(F.col(weight) > bound).drop(weight)
-    if heavy.isEmpty():
+    seen = table.agg(F.sum(weight).alias("total"), F.max(weight).alias("top")).first()
+    bound = max(10_000, (seen["total"] or 0) // most)
+    if (seen["top"] or 0) <= bound:
         return rows.join(table.drop(weight), key, how)
+    heavy = table.where(F.col(weight) > bound).drop(weight)
     light = table.where(F.col(weight) <= bound).drop(weight)
-    apart = rows.join(F.broadcast(heavy.select(key)), key, "left_anti").join(light, key, how)
+    keys = [key] if isinstance(key, str) else key
+    apart = rows.join(F.broadcast(heavy.select(*keys)), key, "left_anti").join(light, key, how)
     return rows.join(F.broadcast(heavy), key, "inner").unionByName(apart)

@@ -1,7 +1,8 @@
 """Every operator as a query over the test tables, with SQL of the same meaning where SQL has one.
 
-`documents` stands for samples: seq is doc_id, the first line is the description, and the code is the text
-itself, or (where a rule looks at Python) a scene built around it by `CODE`, in a form that both engines share.
+`documents` stands for samples: seq is doc_id, the whole text is description and code. Where a rule looks at Python
+the code is a scene that `CODE` puts above the whole text, as a comment, in a form that both engines share; the SQL
+reads that code and nothing else.
 """
 
 from __future__ import annotations
@@ -19,33 +20,36 @@ from sievework.sources.registry import REGISTRY
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-_SCENE = "concat('from manim import *', chr(10), chr(10), 'class S', doc_id, '(Scene):', chr(10), '    def construct(self):', chr(10)"
-#: Python around a document, by doc_id: sound scenes, and one fault or outdated call each.
+#: The whole text as comment lines.
+_COMMENT = "concat('# ', replace(text, chr(10), concat(chr(10), '# ')), chr(10))"
+_SCENE = f"concat('from manim import *', chr(10), chr(10), 'class S', doc_id, '(Scene):', chr(10), '    def construct(self):', chr(10)"
+#: Python above a document, by doc_id: sound scenes, and one fault or outdated call each; and a document as it is.
 CODE = f"""CASE doc_id % 16
- WHEN 0 THEN {_SCENE}, '        c = Circle()', chr(10), '        self.play(ShowCreation(c))', chr(10), '        self.wait(', doc_id % 7, ')', chr(10))
- WHEN 1 THEN {_SCENE}, '        t = TextMobject("a")', chr(10), '        t.set_width(', doc_id % 5, ')', chr(10), '        self.play(FadeInFromDown(t))', chr(10))
- WHEN 2 THEN {_SCENE}, '        s = Square()', chr(10), '        self.add(s)', chr(10), '        self.play(s.animate.shift(UP))', chr(10))
- WHEN 3 THEN concat('class S', doc_id, '(Scene):', chr(10), '    def construct(self):', chr(10), '        self.play(Write(MathTex("x")))', chr(10))
- WHEN 4 THEN {_SCENE}, '        pass', chr(10))
- WHEN 5 THEN concat('from manim import *', chr(10), 'x = Circle()', chr(10), 'print("', doc_id, '", x)', chr(10))
- WHEN 6 THEN {_SCENE}, '        # Your code here', chr(10), '        self.play(FadeOutAndShift(d, UP))', chr(10))
- WHEN 7 THEN concat('from manim import *', chr(10), 'class S', doc_id, '(Scene:', chr(10), '    def construct(self)', chr(10))
- WHEN 8 THEN {_SCENE}, '        a = Axes()', chr(10), '        self.play(Write(a))', chr(10), '        h = a.get_height()', chr(10))
- WHEN 9 THEN concat('x = ', doc_id)
- WHEN 10 THEN {_SCENE}, '        d = Dot()', chr(10), '        print(d.center[0])', chr(10), '        self.remove(d)', chr(10))
- WHEN 11 THEN {_SCENE}, '        ...', chr(10), '        self.wait()', chr(10))
- WHEN 12 THEN {_SCENE}, '        self.play(FadeInFrom(Arrow(), LEFT))', chr(10))
- WHEN 13 THEN concat('from manim import *', chr(10), 'class S', doc_id, '(Scene):', chr(10), '    x = Line()', chr(10), '    y = "self.play("', chr(10))
- WHEN 14 THEN {_SCENE}, '        t = TexMobject("y", tex_to_color_map=m)', chr(10), '        self.play(Write(t))', chr(10))
+ WHEN 0 THEN {_SCENE}, '        c = Circle()', chr(10), '        self.play(ShowCreation(c))', chr(10), '        self.wait(', doc_id % 7, ')', chr(10), {_COMMENT})
+ WHEN 1 THEN {_SCENE}, '        t = TextMobject("a")', chr(10), '        t.set_width(', doc_id % 5, ')', chr(10), '        self.play(FadeInFromDown(t))', chr(10), {_COMMENT})
+ WHEN 2 THEN {_SCENE}, '        s = Square()', chr(10), '        self.add(s)', chr(10), '        self.play(s.animate.shift(UP))', chr(10), {_COMMENT})
+ WHEN 3 THEN concat('class S', doc_id, '(Scene):', chr(10), '    def construct(self):', chr(10), '        self.play(Write(MathTex("x")))', chr(10), {_COMMENT})
+ WHEN 4 THEN {_SCENE}, '        pass', chr(10), {_COMMENT})
+ WHEN 5 THEN concat('from manim import *', chr(10), 'x = Circle()', chr(10), 'print("', doc_id, '", x)', chr(10), {_COMMENT})
+ WHEN 6 THEN {_SCENE}, '        # Your code here', chr(10), '        self.play(FadeOutAndShift(d, UP))', chr(10), {_COMMENT})
+ WHEN 7 THEN concat('from manim import *', chr(10), 'class S', doc_id, '(Scene:', chr(10), '    def construct(self)', chr(10), {_COMMENT})
+ WHEN 8 THEN {_SCENE}, '        a = Axes()', chr(10), '        self.play(Write(a))', chr(10), '        h = a.get_height()', chr(10), {_COMMENT})
+ WHEN 9 THEN concat('x = ', doc_id, chr(10), {_COMMENT})
+ WHEN 10 THEN {_SCENE}, '        d = Dot()', chr(10), '        print(d.center[0])', chr(10), '        self.remove(d)', chr(10), {_COMMENT})
+ WHEN 11 THEN {_SCENE}, '        ...', chr(10), '        self.wait()', chr(10), {_COMMENT})
+ WHEN 12 THEN {_SCENE}, '        self.play(FadeInFrom(Arrow(), LEFT))', chr(10), {_COMMENT})
+ WHEN 13 THEN concat('from manim import *', chr(10), 'class S', doc_id, '(Scene):', chr(10), '    x = Line()', chr(10), '    y = "self.play("', chr(10), {_COMMENT})
+ WHEN 14 THEN {_SCENE}, '        t = TexMobject("y", tex_to_color_map=m)', chr(10), '        self.play(Write(t))', chr(10), {_COMMENT})
  ELSE text END"""
+#: As CODE, with a document's text below an assignment where it would be plain prose, which SQL cannot parse.
+PYTHON = CODE.replace("ELSE text END", f"ELSE concat('z', doc_id, ' = 1', chr(10), {_COMMENT}) END")
 
-FIRST_LINE = "split_part(text, chr(10), 1)"
 _PRIORITY = "CAST(substr(source, 4) AS INT) % 5 + 1"
 _ND = r"trim(regexp_replace(lower(%s), '\s+', ' ', 'g'))"
 _NC = r"array_to_string(list_filter(list_transform(string_split(%s, chr(10)), lambda l: trim(regexp_replace(split_part(l, '#', 1), '\s+', ' ', 'g'))), lambda l: l <> ''), chr(10))"
 _TOKENS = r"list_sort(list_distinct(list_filter(regexp_split_to_array(%s, '\s+'), lambda t: t <> '')))"
 _KEY = f"concat(length(n_code), ' ', array_to_string({_TOKENS % 'n_code'}, ' '))"
-_SAMPLES = f"SELECT doc_id AS seq, source, text AS code, {FIRST_LINE} AS description FROM documents"
+_SAMPLES = "SELECT doc_id AS seq, source, text AS code, text AS description FROM documents"
 _KEPT = f"""k AS (SELECT seq, source, n_code, {_KEY} AS key, {_PRIORITY} AS priority FROM (SELECT seq, source, {_NC % 'code'} AS n_code FROM ({_SAMPLES}))),
 kept AS (SELECT seq, source FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY priority DESC, seq) AS r FROM k WHERE n_code <> '') WHERE r = 1 UNION ALL SELECT seq, source FROM k WHERE n_code = '')"""
 
@@ -68,17 +72,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as samples."""
-    return documents(spark, sf_dir).select(F.col("doc_id").alias("seq"), F.substring_index("text", "\n", 1).alias("description"), F.col("text").alias("code"), "source")
+    return documents(spark, sf_dir).select(F.col("doc_id").alias("seq"), F.col("text").alias("description"), F.col("text").alias("code"), "source")
 
 
 def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as samples whose code is Python."""
-    return documents(spark, sf_dir).select(F.col("doc_id").alias("seq"), F.substring_index("text", "\n", 1).alias("description"), F.expr(CODE).alias("code"), "source")
+    return documents(spark, sf_dir).select(F.col("doc_id").alias("seq"), F.col("text").alias("description"), F.expr(CODE).alias("code"), "source")
 
 
 def python_scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As `scenes`, with an assignment where the code would be plain prose."""
-    return documents(spark, sf_dir).select(F.col("doc_id").alias("seq"), F.expr(CODE.replace("ELSE text END", "ELSE concat('z', doc_id, ' = 1') END")).alias("code"))
+    """Documents as samples whose code is Python without exception, but for the faulty scenes."""
+    return documents(spark, sf_dir).select(F.col("doc_id").alias("seq"), F.expr(PYTHON).alias("code"))
 
 
 def priorities(df: DataFrame) -> DataFrame:
@@ -137,6 +141,10 @@ def ensure_scene(spark, sf_dir):
     return scenes(spark, sf_dir).select("seq", text.ensure_scene(F.col("code")).alias("code"))
 
 
+_PROMPT = "CASE k % 6 WHEN 0 THEN d WHEN 1 THEN 'Create a Manim animation that ' || l WHEN 2 THEN 'Write Manim code to ' || l WHEN 3 THEN 'Generate a Manim scene that ' || l WHEN 4 THEN 'Implement a Manim animation for: ' || d ELSE 'Using Manim, ' || l END"
+_LOWERED = "CASE WHEN upper(left(text, 1)) = left(text, 1) THEN lower(left(text, 1)) || substr(text, 2) ELSE text END"
+
+
 @query(
     f"""SELECT seq, CASE seq % 6 WHEN 0 THEN d WHEN 1 THEN 'Create a Manim animation that ' || l WHEN 2 THEN 'Write Manim code to ' || l WHEN 3 THEN 'Generate a Manim scene that ' || l WHEN 4 THEN 'Implement a Manim animation for: ' || d ELSE 'Using Manim, ' || l END AS prompt
 FROM (SELECT seq, description AS d, CASE WHEN upper(left(description, 1)) = left(description, 1) THEN lower(left(description, 1)) || substr(description, 2) ELSE description END AS l FROM ({_SAMPLES}))"""
@@ -145,7 +153,7 @@ def augment_templates(spark, sf_dir):
     return samples(spark, sf_dir).select("seq", text.augment_prompt(F.col("description"), F.col("seq")).alias("prompt"))
 
 
-_DESCRIBED = "CASE doc_id % 5 WHEN 0 THEN concat('[PENDING_DESCRIPTION] ', source) WHEN 1 THEN left(text, 15) WHEN 2 THEN concat('todo: describe it well ', source) ELSE split_part(text, chr(10), 1) END"
+_DESCRIBED = "CASE doc_id % 5 WHEN 0 THEN concat('[PENDING_DESCRIPTION] ', source) WHEN 1 THEN text WHEN 2 THEN concat('todo: describe it well ', source) ELSE text END"
 
 
 @query(f"SELECT doc_id AS seq, starts_with(d, '[PENDING_DESCRIPTION]') OR length(d) < 20 OR (contains(d, '[') AND contains(d, ']')) OR contains(upper(d), 'TODO') OR contains(upper(d), 'PLACEHOLDER') OR trim(d) = '' AS needs FROM (SELECT doc_id, {_DESCRIBED} AS d FROM documents)")
@@ -175,7 +183,7 @@ def duration_estimate(spark, sf_dir):
     return samples(spark, sf_dir).select("seq", text.spoken_seconds(F.col("description")).alias("seconds"))
 
 
-_ERROR = "concat(CASE doc_id % 9 WHEN 0 THEN 'ImportError: x ' WHEN 1 THEN 'SyntaxError ' WHEN 2 THEN 'Timeout ' WHEN 3 THEN 'No video file ' WHEN 4 THEN 'AttributeError: ' WHEN 5 THEN 'TypeError ' WHEN 6 THEN 'NameError ' WHEN 7 THEN 'syntax of import ' ELSE '' END, left(text, 40))"
+_ERROR = "concat(CASE doc_id % 9 WHEN 0 THEN 'ImportError: x ' WHEN 1 THEN 'SyntaxError ' WHEN 2 THEN 'Timeout ' WHEN 3 THEN 'No video file ' WHEN 4 THEN 'AttributeError: ' WHEN 5 THEN 'TypeError ' WHEN 6 THEN 'NameError ' WHEN 7 THEN 'syntax of import ' ELSE '' END, text)"
 
 
 @query(
@@ -273,7 +281,7 @@ def duplicate_analysis(spark, sf_dir):
 # Quality
 
 
-@query("SELECT source, count(*) AS n, count(*) FILTER (WHERE length(text) >= 20 AND length(split_part(text, chr(10), 1)) >= 5) AS valid FROM documents GROUP BY source")
+@query("SELECT source, count(*) AS n, count(*) FILTER (WHERE length(text) >= 20 AND length(text) >= 5) AS valid FROM documents GROUP BY source")
 def basic_validation(spark, sf_dir):
     return samples(spark, sf_dir).groupBy("source").agg(F.count("*").alias("n"), F.count_if(quality.basic(F.col("code"), F.col("description"))).alias("valid"))
 
@@ -281,7 +289,7 @@ def basic_validation(spark, sf_dir):
 _OBJECTS = "|".join(quality.OBJECTS)
 _METHODS = "|".join(quality.METHODS)
 _SHAPE = " ".join(f"WHEN contains(lower(d), '{n}') AND NOT ({' OR '.join(f'''contains(c, '{w}')''' for w in signs)}) THEN '{n}'" for n, signs in quality.SHAPES.items())
-_DESC = "CASE doc_id % 7 WHEN 0 THEN '' WHEN 1 THEN 'Create a Manim animation.' WHEN 2 THEN concat('a circle and a ', split_part(text, chr(10), 1)) WHEN 3 THEN concat('Draw [TODO] ', split_part(text, chr(10), 1)) WHEN 4 THEN '[PLACEHOLDER] later' ELSE split_part(text, chr(10), 1) END"
+_DESC = "CASE doc_id % 7 WHEN 0 THEN '' WHEN 1 THEN 'Create a Manim animation.' WHEN 2 THEN concat('a circle and a ', text) WHEN 3 THEN concat('Draw [TODO] ', text) WHEN 4 THEN '[PLACEHOLDER] later' ELSE text END"
 _RULES = rf"""r AS (SELECT *, NOT (d = '' OR starts_with(d, '[PENDING_DESCRIPTION]') OR starts_with(d, '[PLACEHOLDER')) AS asks FROM (SELECT doc_id AS seq, {_DESC} AS d, {CODE} AS c FROM documents)),
 i AS (SELECT seq, list_filter([
  CASE WHEN trim(d) = '' THEN 'V2' END,
@@ -316,16 +324,20 @@ def quality_verdict_vs_labels(spark, sf_dir):
     return _judged(spark, sf_dir).join(labels, "seq").groupBy("quality", "toxic").agg(F.count("*").alias("n"), F.count_if(quality.passes(F.col("issues"), False)).alias("lenient_ok"))
 
 
+#: What the syntax tree says of PYTHON's forms, read off the code's lines.
+_TREE = rf"""t AS (SELECT *, ok AND regexp_matches(c, '(?m)^class \w+\(Scene\):$') AS scene FROM (SELECT doc_id AS seq, c, NOT regexp_matches(c, '(?m)^class \w+\(Scene:$') AS ok FROM (SELECT doc_id, {PYTHON} AS c FROM documents)))"""
+
+
 @query(
-    """SELECT doc_id AS seq, k NOT IN (7) AS ok, k NOT IN (3, 7, 9, 15) AS has_import, k NOT IN (5, 7, 9, 15) AS has_scene, k = 13 AS missing_construct, k IN (4) AS empty_construct, k = 11 AS has_ellipsis
-FROM (SELECT doc_id, doc_id % 16 AS k FROM documents)"""
+    rf"""WITH {_TREE} SELECT seq, ok, ok AND regexp_matches(c, '(?m)^from \w+ import') AS has_import, scene AS has_scene, scene AND NOT regexp_matches(c, '(?m)^    def construct\(self\):$') AS missing_construct,
+ scene AND regexp_matches(c, '(?m)^    def construct\(self\):\n        (pass|\.\.\.)\n(#|$)') AS empty_construct, ok AND regexp_matches(c, '(?m)^ +\.\.\.$') AS has_ellipsis FROM t"""
 )
 def syntax_facts(spark, sf_dir):
     f = python_scenes(spark, sf_dir).select("seq", pycode.py_facts(F.col("code")).alias("f"))
     return f.select("seq", "f.ok", "f.has_import", (F.size("f.scene_classes") > 0).alias("has_scene"), (F.size("f.missing_construct") > 0).alias("missing_construct"), (F.size("f.empty_construct") > 0).alias("empty_construct"), "f.has_ellipsis")
 
 
-@query("SELECT doc_id AS seq, doc_id % 16 NOT IN (5, 7, 9, 13, 15) AS would_render FROM documents")
+@query(f"WITH {_TREE} SELECT seq, scene AND contains(c, 'def construct') AS would_render FROM t")
 def render_dry_run(spark, sf_dir):
     return quality.dry_run(python_scenes(spark, sf_dir)).select("seq", "would_render")
 
@@ -349,26 +361,34 @@ def quality_failures_by_source(spark, sf_dir):
 # Code repair
 
 
-_FIXED = {
-    0: ("showcreation_to_create", [("ShowCreation", "Create")]),
-    1: ("textmobject_to_text,fadeinfromdown_to_fadein,set_width_to_property", None),
-    6: ("fadeoutandshift_to_fadeout", [("FadeOutAndShift(d, UP)", "FadeOut(d, shift=UP)")]),
-    8: ("get_height_to_property", [("a.get_height()", "a.height")]),
-    10: ("center_to_get_center", [("d.center[0]", "d.get_center()[0]")]),
-    12: ("fadeinfrom_to_fadein", [("FadeInFrom(Arrow(), LEFT)", "FadeIn(Arrow(), shift=LEFT)")]),
-    14: ("texmobject_to_mathtex,removed_tex_to_color_map", [("TexMobject(\"y\", tex_to_color_map=m)", "MathTex(\"y\")")]),
-}
-_FIXED_SQL = "CASE doc_id % 16 " + " ".join(f"WHEN {k} THEN replace(x, '{pairs[0][0]}', '{pairs[0][1]}')" for k, (_, pairs) in _FIXED.items() if pairs) + " WHEN 1 THEN replace(replace(replace(x, 'TextMobject', 'Text'), 'FadeInFromDown(t)', 'FadeIn(t, shift=DOWN)'), concat('t.set_width(', doc_id % 5, ')'), concat('t.width = ', doc_id % 5)) ELSE x END"
-_TAGS_SQL = "CASE doc_id % 16 " + " ".join(f"WHEN {k} THEN '{t}'" for k, (t, _) in _FIXED.items()) + " ELSE '' END"
+#: (tag, condition on x, replacement of x), in the order of the chain; each sees what the one before left.
+_STEPS = [
+    ("texmobject_to_mathtex", "contains(x, 'TexMobject')", r"regexp_replace(x, '\bTexMobject\b', 'MathTex', 'g')"),
+    ("textmobject_to_text", "contains(x, 'TextMobject')", r"regexp_replace(x, '\bTextMobject\b', 'Text', 'g')"),
+    ("removed_tex_to_color_map", r"regexp_matches(x, 'tex_to_color_map\s*=\s*[{\w]')", r"regexp_replace(x, ',?\s*tex_to_color_map\s*=\s*(\w+|\{[^}]*\})', '', 'g')"),
+    ("center_to_get_center", "contains(x, '.center[') AND NOT contains(x, '.get_center()')", "replace(x, '.center[', '.get_center()[')"),
+    ("showcreation_to_create", "contains(x, 'ShowCreation')", r"regexp_replace(x, '\bShowCreation\b', 'Create', 'g')"),
+    *((f"fadeinfrom{d}_to_fadein", f"contains(x, 'FadeInFrom{d.title()}')", rf"regexp_replace(x, '\bFadeInFrom{d.title()}\s*\(\s*([^)]+?)\s*\)', 'FadeIn(\1, shift={d.upper()})', 'g')") for d in ("down", "up", "left", "right")),
+    *((f"{old.lower()}_to_{new.lower()}", rf"regexp_matches(x, '{old}\s*\(\s*[^,]+,\s*[^)]+\)')", rf"regexp_replace(x, '{old}\s*\(\s*([^,]+?)\s*,\s*([^)]+?)(\))?\s*\)', '{new}(\1, shift=\2\3)', 'g')") for old, new in (("FadeInFrom", "FadeIn"), ("FadeOutAndShift", "FadeOut"))),
+    *((f"set_{p}_to_property", rf"regexp_matches(x, '\w\.set_{p}\([^)]+\)')", rf"regexp_replace(x, '(\w+)\.set_{p}\(\s*([^)]+?)\s*\)', '\1.{p} = \2', 'g')") for p in ("width", "height")),
+    *((f"get_{p}_to_property", rf"regexp_matches(x, '\w\.get_{p}\(\s*\)')", rf"regexp_replace(x, '(\w+)\.get_{p}\(\s*\)', '\1.{p}', 'g')") for p in ("width", "height")),
+]
 
 
-@query(f"SELECT doc_id AS seq, {_FIXED_SQL} AS code, {_TAGS_SQL} AS tags FROM (SELECT doc_id, {CODE} AS x FROM documents)")
+def _stepped() -> str:
+    sql = f"SELECT doc_id AS seq, {CODE} AS x, CAST([] AS VARCHAR[]) AS tags FROM documents"
+    for tag, fires, then in _STEPS:
+        sql = f"SELECT seq, CASE WHEN {fires} THEN {then} ELSE x END AS x, CASE WHEN {fires} THEN list_append(tags, '{tag}') ELSE tags END AS tags FROM ({sql})"
+    return sql
+
+
+@query(f"SELECT seq, x AS code, array_to_string(tags, ',') AS tags FROM ({_stepped()})")
 def native_code_fixes(spark, sf_dir):
     fixed = scenes(spark, sf_dir).select("seq", fixes.native_fixes(F.col("code")).alias("f"))
     return fixed.select("seq", "f.code", F.array_join("f.tags", ",").alias("tags"))
 
 
-@query(f"SELECT tag, count(*) AS n FROM (SELECT unnest(string_split({_TAGS_SQL}, ',')) AS tag FROM documents) WHERE tag <> '' GROUP BY tag")
+@query(f"SELECT tag, count(*) AS n FROM (SELECT unnest(tags) AS tag FROM ({_stepped()})) GROUP BY tag")
 def fix_tag_counts(spark, sf_dir):
     tags = native_code_fixes(spark, sf_dir).select(F.split("tags", ",").alias("fixes_applied"))
     return statistics.tag_counts(tags).where("tag <> ''")
@@ -391,56 +411,61 @@ def render_fix(spark, sf_dir):
     return f.select("seq", "f.code", F.array_join("f.fixes", ",").alias("fixes"))
 
 
-@query()
+@query(f"SELECT doc_id AS seq, contains(x, 'self.play(') AS rendering_validated, false AS auto_fixed, CASE WHEN contains(x, 'self.play(') THEN NULL ELSE 'NameError' END AS render_error FROM (SELECT doc_id, {CODE} AS x FROM documents)")
 def render_samples(spark, sf_dir):
     done = quality.render(scenes(spark, sf_dir).select("seq", "code"), lambda code: ("self.play(" in code, None if "self.play(" in code else "NameError"))
     return done.select("seq", "rendering_validated", "auto_fixed", "render_error")
 
 
-_VOICE = "concat('from manim import *', chr(10), 'class V', doc_id, '(VoiceoverScene):', chr(10), '    def construct(self):', chr(10), '        with self.voiceover(text=\"', replace(replace(left(text, 60), chr(10), ' '), '\"', ''), '\") as tracker:', chr(10), '            self.play(Create(Circle()))', chr(10), '        self.wait()', chr(10))"
+_VOICE = "concat('from manim import *', chr(10), 'class V', doc_id, '(VoiceoverScene):', chr(10), '    def construct(self):', chr(10), '        with self.voiceover(text=\"', replace(replace(text, chr(10), ' '), '\"', ''), '\") as tracker:', chr(10), '            self.play(Create(Circle()))', chr(10), '        self.wait()', chr(10))"
 
 
-#: The same scene with the whole text narrated.
-_VOICE_WHOLE = _VOICE.replace("left(text, 60)", "text")
+_TOLD = "replace(replace(text, chr(10), ' '), '\"', '')"
 
 
-@query()
+@query(
+    f"""SELECT doc_id AS seq, CAST(1 AS INTEGER) AS blocks, CAST(1 AS INTEGER) AS classes, concat('from manim import *', chr(10), 'class V', doc_id, '(Scene):', chr(10), '    def construct(self):', chr(10), '        # Narration: ', left(trim(t), 100), chr(10), '        self.play(Create(Circle()))', chr(10),
+ '        self.wait(', CAST(round(greatest(0.5, least(5.0, len(list_filter(string_split(t, ' '), lambda w: w <> '')) * 60 / CAST(150 AS DOUBLE))), 1) AS VARCHAR), ')', chr(10), '        self.wait()', chr(10)) AS code FROM (SELECT doc_id, {_TOLD} AS t FROM documents)"""
+)
 def voiceover_convert(spark, sf_dir):
-    v = documents(spark, sf_dir).select(F.col("doc_id").alias("seq"), fixes.plain_scene_code(F.expr(_VOICE_WHOLE)).alias("f"))
+    v = documents(spark, sf_dir).select(F.col("doc_id").alias("seq"), fixes.plain_scene_code(F.expr(_VOICE)).alias("f"))
     return v.select("seq", "f.code", "f.blocks", "f.classes")
 
 
-@query(f"SELECT doc_id AS seq, CAST(1 AS INTEGER) AS blocks, CAST(len(list_filter(regexp_split_to_array(replace(replace(left(text, 60), chr(10), ' '), '\"', ''), '\\s+'), lambda w: w <> '')) AS INTEGER) AS words FROM documents")
+@query(f"SELECT doc_id AS seq, CAST(1 AS INTEGER) AS blocks, CAST(len(list_filter(regexp_split_to_array(replace(replace(text, chr(10), ' '), '\"', ''), '\\s+'), lambda w: w <> '')) AS INTEGER) AS words FROM documents")
 def voiceover_stats(spark, sf_dir):
     v = documents(spark, sf_dir).select(F.col("doc_id").alias("seq"), F.expr(_VOICE).alias("code"))
     return statistics.voiceover_stats(v).select("seq", "blocks", "words")
 
 
-_ASSET = "CASE doc_id % 8 WHEN 0 THEN 'farmer.png' WHEN 1 THEN 'euler.jpg' WHEN 2 THEN 'house.svg' WHEN 3 THEN 'leq.svg' WHEN 4 THEN 'truck.png' WHEN 5 THEN 'assets/a.png' WHEN 6 THEN concat(doc_id, 'z.png') ELSE 'q.svg' END"
+_ASSET = "concat(CASE doc_id % 8 WHEN 0 THEN 'farmer_' WHEN 1 THEN 'x_euler' WHEN 2 THEN 'my_house' WHEN 3 THEN 'leq' WHEN 4 THEN 'truck-' WHEN 5 THEN 'assets/' ELSE 'green_field_' END, CASE WHEN doc_id % 8 IN (1, 2, 3) THEN '' ELSE CAST(length(text) AS STRING) END, CASE doc_id % 8 WHEN 1 THEN '.jpg' WHEN 2 THEN '.svg' WHEN 3 THEN '.svg' ELSE '.png' END)"
 
 
-@query(f"SELECT strategy, count(*) AS n FROM (SELECT CASE doc_id % 8 WHEN 0 THEN 'character' WHEN 1 THEN 'portrait' WHEN 2 THEN 'building' WHEN 3 THEN 'math_symbol' WHEN 4 THEN 'vehicle' WHEN 5 THEN 'generic_shape' WHEN 6 THEN 'generic_shape' ELSE 'logo' END AS strategy FROM documents) GROUP BY strategy")
+@query(
+    rf"""SELECT strategy, count(*) AS n FROM (SELECT CASE WHEN contains(a, 'farmer') THEN 'character' WHEN suffix(a, 'euler.jpg') THEN 'portrait' WHEN suffix(a, 'house.svg') THEN 'building' WHEN suffix(a, 'leq.svg') THEN 'math_symbol'
+ WHEN contains(a, 'truck') THEN 'vehicle' WHEN regexp_matches(a, '(farm|field|landscape).*\.png') THEN 'background' ELSE 'generic_shape' END AS strategy FROM (SELECT {_ASSET} AS a FROM documents)) GROUP BY strategy"""
+)
 def asset_strategy(spark, sf_dir):
     return documents(spark, sf_dir).groupBy(pycode.asset_strategy(F.expr(_ASSET)).alias("strategy")).agg(F.count("*").alias("n"))
 
 
 @query()
 def asset_replace(spark, sf_dir):
-    code = F.concat(F.lit('x = ImageMobject("'), F.expr(_ASSET), F.lit('").scale(2)\n'))
+    code = F.concat(F.lit('x = ImageMobject("'), F.expr(_ASSET), F.lit('").scale(2)\n'), F.expr(_COMMENT))
     f = documents(spark, sf_dir).select(F.col("doc_id").alias("seq"), pycode.rewrite_code(code, "assets").alias("f"))
     return f.select("seq", "f.code", F.array_join("f.replaced", ",").alias("replaced"))
 
 
 @query()
 def animation_unpack(spark, sf_dir):
-    code = F.concat(F.lit("self.play(*xs, run_time="), F.col("doc_id").cast("string"), F.lit(")\n"))
+    code = F.concat(F.lit("self.play(*xs, run_time="), F.length("text").cast("string"), F.lit(")\n"), F.expr(_COMMENT))
     return documents(spark, sf_dir).select(F.col("doc_id").alias("seq"), pycode.rewrite_code(code, "unpack")["code"].alias("code"))
 
 
 @query()
 def dependency_bundle(spark, sf_dir):
     d = documents(spark, sf_dir)
-    code = F.expr("concat('class A(Scene):', chr(10), '    def construct(self):', chr(10), '        f', doc_id % 3, '()', chr(10))")
+    code = F.expr(f"concat('class A(Scene):', chr(10), '    def construct(self):', chr(10), '        f', length(text) % 3, '()', chr(10), {_COMMENT})")
     used = d.select(F.col("source").alias("dir"), F.col("doc_id").alias("seq"), code.alias("code"))
     utilities = d.select(F.col("source").alias("dir")).distinct().withColumn("content", F.lit("def g():\n    return 1\n\ndef f0():\n    return g()\n\ndef f1():\n    return 2\n\nK = 3\n\ndef f2():\n    return K\n"))
     return files.bundled(used, utilities).select("seq", "code", F.array_join("bundled_dependencies", ",").alias("names"))
@@ -457,7 +482,7 @@ def _stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return statistics.stage_counts({"initial_extraction": s, "after_quality": s.where(quality.basic(F.col("code"), F.col("description"))), "after_deduplication": kept})
 
 
-_STAGES = f"WITH {_KEPT}, c AS (SELECT d.source, count(*) AS initial_extraction, count(*) FILTER (WHERE length(text) >= 20 AND length({FIRST_LINE}) >= 5) AS after_quality, count(kept.seq) AS after_deduplication FROM documents d LEFT JOIN kept ON kept.seq = d.doc_id GROUP BY d.source)"
+_STAGES = f"WITH {_KEPT}, c AS (SELECT d.source, count(*) AS initial_extraction, count(*) FILTER (WHERE length(text) >= 20 AND length(text) >= 5) AS after_quality, count(kept.seq) AS after_deduplication FROM documents d LEFT JOIN kept ON kept.seq = d.doc_id GROUP BY d.source)"
 
 
 @query(f"{_STAGES} SELECT * FROM c")
@@ -524,9 +549,9 @@ def first_n_per_source(spark, sf_dir):
 # Split, conversations, sources
 
 
-@query("SELECT doc_id AS seq, CASE WHEN (row_number() OVER (ORDER BY doc_id) - 1) % 10 = 9 THEN 'test' ELSE 'train' END AS split FROM documents")
+@query("SELECT doc_id AS seq, text AS description, text AS code, source, CASE WHEN (row_number() OVER (ORDER BY doc_id) - 1) % 10 = 9 THEN 'test' ELSE 'train' END AS split FROM documents")
 def modulo_split(spark, sf_dir):
-    return split.modulo_split(samples(spark, sf_dir).select("seq")).select("seq", "split")
+    return split.modulo_split(samples(spark, sf_dir))
 
 
 @query("SELECT 'test' AS split, CAST(floor(count(*) * 0.1) AS BIGINT) AS n FROM documents UNION ALL SELECT 'train', count(*) - CAST(floor(count(*) * 0.1) AS BIGINT) FROM documents")
@@ -534,12 +559,15 @@ def split_counts(spark, sf_dir):
     return split.exact_split(samples(spark, sf_dir).select("seq")).groupBy("split").agg(F.count("*").alias("n"))
 
 
-@query()
+_DRAW = "CAST(concat('0x', left(md5(concat(doc_id, ':42')), 8)) AS BIGINT)"
+
+
+@query("SELECT doc_id AS seq, CASE WHEN row_number() OVER (ORDER BY md5(concat(doc_id, ':42')), doc_id) <= floor((SELECT count(*) FROM documents) * 0.1) THEN 'test' ELSE 'train' END AS split FROM documents")
 def hash_split(spark, sf_dir):
     return split.exact_split(samples(spark, sf_dir).select("seq"))
 
 
-@query()
+@query(f"SELECT seq, CAST(k AS BIGINT) AS variant, {_PROMPT} AS description FROM (SELECT doc_id AS seq, text AS d, {_LOWERED} AS l, unnest(range(2 + {_DRAW} % 2)) AS k FROM documents)")
 def augmented_train(spark, sf_dir):
     return split.augmented(samples(spark, sf_dir)).select("seq", "variant", "description")
 
@@ -561,13 +589,13 @@ def conversation_records(spark, sf_dir):
     return scenes(spark, sf_dir).select("seq", F.get(turns, F.lit(2))["value"].alias("answer"))
 
 
-_NAMED = "concat('from manim import *', chr(10), 'class A', doc_id % 100, '(Scene):', chr(10), '    pass')"
+_NAMED = f"concat('from manim import *', chr(10), 'class A', length(text) % 100, '(Scene):', chr(10), '    pass', chr(10), {_COMMENT})"
 
 
-@query("SELECT doc_id AS seq, CASE WHEN r = 1 THEN concat('A', k) ELSE concat('A', k, 'V', r) END AS name FROM (SELECT doc_id, doc_id % 100 AS k, row_number() OVER (PARTITION BY doc_id % 100 ORDER BY doc_id) AS r FROM documents)")
+@query(f"SELECT seq, CASE WHEN r = 1 THEN x ELSE replace(x, concat('class ', name, '('), concat('class ', name, 'V', r, '(')) END AS code FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY seq) AS r FROM (SELECT doc_id AS seq, x, regexp_extract(x, 'class (\\w+)\\(', 1) AS name FROM (SELECT doc_id, {_NAMED} AS x FROM documents)))")
 def class_conflict_rename(spark, sf_dir):
     d = documents(spark, sf_dir).select(F.col("doc_id").alias("seq"), F.expr(_NAMED).alias("code"))
-    return tables.unique_scene_names(d).select("seq", F.regexp_extract("code", r"class (\w+)\(", 1).alias("name"))
+    return tables.unique_scene_names(d).select("seq", "code")
 
 
 @query("SELECT doc_id AS seq FROM documents WHERE source NOT IN ('src0', 'src1')")
@@ -590,17 +618,20 @@ def description_cache_fill(spark, sf_dir):
     return filled.select("seq", F.when(F.col("description").startswith("kept"), "kept").otherwise(F.col("description")).alias("description"))
 
 
-@query("SELECT count(*) AS entries, CAST(coalesce(sum(strlen(d)), 0) AS BIGINT) AS bytes FROM (SELECT DISTINCT text, split_part(text, chr(10), 1) AS d FROM documents)")
+@query("SELECT count(*) AS entries, CAST(coalesce(sum(strlen(d)), 0) AS BIGINT) AS bytes FROM (SELECT DISTINCT text, text AS d FROM documents)")
 def description_cache_stats(spark, sf_dir):
     return descriptions.cache_stats(samples(spark, sf_dir).select("code", "description").distinct())
 
 
-@query("SELECT CAST(ceil(count(*) / 5.0) AS BIGINT) AS batches FROM documents")
+@query(
+    """SELECT CAST(idx // 5 AS BIGINT) AS batch, concat('Describe each animation in one sentence. Answer with a JSON array of strings.', chr(10), chr(10), string_agg(concat('[', idx, ']', chr(10), left(text, 500)), concat(chr(10), chr(10)) ORDER BY idx)) AS prompt
+FROM (SELECT text, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM documents) GROUP BY idx // 5"""
+)
 def description_prompts(spark, sf_dir):
-    return descriptions.prompts(samples(spark, sf_dir)).agg(F.count("*").alias("batches"))
+    return descriptions.prompts(samples(spark, sf_dir))
 
 
-@query()
+@query("SELECT doc_id AS batch, CAST(0 AS INTEGER) AS pos, CASE WHEN doc_id % 2 = 0 THEN source ELSE '[GENERATION_FAILED]' END AS description FROM documents UNION ALL SELECT doc_id, 1, text FROM documents WHERE doc_id % 2 = 0")
 def answer_parsing(spark, sf_dir):
     answers = samples(spark, sf_dir).select(F.col("seq").alias("batch"), F.when(F.col("seq") % 2 == 0, F.concat(F.lit("Sure: "), F.to_json(F.array("source", "description")))).otherwise("none").alias("answer"))
     return descriptions.parse_answers(answers)
@@ -615,9 +646,15 @@ def html_examples(spark, sf_dir):
     return files.pages_to_samples(d).select(F.col("path").cast("long").alias("seq"), "name", "category", "code")
 
 
-@query()
+_EXAMPLE = "concat('class P', page_id, '(Scene):', chr(10), '    def construct(self):', chr(10), '        self.play(Write(Text(\"', length(html), '\")))')"
+_WITH_EXAMPLE = f"concat(html, '<section id=\"plotting-with-manim\"><div class=\"notranslate highlight-python\"><div><pre>', {_EXAMPLE}, '</pre></div></div></section><pre>class Q(Scene): no example</pre>')"
+
+
+@query(f"SELECT url AS path, concat('P', page_id) AS name, 'Plotting' AS category, {_EXAMPLE} AS code FROM pages")
 def page_examples(spark, sf_dir):
-    return files.pages_to_samples(spark.read.parquet(f"{sf_dir}/pages.parquet")).select("path", "name", "code")
+    """Real pages with one example at the end of each."""
+    p = spark.read.parquet(f"{sf_dir}/pages.parquet").select("url", F.expr(_WITH_EXAMPLE).alias("html"))
+    return files.pages_to_samples(p).select("path", "name", "category", "code")
 
 
 @query()
@@ -628,20 +665,20 @@ def notebook_cells(spark, sf_dir):
     return files._expand(d, files.notebook_samples, "pos long, name string, description string, code string")
 
 
-@query()
+@query(rf"SELECT CAST(doc_id AS VARCHAR) AS path, concat('S', doc_id) AS name, regexp_extract(x, '(?s)(class S\d+\(Scene\):.*?)\n# ', 1) AS code, CAST(NULL AS VARCHAR) AS docstring FROM (SELECT doc_id, {CODE} AS x FROM documents) WHERE regexp_matches(x, '(?m)^class S\d+\(Scene\):$')")
 def scene_classes(spark, sf_dir):
     d = scenes(spark, sf_dir).select(F.col("seq").cast("string").alias("path"), F.col("code").alias("content"))
     return files._expand(d, pycode.scene_sources, "name string, code string, docstring string")
 
 
-@query()
+@query("WITH q AS (SELECT quantile_disc(length(text), [0.25, 0.5, 0.75]) AS c FROM documents) SELECT doc_id AS seq, CAST(length(text) > c[1] AS INTEGER) + CAST(length(text) > c[2] AS INTEGER) + CAST(length(text) > c[3] AS INTEGER) AS level FROM documents, q")
 def curriculum_levels(spark, sf_dir):
     return split.curriculum(samples(spark, sf_dir), F.length("code")).select("seq", "level")
 
 
-@query()
+@query(f"SELECT doc_id AS seq, source, text AS code FROM documents WHERE {_DRAW} % 1000000 / CAST(1000000 AS DOUBLE) < CASE source WHEN 'src0' THEN 0.2 WHEN 'src1' THEN 0.5 ELSE 1 END")
 def weighted_sample(spark, sf_dir):
-    return split.weighted_sample(samples(spark, sf_dir), {"src0": 0.2, "src1": 0.5}).select("seq", "source")
+    return split.weighted_sample(samples(spark, sf_dir), {"src0": 0.2, "src1": 0.5}).select("seq", "source", "code")
 
 
 def source_dimension(spark: SparkSession) -> DataFrame:

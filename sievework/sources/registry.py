@@ -9,6 +9,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievework.operators.store import positioned
+
 SAMPLE = ("seq", "description", "code", "source", "metadata")
 log = logging.getLogger(__name__)
 
@@ -24,6 +26,7 @@ class Source:
     title: str = ""
     default: bool = True  # read unless named ones are asked for
     settings: tuple[str, ...] = field(default=())
+    code_only: bool = False  # rows need no description
 
 
 class Registry:
@@ -80,21 +83,26 @@ class Registry:
         return spark.createDataFrame(rows, "source_id string, source_name string, priority int, estimate long")
 
     def load(self, spark: SparkSession, settings: dict[str, dict], wanted: Iterable[str] | None = None, excluded: Iterable[str] = ()) -> DataFrame:
-        """The selected sources' samples together. A source whose reader fails is logged and left out whole.
+        """The selected sources' samples together. A source whose reader fails, now or while it runs, is logged and left out whole.
 
-        seq orders by source first and by the source's own order within it.
+        seq numbers the rows from 0, by source first and by the source's own order within it (its own `seq`, else
+        as its rows come). It is written with the rows, so every later use sees the same numbers.
         """
-        out = None
-        for k, name in enumerate(self.selected(wanted, excluded)):
+        out, before = None, 0
+        for name in self.selected(wanted, excluded):
             if name not in settings:
                 continue
             try:
                 part = conform(self.get(name).read(spark, **settings[name]), name)
+                order = ["seq"] if "seq" in part.columns else []
+                part = positioned(part, order, f"source-{name}", "_at")
+                rows = part.count()
             except Exception as e:
                 log.warning("source %s failed: %s", name, e)
                 continue
-            part = part.withColumn("seq", F.lit(k << 48) + F.col("seq"))
-            out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+            part = part.withColumn("seq", F.col("_at") + before).select(*SAMPLE)
+            before += rows
+            out = part if out is None else out.unionByName(part)
         return out if out is not None else spark.createDataFrame([], "seq long, description string, code string, source string, metadata string")
 
 
@@ -102,11 +110,9 @@ REGISTRY = Registry()
 
 
 def conform(df: DataFrame, source: str) -> DataFrame:
-    """The sample columns; metadata as JSON of what else there is; seq from the row order where it is missing."""
+    """The sample columns, seq only where the source has one; metadata as JSON of what else there is."""
     extra = [c for c in df.columns if c not in SAMPLE]
     columns = {"source": F.lit(source)}
     if "metadata" not in df.columns:
         columns["metadata"] = F.to_json(F.struct(*extra)) if extra else F.lit("{}")
-    if "seq" not in df.columns:
-        columns["seq"] = F.monotonically_increasing_id()
-    return df.withColumns(columns).select(*SAMPLE)
+    return df.withColumns(columns).select(*(c for c in SAMPLE if c != "seq" or "seq" in df.columns))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.functions.text import PENDING, strip_fence
+from sievework.functions.fixes import plain_scene_code, reindent_code
+from sievework.functions.text import PENDING, strip, strip_fence
+from sievework.operators.store import joined_unevenly, positioned, stored
 from sievework.sources.registry import REGISTRY
 
 CONVERSATION = "conversations array<struct<`from`: string, value: string>>, source string, metadata struct<day: string, version: string>, _corrupt_record string"
@@ -14,7 +16,7 @@ CONVERSATION = "conversations array<struct<`from`: string, value: string>>, sour
 def filled(column: str) -> Column:
     """Neither null, nor empty, nor the text of a missing value."""
     c = F.col(f"`{column}`")
-    return c.isNotNull() & (F.trim(c) != "") & (F.trim(c) != "nan")
+    return c.isNotNull() & (strip(c) != "") & (strip(c) != "nan")
 
 
 @REGISTRY.source("reviewed_table", priority=4, title="Reviewed table", settings=("path",))
@@ -32,12 +34,12 @@ def question_table(spark: SparkSession, path: str) -> DataFrame:
     return t.select(F.col("question").alias("description"), strip_fence(F.col("python_code")).alias("code"), *(c for c in ("transcript", "video_id") if c in t.columns))
 
 
-@REGISTRY.source("code_table", priority=1, title="Code-only table", settings=("path",))
+@REGISTRY.source("code_table", priority=1, title="Code-only table", settings=("path",), code_only=True)
 def code_table(spark: SparkSession, path: str, least: int = 50) -> DataFrame:
-    """Parquet of codes without descriptions: too short ones drop out, then repeats of the raw text, then fences."""
-    t = spark.read.parquet(path).select(F.trim("output").alias("raw")).where(F.length("raw") >= least).withColumn("seq", F.monotonically_increasing_id())
-    t = t.groupBy("raw").agg(F.min("seq").alias("seq"))
-    code = F.regexp_replace(strip_fence(F.col("raw")), r"^(\\n)+", "")
+    """Parquet of codes without descriptions: too short ones drop out, then repeats of the raw text, then fences; syntax is repaired."""
+    t = spark.read.parquet(path).select(strip(F.col("output")).alias("raw")).where(F.length("raw") >= least)
+    t = positioned(t, [], "code-table", "seq").groupBy("raw").agg(F.min("seq").alias("seq"))
+    code = reindent_code(F.regexp_replace(strip_fence(F.col("raw")), r"^(\\n)+", ""))
     return t.select("seq", F.lit(f"{PENDING} - code-only sample").alias("description"), code.alias("code"), F.lit(True).alias("needs_description"))
 
 
@@ -45,29 +47,37 @@ def code_table(spark: SparkSession, path: str, least: int = 50) -> DataFrame:
 def conversation_lines(spark: SparkSession, path: str, rename: bool = True) -> DataFrame:
     """JSON lines of conversations with three turns or more; bad lines drop out; the answer's fence goes."""
     t = spark.read.schema(CONVERSATION).json(path).where("_corrupt_record is null and size(conversations) >= 3")
-    out = t.select(F.monotonically_increasing_id().alias("seq"), F.expr("conversations[1].value").alias("description"), strip_fence(F.expr("conversations[2].value"), "between").alias("code"), F.col("metadata.day").alias("day"), F.col("metadata.version").alias("version"))
+    t = positioned(t, [], "conversation-lines", "seq")
+    out = t.select("seq", F.expr("conversations[1].value").alias("description"), strip_fence(F.expr("conversations[2].value"), "between").alias("code"), F.col("metadata.day").alias("day"), F.col("metadata.version").alias("version"))
     return unique_scene_names(out) if rename else out
 
 
+@REGISTRY.source("voiceover_lines", priority=2, title="Voice-over conversation lines", default=False, settings=("path",))
+def voiceover_lines(spark: SparkSession, path: str) -> DataFrame:
+    """As `conversation_lines`, with voice-over scenes turned into plain ones."""
+    out = conversation_lines(spark, path, rename=False).withColumn("_f", plain_scene_code(F.col("code")))
+    return out.withColumns({"code": F.col("_f.code"), "voiceover_blocks": F.col("_f.blocks")}).drop("_f")
+
+
 def unique_scene_names(samples: DataFrame) -> DataFrame:
     """The n-th scene class of one name (n > 1) becomes nameVn, or the next number whose name no sample has.
 
-    A name's later holders are numbered by a count over their own few columns; free numbers are looked up in
-    the set of names that end in V and digits.
+    Numbers are dense positions within a name after one range sort of (name, seq), so a hot name's rows never meet
+    in one task. A taken number pushes the later ones up by one; a row carries its name's taken numbers, not a
+    sequence up to its own.
     """
-    from pyspark.sql import Window
-
     name = F.regexp_extract("code", r"class\s+(\w+)\s*\([^)]*Scene[^)]*\)", 1)
-    rows = samples.withColumn("_name", name)
-    taken = rows.where(F.col("_name").rlike(r"V\d+$")).select(F.regexp_replace("_name", r"V\d+$", "").alias("_name"), F.regexp_extract("_name", r"V(\d+)$", 1).cast("int").alias("_v")).groupBy("_name").agg(F.collect_set("_v").alias("_taken"))
-    rank = F.row_number().over(Window.partitionBy("_name").orderBy("seq"))
-    ranked = rows.where("_name <> ''").select("seq", "_name").withColumn("_n", rank).where("_n > 1").join(taken, "_name", "left")
-    free = F.filter(F.sequence(F.lit(2), F.col("_n") + F.coalesce(F.size("_taken"), F.lit(0))), lambda v: ~F.array_contains(F.coalesce("_taken", F.array().cast("array<int>")), v))
-    version = F.when(F.col("_taken").isNull(), F.col("_n")).otherwise(F.get(free, F.col("_n") - 2))
-    plan = ranked.select("seq", version.alias("_version"))
-    met = rows.join(plan, "seq", "left")
+    named = samples.select("seq", name.alias("_name"))
+    ranked = positioned(named.where("_name <> ''"), ["_name", "seq"], "scene-names", "_at")
+    ends = r"V(\d+)$"
+    taken = ranked.where(F.col("_name").rlike(ends)).select(F.regexp_replace("_name", ends, "").alias("_name"), F.regexp_extract("_name", ends, 1).cast("long").alias("_v")).where("_v >= 2")
+    taken = taken.groupBy("_name").agg(F.array_sort(F.collect_set("_v")).alias("_taken"))
+    first = ranked.groupBy("_name").agg(F.min("_at").alias("_first"), F.count("*").alias("_rows")).where("_rows > 1").join(taken, "_name", "left")
+    met = joined_unevenly(ranked, stored(first, "scene-first"), "_name", "_rows").withColumn("_n", F.col("_at") - F.col("_first") + 1).where("_n > 1")
+    free = F.aggregate(F.coalesce("_taken", F.array().cast("array<long>")), F.col("_n"), lambda n, v: F.when(v <= n, n + 1).otherwise(n))
+    out = samples.join(met.select("seq", F.col("_name"), free.alias("_version")), "seq", "left")
     renamed = F.expr(r"regexp_replace(code, concat('class\\s+', _name, '\\s*\\('), concat('class ', _name, 'V', _version, '('))")
-    return met.withColumn("code", F.when(F.col("_version").isNull(), F.col("code")).otherwise(renamed)).drop("_name", "_version")
+    return out.withColumn("code", F.when(F.col("_version").isNull(), F.col("code")).otherwise(renamed)).drop("_name", "_version")
 
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:

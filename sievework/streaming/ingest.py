@@ -1,4 +1,4 @@
-"""Incremental ingestion of conversation lines: each micro-batch is conformed, checked and appended."""
+"""Incremental ingestion of conversation lines: conformed, checked, de-duplicated by state, appended exactly once."""
 
 from __future__ import annotations
 
@@ -11,6 +11,9 @@ from sievework.operators.dedup import with_keys
 from sievework.operators.quality import basic
 from sievework.sources.tables import CONVERSATION
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def conversation_stream(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.readStream.schema(CONVERSATION).json(path).where("_corrupt_record is null and size(conversations) >= 3")
@@ -18,16 +21,13 @@ def conversation_stream(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ingest(spark: SparkSession, path: str, out: str, checkpoint: str) -> StreamingQuery:
-    """Append the usable samples whose exact class the table does not hold yet; all there is now, then stop."""
-
-    def put(batch: DataFrame, _: int) -> None:
-        new = with_keys(batch.where(basic(F.col("code"), F.col("description"))).withColumn("seq", F.monotonically_increasing_id()))
-        new = new.where("code_key is not null").dropDuplicates(["code_key"]).select("code_key", "description", "code", "source")
-        try:
-            new = new.join(spark.read.parquet(out).select("code_key"), "code_key", "left_anti")
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER" not in str(e):
-                raise
-        new.write.mode("append").parquet(out)
-
-    return conversation_stream(spark, path).writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """Append the usable samples whose exact class the stream has not had yet; all there is now, then stop.
+
+    The classes seen are the stream's state, on disk and kept in the checkpoint: no batch reads the table again,
+    and the file sink writes each row once, restarts included.
+    """
+    if spark.conf.get(_PROVIDER, None) is None or "RocksDB" not in spark.conf.get(_PROVIDER):
+        spark.conf.set(_PROVIDER, _ROCKS)
+    rows = conversation_stream(spark, path).where(basic(F.col("code"), F.col("description")))
+    new = with_keys(rows).where("code_key is not null").dropDuplicates(["code_key"]).select("code_key", "description", "code", "source")
+    return new.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

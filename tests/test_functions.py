@@ -278,6 +278,89 @@ def test_registry(spark):
     assert r.load(spark, {"a": {}, "bad": {}}).count() == 1
 
 
+def test_seq_is_stored_and_unique_whatever_the_partitions(spark):
+    """Partition ids of 40,000 and more, and sources that number their own rows."""
+    r = Registry()
+    far = lambda spark: spark.range(3).select((F.lit(40_000 << 33) + F.col("id")).alias("seq"), F.lit("d").alias("description"), F.concat(F.lit("x"), F.col("id").cast("string")).alias("code"))
+    r.register(Source("a", far))
+    r.register(Source("b", lambda spark: spark.range(50).repartition(40).select(F.lit("d").alias("description"), F.concat(F.lit("x"), (F.col("id") % 3).cast("string")).alias("code"))))
+    r.register(Source("late", lambda spark: spark.range(3).select(F.raise_error(F.lit("broken")).alias("description"), F.lit("c").alias("code"))))
+    s = r.load(spark, {"a": {}, "b": {}, "late": {}})
+    first, again = s.collect(), s.collect()
+    assert sorted(map(tuple, first)) == sorted(map(tuple, again))
+    assert sorted(x["seq"] for x in first) == list(range(53)) and {x["seq"] for x in first if x["source"] == "a"} == {0, 1, 2}
+    kept = dedup.greedy_survivors(s, spark.createDataFrame([("b", 2)], "source_id string, priority int")).collect()
+    assert len(kept) == 3 and {x["source"] for x in kept} == {"b"}
+
+
+def test_scene_names_of_a_hot_name(spark):
+    code = "class A{}(Scene):\n    pass"
+    names = [""] * 6 + ["V3", "V4"] + [""] * 3
+    s = spark.createDataFrame([(i, code.format(n)) for i, n in enumerate(names)], "seq long, code string").repartition(4)
+    got = [x["code"].split("(")[0][6:] for x in tables.unique_scene_names(s).orderBy("seq").collect()]
+    assert got == ["A", "AV2", "AV5", "AV6", "AV7", "AV8", "AV3", "AV4", "AV9", "AV10", "AV11"]
+
+
+def test_reports_and_command_line(spark, tmp_path, capsys):
+    from sievework import cli
+
+    good = "from manim import *\nclass A{0}(Scene):\n    def construct(self):\n        self.play(ShowCreation(Circle(radius={0})))\n"
+    rows = [(f"Draw circle number {i}.", good.format(i % 9)) for i in range(12)] + [("A sentence.", "not python at all, but long")]
+    spark.createDataFrame(rows, "`Reviewed Description` string, Code string").write.parquet(f"{tmp_path}/t")
+    (tmp_path / "settings.json").write_text(json.dumps({"reviewed_table": {"path": f"{tmp_path}/t"}}))
+    (tmp_path / "rules.json").write_text(json.dumps({"global_settings": {"enable_quality_validation": True}, "source_overrides": {"reviewed_table": {"must_reject": {"code_below_minimum": {"enabled": True, "min_length": 5}}}}}))
+    out = f"{tmp_path}/out"
+    args = ["--settings", f"{tmp_path}/settings.json", "--quality-config", f"{tmp_path}/rules.json", "--output-dir", out, "--fix-code", "--augmentation", "--enable-rendering", "--renderer", "tests.test_functions:renderer", "--fill-descriptions", "--describer", "tests.test_functions:describer"]
+    cli.main(args)
+    one = lambda name: spark.read.json(f"{out}/{name}").first()
+    report = one("deduplication_report")
+    assert (report["total_raw_samples"], report["duplicates_removed"], report["unique_samples"]) == (12, 3, 9) and report["kept_by_source"]["reviewed_table"] == 9
+    assert spark.read.json(f"{out}/removed_duplicates").count() == 3
+    assert one("code_fixing")["samples_fixed"] == 9 and one("code_fixing")["fixes_by_type"]["showcreation_to_create"] == 9
+    rendered = one("rendering_validation_report")
+    assert (rendered["valid_samples"], rendered["invalid_samples"]) == (8, 1) and rendered["failures_by_source"]["reviewed_table"] == 1
+    stats = one("dataset_stats")
+    assert stats["train_before_augmentation"] == 8 and stats["test"] == 0 and stats["augmentation_factor"] >= 2
+    assert spark.read.json(f"{out}/train").count() == stats["train_after_augmentation"]
+    cli.main(["--list-sources"])
+    assert "reviewed_table: Reviewed table (priority=4)" in capsys.readouterr().out
+    assert not cli.config(cli.parser().parse_args(["--no-quality-validation"])).validate and cli.config(cli.parser().parse_args([])).strict
+
+
+def renderer(code, timeout, **_):
+    return "radius=3" not in code and timeout == 30, "TypeError"
+
+
+def describer(codes):
+    return ["Described." for _ in codes]
+
+
+def test_overrides_by_source(spark):
+    short = "from manim import *\nclass A(Scene):\n    def construct(self):\n        self.play(Create(Dot()))\n"
+    s = spark.createDataFrame([(1, "Draw a dot.", short, "a"), (2, "Draw a dot.", short, "b"), (3, "Draw a dot.", short, None)], "seq long, description string, code string, source string")
+    config = {"source_overrides": {"a": {"must_reject": {"code_below_minimum": {"enabled": True, "min_length": 500}}}}}
+    assert {r["seq"]: r["is_valid"] for r in quality.validate_by_source(s, config).collect()} == {1: False, 2: True, 3: True}
+    bare = spark.createDataFrame([(1, None, "x = 1; y = 2; z = 3; print(x)", "a"), (2, None, "x = 1; y = 2; z = 3; print(x)", "b")], "seq long, description string, code string, source string")
+    assert [r["seq"] for r in bare.where(quality.usable(["a"])).collect()] == [1]
+
+
+def test_examples_round_trip_and_path_metadata(spark, tmp_path):
+    from sievework.sources import sinks
+
+    s = spark.createDataFrame([("Basic: A", "class A(Scene):\n    pass", "Basic", "A", "u")], "description string, code string, category string, example_name string, original_url string")
+    sinks.write_examples(s, f"{tmp_path}/cache")
+    assert [tuple(r) for r in sinks.read_examples(spark, f"{tmp_path}/cache").collect()] == [tuple(r) for r in s.collect()]
+    told = json.loads(one(spark, files.day_metadata(F.col("p")), p="/x/Day_07/Version2/scene.py"))
+    assert told == {"aoc_day": 7, "original_context": "Advent of Code 2024 Day 7", "version": 2} and one(spark, files.day_metadata(F.col("p")), p="/x") == "{}"
+    scene = "import os\nfrom manim import *\n\nclass A(Scene):\n    x = 1\n\n    def f(self):\n        pass\ny = 2\n"
+    assert files.regex_scenes(scene) == [{"name": "A", "code": "from manim import *\n\nclass A(Scene):\n    x = 1\n\n    def f(self):\n        pass"}]
+    named = spark.createDataFrame([("/a/e.py",), ("/a/f.py",)], "source_file string")
+    titled = files.titled_metadata(named, spark.createDataFrame([("e.py", "u", "t")], "file string, url string, title string"))
+    assert {r["source_file"]: (r["video_title"], r["has_transcript"]) for r in titled.collect()} == {"/a/e.py": ("t", True), "/a/f.py": (None, None)}
+    (tmp_path / "03_graphs_and_trees.ipynb").write_text("{}")
+    assert tuple(spark.range(1).select(files.episode(F.lit("/x/03_graphs-and_trees.ipynb")).alias("e")).first()["e"]) == (3, "graphs and trees")
+
+
 def test_curate(spark, tmp_path):
     from sievework.plans.curate import Config, curate
 
@@ -286,6 +369,7 @@ def test_curate(spark, tmp_path):
     config = Config(output=f"{tmp_path}/out", sources={"reviewed_table": {"path": f"{tmp_path}/t"}}, fix_code=True, augment=True, test_ratio=0.2)
     done = curate(spark, config)
     assert done["after_deduplication"].count() == 15 and done["final_test"].count() == 3
+    assert spark.read.json(f"{tmp_path}/out/tracking").where("source is null").first()["after_rendering"] == 15
     assert spark.read.json(f"{tmp_path}/out/test").count() == 3
     assert all(r["auto_fixed"] for r in done["after_code_fixing"].collect())
 
