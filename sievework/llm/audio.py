@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sievework.llm.shared import byte_texts, chunks
 
@@ -136,8 +137,8 @@ class Tally:
         return f"mulaw_rms={root(self.mulaw)};alaw_rms={root(self.alaw)};adpcm_rms={math.isqrt(self.adpcm // max(1, self.n * 2))};peak={self.peak};sign_changes={self.turns};pcm16k_crc32={self.pcm_crc:08x};adpcm_crc32={self.adpcm_crc:08x}"
 
 
-def features(payloads: list[memoryview]) -> list[str]:
-    """Loudness, peak, sign changes and the checksums of the 16 kHz PCM and the ADPCM reading of each payload.
+def features(payloads: list[memoryview], sounds: list[memoryview]) -> list[str]:
+    """Loudness, peak, sign changes and the checksums of the stored 16 kHz PCM and of the ADPCM reading of each payload.
 
     Payloads are multiples of BLOCK bytes. Long ones go through in segments, so memory is bounded by CHUNK.
     """
@@ -158,16 +159,15 @@ def features(payloads: list[memoryview]) -> list[str]:
         samples = decode_adpcm(codes.reshape(-1, BLOCK))
         loud = (samples.astype(np.int64) ** 2).sum(1)
         for j, (k, s, e) in enumerate(group):
-            t, p = tallies[k], payloads[k]
+            t = tallies[k]
             t.n += e - s
             t.mulaw, t.alaw, t.turns = t.mulaw + int(sums[0][j]), t.alaw + int(sums[1][j]), t.turns + int(sums[2][j])
             t.peak = max(t.peak, int(peaks[j]))
-            around = [MULAW[p[max(s - 1, 0)]], *(MULAW[p[min(e + i, len(p) - 1)]] for i in (0, 1))]
-            padded = np.concatenate([around[:1], linear[starts[j] : ends[j]].astype(np.int16), around[1:]])
-            t.pcm_crc = zlib.crc32(resample_2x(padded), t.pcm_crc)
             of = slice(starts[j] // BLOCK, ends[j] // BLOCK)
             t.adpcm_crc = zlib.crc32(samples[of], t.adpcm_crc)
             t.adpcm += int(loud[of].sum())
+    for t, sound in zip(tallies, sounds, strict=True):
+        t.pcm_crc = zlib.crc32(sound)
     return [t.text() for t in tallies]
 
 
@@ -189,17 +189,28 @@ def _linear(law: int, data: memoryview, block: int) -> np.ndarray | None:
 
 
 def to_pcm(media: bytes) -> bytes | None:
-    """A stored mono mu-law, A-law or IMA ADPCM file of 8 kHz as a 16 kHz PCM file; None for any other format."""
-    law, data = wav_data(media)
-    x = _linear(law, data, wav_block(media) if law == 0x11 else 1)
+    """A stored mono mu-law, A-law or IMA ADPCM file of 8 kHz as a 16 kHz PCM file; None for any other format or bytes."""
+    try:
+        law, data = wav_data(media)
+        block = wav_block(media) if law == 0x11 else 1
+    except (ValueError, struct.error):
+        return None
+    x = _linear(law, data, block)
     if x is None:
         return None
-    return pcm_wav(resample_2x(np.concatenate([x[:1], x, x[-1:], x[-1:]])).tobytes() if len(x) else b"")
+    out = []
+    for s in range(0, len(x), SEGMENT):
+        e = min(s + SEGMENT, len(x))
+        around = x[[max(s - 1, 0), min(e, len(x) - 1), min(e + 1, len(x) - 1)]]
+        out.append(resample_2x(np.concatenate([around[:1], x[s:e], around[1:]])).tobytes())
+    return pcm_wav(b"".join(out))
 
 
 def decode_media(df: DataFrame, media: str = "media") -> DataFrame:
-    """Every row of df with `pcm`: its stored mu-law, A-law or IMA ADPCM file as 16 kHz PCM; null for null and other formats."""
-    from pyspark.sql import functions as F
+    """Every row of df with `pcm`: its stored mu-law, A-law or IMA ADPCM file as 16 kHz PCM.
+
+    Null, other formats and bytes that are no such file give null. A column `pcm` of df gives way to the new one.
+    """
 
     @F.arrow_udf("binary")
     def pcm(column: pa.Array) -> pa.Array:
@@ -208,28 +219,47 @@ def decode_media(df: DataFrame, media: str = "media") -> DataFrame:
     return df.withColumn("pcm", pcm(media))
 
 
-DIGEST = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+STORED = "doc_id long, n_bytes long, media binary, pcm binary"
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, texts = batch.column(0), byte_texts(batch.column(1))
         for a, b in chunks([len(x) for x in texts], CHUNK):
-            rows, payloads = [], []
-            for x in texts[a:b]:
-                media = wav(x + b"\xff" * (-len(x) % BLOCK or (0 if x else BLOCK)))
-                data = wav_data(media)[1]
-                payloads.append(data)
-                rows.append((len(x), len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-32:]), len(media), hashlib.sha256(media).hexdigest()))
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()], strict=True)]
-            yield pa.RecordBatch.from_arrays([ids[a:b], *columns, pa.array(features(payloads), pa.string())], [x.split()[0] for x in DIGEST.split(", ")])
+            media = [wav(x + b"\xff" * (-len(x) % BLOCK or (0 if x else BLOCK))) for x in texts[a:b]]
+            yield pa.RecordBatch.from_arrays([ids[a:b], pa.array([len(x) for x in texts[a:b]], pa.int64()), pa.array(media, pa.binary()), pa.array([to_pcm(m) for m in media], pa.binary())], [x.split()[0] for x in STORED.split(", ")])
+
+
+def stored_media(docs: DataFrame) -> DataFrame:
+    """The media columns of docs: each text's bytes as a mu-law file at 8 kHz, and resampled as a 16 kHz PCM file.
+
+    Bytes 255 fill the payload up to a positive multiple of 576. A null text counts as empty, a null doc_id stays;
+    repeated rows each give a row; an empty table gives none; other columns are not read.
+    """
+    return docs.select("doc_id", "text").mapInArrow(_store, STORED)
+
+
+DIGEST = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, pcm_bytes long, pcm_sha256 string"
+
+
+def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
+    for batch in batches:
+        files, pcm = batch.column(2), batch.column(3)
+        sizes = [len(x.as_buffer()) for x in files]
+        for a, b in chunks(sizes, CHUNK):
+            media = [memoryview(x.as_buffer()) for x in files[a:b]]
+            payloads = [wav_data(m)[1] for m in media]
+            sounds = [memoryview(x.as_buffer()) for x in pcm[a:b]]
+            told = features(payloads, [wav_data(x)[1] for x in sounds])
+            sha = lambda x: hashlib.sha256(x).hexdigest()
+            rows = [(len(p), sha(p), zlib.crc32(p[-32:]), len(m), sha(m), f, len(x), sha(x)) for p, m, f, x in zip(payloads, media, told, sounds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], batch.column(1)[a:b], *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True))], [x.split()[0] for x in DIGEST.split(", ")])
 
 
 def media_digest(docs: DataFrame) -> DataFrame:
-    """Store each text's bytes as mu-law samples in a RIFF file, read them back and describe the sound.
+    """`stored_media`, read back from its bytes and described: the payload, the stored files and how they sound.
 
-    Bytes 255 fill the payload up to a positive multiple of 576. A null text counts as empty; equal texts
-    give equal values; repeated rows each give a row; an empty table gives no rows; other columns of docs
-    are not read. One pass, no shuffle.
+    Equal texts give equal values. One pass, no shuffle.
     """
-    return docs.select("doc_id", "text").mapInArrow(_digest, DIGEST)
+    return stored_media(docs).mapInArrow(_digest, DIGEST)

@@ -14,6 +14,7 @@ import base64
 import functools
 import hashlib
 import heapq
+import re
 import sys
 import unicodedata
 from collections.abc import Iterator
@@ -145,6 +146,20 @@ def pretokens(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return [joined[s:e] for s, e in zip(where, where[1:])], offsets, firsts
 
 
+#: A blank before a visible ASCII character: a pre-token starts at the blank, whatever stands around it.
+_CUT = re.compile(rb" [!-~]")
+
+
+def parts(text: bytes) -> Iterator[bytes]:
+    """A long text in parts of about CHUNK bytes that end where pre-tokens end for certain."""
+    start = 0
+    while start < len(text):
+        found = _CUT.search(text, start + CHUNK) if len(text) - start > 2 * CHUNK else None
+        end = found.start() if found else len(text)
+        yield text[start:end]
+        start = end
+
+
 class ByteBpe:
     """Encoder and decoder of a rank file."""
 
@@ -155,6 +170,9 @@ class ByteBpe:
         for token, rank in self.ranks.items():
             self.bytes_of[rank] = token
         self.digits = [str(i) for i in range(len(self.bytes_of))]
+        self.lengths = np.array([len(t) for t in self.bytes_of], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
         self.cache: dict[bytes, tuple[int, ...]] = {}
 
     def merge(self, piece: bytes) -> tuple[int, ...]:
@@ -215,17 +233,27 @@ class ByteBpe:
         return found
 
     def encode(self, texts: list[bytes]) -> list[list[int]]:
-        """Ids of every text."""
+        """Ids of every text; the arrays of the scan are made for about CHUNK bytes at a time, however long a text."""
+        if any(len(t) > 2 * CHUNK for t in texts):
+            return [[i for part in parts(t) for i in self._encode([part])[0]] if t else [] for t in texts]
+        return self._encode(texts)
+
+    def _encode(self, texts: list[bytes]) -> list[list[int]]:
         slices, _, firsts = pretokens(texts)
         ids = self.encode_slices(slices)
         return [[i for piece in ids[a:b] for i in piece] for a, b in zip(firsts, firsts[1:])]
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> bytes:
+        """The text of the ids: every token's bytes are copied to its offset, all at once."""
+        out = []
+        for a in range(0, len(ids), CHUNK):
+            own, to = ids[a : a + CHUNK], offsets[a : a + CHUNK + 1]
+            out.append(self.flat[np.repeat(self.starts[own] - to[:-1], np.diff(to)) + np.arange(to[0], to[-1])].tobytes())
+        return b"".join(out)
 
-    def offsets(self, ids: list[int]) -> np.ndarray:
-        """Byte offset of every token in the decoded text, and the end."""
-        return np.cumsum([0, *(len(self.bytes_of[i]) for i in ids)])
+    def offsets(self, ids: np.ndarray) -> np.ndarray:
+        """Byte offset of every token in the text, and the end."""
+        return np.concatenate([[0], np.cumsum(self.lengths[ids])])
 
 
 @functools.cache
@@ -233,34 +261,53 @@ def encoder(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], bpe: ByteBpe) -> Iterator[tuple[pa.Array, list[np.ndarray], list[np.ndarray]]]:
+    """doc_ids, ids and byte offsets of the tokens, some texts at a time."""
+    for batch in batches:
+        texts = byte_texts(batch.column(1))
+        for a, b in chunks([len(t) for t in texts], CHUNK):
+            ids = [np.array(x, np.int64) for x in bpe.encode(texts[a:b])]
+            yield batch.column(0)[a:b], ids, [bpe.offsets(x) for x in ids]
+
+
 def encode_texts(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, ids and offsets (byte offsets of the tokens, and the end) of every text; null texts are empty."""
+    """doc_id, ids and offsets (byte offsets of the tokens, and the end) of every text.
+
+    Null texts are empty; a null doc_id stays; repeated rows each give a row; an empty table gives none.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc_ids, ids, offsets in _encoded(batches, encoder(path)):
+            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(ids, pa.list_(pa.int32())), pa.array(offsets, pa.list_(pa.int64()))], ["doc_id", "ids", "offsets"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>, offsets array<long>")
+
+
+def decode_texts(encoded: DataFrame, path: str) -> DataFrame:
+    """doc_id and text of `encode_texts`' rows, by their offsets; null ids or offsets give null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
         for batch in batches:
-            texts = byte_texts(batch.column(1))
-            for a, b in chunks([len(t) for t in texts], CHUNK):
-                ids = bpe.encode(texts[a:b])
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(ids, pa.list_(pa.int32())), pa.array([bpe.offsets(x).tolist() for x in ids], pa.list_(pa.int64()))], ["doc_id", "ids", "offsets"])
+            texts = [None if i is None or o is None else bpe.decode(np.array(i, np.int64), np.array(o, np.int64)).decode("utf-8", "replace") for i, o in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>, offsets array<long>")
+    return encoded.select("doc_id", "ids", "offsets").mapInArrow(run, "doc_id long, text string")
 
 
 def encode_digest(docs: DataFrame, path: str) -> DataFrame:
-    """Encode and decode every whole text: doc_id, n_tokens, ids_sha256, decoded_sha256.
+    """Encode every whole text and decode it by the offsets kept: doc_id, n_tokens, ids_sha256, decoded_sha256.
 
-    A null text counts as empty (no tokens); repeated rows each give a row; an empty table gives none;
-    other columns of docs are not read. One pass, no shuffle.
+    A null text counts as empty (no tokens), a null doc_id stays; repeated rows each give a row; an empty table
+    gives none; other columns of docs are not read. One pass, no shuffle.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
         digit = bpe.digits.__getitem__
-        for batch in batches:
-            texts = byte_texts(batch.column(1))
-            for a, b in chunks([len(t) for t in texts], CHUNK):
-                rows = [(len(ids), hashlib.sha256(",".join(map(digit, ids)).encode()).hexdigest(), hashlib.sha256(bpe.decode(ids)).hexdigest()) for ids in bpe.encode(texts[a:b])]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.string()), strict=True))], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        sha = lambda x: hashlib.sha256(x).hexdigest()
+        for doc_ids, ids, offsets in _encoded(batches, bpe):
+            rows = [(len(i), sha(",".join(map(digit, i.tolist())).encode()), sha(bpe.decode(i, o))) for i, o in zip(ids, offsets, strict=True)]
+            yield pa.RecordBatch.from_arrays([doc_ids, *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.string()), strict=True))], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

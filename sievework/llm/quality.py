@@ -170,7 +170,8 @@ def score_column(model: Model, text: Column) -> Column:
 def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every document.
 
-    The score sees only the text. Null texts count as empty and are scored; repeated rows each give a row;
+    The score sees only the text. Null texts count as empty and are scored; a row without a doc_id is scored too
+    (held_out is null: no label can name it); repeated rows each give a row;
     an empty table gives none. Two passes over the text: the sample's, and the scoring.
     """
     model = fit(documents, labels)
@@ -179,7 +180,10 @@ def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_quality(docs: DataFrame, documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that the classifier does not reject, with all their columns."""
+    """The rows of docs that the classifier does not reject, with all their columns, whatever their names.
+
+    Null texts count as empty; repeated rows are judged alike; an empty table stays empty.
+    """
     model = fit(documents, labels)
     name = "_score"
     while name in docs.columns:

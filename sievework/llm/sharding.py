@@ -2,18 +2,23 @@
 
 Groups of one weight are interchangeable, so the schedule is made over weight classes: a heap gives each
 class, heaviest first, to the least-loaded shards. Distinct weights w satisfy sum(w) <= total bytes, so
-there are at most about sqrt(2 * total * log(total)) classes (weight, copies) however many rows there are;
-that is all the driver sees. Which group of a class goes where follows from the group's rank.
+there are at most about sqrt(2 * total * log(total)) classes (weight, copies) however many rows there are.
+They stream through the driver in order, CLASSES at a time, and the plan is written as it grows; the driver
+keeps the shards' loads. Which group of a class goes where follows from the group's rank.
 """
 
 from __future__ import annotations
 
 import heapq
+import itertools
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.shared import materialise, positioned
+from sievework.llm.shared import joined_unevenly, materialise, positioned
+
+#: Weight classes that the driver holds at a time.
+CLASSES = 100_000
 
 
 def spread(loads: list[int], weight: int, count: int) -> list[int]:
@@ -40,20 +45,42 @@ def spread(loads: list[int], weight: int, count: int) -> list[int]:
     return given
 
 
-def schedule(classes: list[tuple[int, int, int]], shards: int) -> list[tuple[int, int, int, list[int], list[int]]]:
-    """For classes (size, copies, groups), heaviest first: start position, bounds of ranks and first slots by shard."""
-    loads, rows, start, out = [0] * shards, [0] * shards, 0, []
-    for size, copies, groups in classes:
-        given = spread(loads, size * copies, groups)
-        bounds = [0]
-        for n in given:
-            bounds.append(bounds[-1] + n)
-        out.append((size, copies, start, bounds, list(rows)))
-        start += groups
-        for j, n in enumerate(given):
-            loads[j] += n * size * copies
-            rows[j] += n * copies
-    return out
+class Schedule:
+    """Loads and rows of the shards so far; takes classes (size, copies, groups), heaviest first."""
+
+    def __init__(self, shards: int) -> None:
+        self.loads, self.rows, self.start = [0] * shards, [0] * shards, 0
+
+    def take(self, classes: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, list[int], list[int]]]:
+        """For each class: size, copies, groups, start position, bounds of ranks and first slots by shard."""
+        out = []
+        for size, copies, groups in classes:
+            given = spread(self.loads, size * copies, groups)
+            bounds = [0]
+            for n in given:
+                bounds.append(bounds[-1] + n)
+            out.append((size, copies, groups, self.start, bounds, list(self.rows)))
+            self.start += groups
+            for j, n in enumerate(given):
+                self.loads[j] += n * size * copies
+                self.rows[j] += n * copies
+        return out
+
+
+def _planned(groups: DataFrame, shards: int) -> DataFrame:
+    """The plan by class; classes come to the driver in order, a bounded number at a time."""
+    spark = groups.sparkSession
+    found = materialise(groups.groupBy("size", "copies").count().orderBy(F.desc(F.col("size") * F.col("copies")), "size"), "shard-classes")
+    ordered = found.orderBy(F.desc(F.col("size") * F.col("copies")), "size").toLocalIterator()
+    schedule, plan = Schedule(shards), None
+    while True:
+        part = schedule.take([tuple(r) for r in itertools.islice(ordered, CLASSES)])
+        if plan is None or part:
+            rows = spark.createDataFrame(part, "size long, copies long, groups long, start long, bounds array<long>, slots array<long>")
+            rows = materialise(rows, "shard-plan")
+            plan = rows if plan is None else plan.unionByName(rows)
+        if len(part) < CLASSES:
+            return plan
 
 
 def _text_key() -> Column:
@@ -64,7 +91,7 @@ def assign_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
     """Shard and slot of every row: rows of equal text stay together, shards hold near-equal bytes.
 
     A row's size is its text's UTF-8 bytes plus 1. A null text counts as an empty one, and goes with the
-    empty texts. Repeated rows are rows of their group; equal doc_ids only share the order of slots.
+    empty texts. Repeated rows are rows of their group; equal and null doc_ids only share the order of slots.
     An empty table gives no rows. Returns doc_id, size, text_crc32, shard, slot.
     """
     return _assigned(docs, shards).drop("key")
@@ -77,30 +104,29 @@ def _assigned(docs: DataFrame, shards: int) -> DataFrame:
     rows = positioned(rows, ["key", "doc_id"], "shard-rows")
     groups = rows.groupBy("key").agg(F.count("*").alias("copies"), F.first("size").alias("size"), F.min("pos").alias("first"))
     groups = positioned(groups, [(-F.col("size") * F.col("copies")).alias("w"), "size", "key"], "shard-groups").withColumnRenamed("pos", "at")
-    found = groups.groupBy("size", "copies").count().collect()  # bounded, see above
-    classes = sorted(((r["size"], r["copies"], r["count"]) for r in found), key=lambda c: (-c[0] * c[1], c[0]))
-    plan = docs.sparkSession.createDataFrame(schedule(classes, shards), "size long, copies long, start long, bounds array<long>, slots array<long>")
     rank = F.col("at") - F.col("start")
     shard = F.size(F.filter("bounds", lambda b: b <= rank)) - 1
-    placed = groups.join(plan, ["size", "copies"]).withColumn("shard", shard)
-    placed = placed.select("key", "first", "shard", (F.expr("slots[shard]") + (rank - F.expr("bounds[shard]")) * F.col("copies")).alias("slot0"))
-    return rows.join(placed, "key").select("key", "doc_id", "size", "text_crc32", "shard", (F.col("slot0") + F.col("pos") - F.col("first")).alias("slot"))
+    placed = joined_unevenly(groups, _planned(groups, shards), ["size", "copies"], "groups").withColumn("shard", shard)
+    placed = placed.select("key", "first", "shard", (F.expr("slots[shard]") + (rank - F.expr("bounds[shard]")) * F.col("copies")).alias("slot0"), "copies")
+    met = joined_unevenly(rows, materialise(placed, "shard-placed"), "key", "copies")
+    return met.select("key", "doc_id", "size", "text_crc32", "shard", (F.col("slot0") + F.col("pos") - F.col("first")).alias("slot"))
 
 
 def shard_files(docs: DataFrame, path: str, shards: int = 8) -> DataFrame:
     """Write docs as one folder per shard under `path`; returns the assignment.
 
     Rows meet their slot by doc_id (null too), text and their number among the rows equal in both, so every row
-    is written once and equal texts stay in one shard.
+    is written once and equal texts stay in one shard. Columns of docs called shard or slot give way to the new ones.
     """
     from pyspark.sql import Window
 
-    plan = materialise(_assigned(docs, shards), "shard-plan")
-    same = Window.partitionBy("_key", "_id")
-    numbered = docs.withColumns({"_key": _text_key(), "_id": F.col("doc_id")}).withColumn("_n", F.row_number().over(same.orderBy(F.lit(0))))
+    plan = materialise(_assigned(docs, shards), "shard-assigned")
+    others = [c for c in docs.columns if c not in ("shard", "slot")]
+    rows = docs.select(F.struct(*others).alias("row"), _text_key().alias("k"), F.col("doc_id").alias("i"))
+    numbered = rows.withColumn("n", F.row_number().over(Window.partitionBy("k", "i").orderBy(F.lit(0))))
     slots = plan.select(F.col("key").alias("_k"), F.col("doc_id").alias("_i"), "shard", "slot").withColumn("_m", F.row_number().over(Window.partitionBy("_k", "_i").orderBy("slot")))
-    met = numbered.join(slots, (F.col("_key") == F.col("_k")) & F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_n") == F.col("_m")))
-    met.select(*docs.columns, "shard", "slot").write.partitionBy("shard").mode("overwrite").parquet(path)
+    met = numbered.join(slots, (F.col("k") == F.col("_k")) & F.col("i").eqNullSafe(F.col("_i")) & (F.col("n") == F.col("_m")))
+    met.select(*(F.col("row")[c].alias(c) for c in others), "shard", "slot").write.partitionBy("shard").mode("overwrite").parquet(path)
     return plan.drop("key")
 
 

@@ -16,10 +16,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sievework.llm.shared import byte_texts, materialise
+from sievework.llm.shared import byte_texts, joined_unevenly, materialise
 
 RADIUS, SHINGLE, SEED = 4, 4, 42
 BUCKET = 2048
@@ -114,12 +114,11 @@ def _dealt(points: DataFrame, turn: int, number: str, key: str) -> DataFrame:
 def links(points: DataFrame, tag: str = "simhash") -> DataFrame:
     """Edges (a, b) that connect exactly what links within the radius connect, among distinct fp values."""
     dealt = _dealt(points.select("fp"), 0, "n1", "k1")
-    sizes = dealt.groupBy("n1", "k1").count().where("count > 1")
-    full = materialise(sizes.where(F.col("count") > BUCKET).select("n1", "k1"), f"{tag}-full")
-    small = sizes.where(F.col("count") <= BUCKET).select("n1", "k1")
+    sizes = materialise(dealt.groupBy("n1", "k1").count().where("count > 1"), f"{tag}-buckets")
+    full, small = sizes.where(F.col("count") > BUCKET), sizes.where(F.col("count") <= BUCKET).select("n1", "k1")
     edges = _linked(dealt.join(small, ["n1", "k1"], "left_semi"), ["n1", "k1"])
     if not full.isEmpty():
-        again = _dealt(dealt.join(full, ["n1", "k1"], "left_semi"), 1, "n2", "k2")
+        again = _dealt(joined_unevenly(dealt, full, ["n1", "k1"], "count"), 1, "n2", "k2")
         edges = edges.unionByName(_linked(again, ["n1", "k1", "n2", "k2"]))
     return edges
 
@@ -127,8 +126,8 @@ def links(points: DataFrame, tag: str = "simhash") -> DataFrame:
 def components(edges: DataFrame, tag: str = "simhash") -> DataFrame:
     """(node, root): the smallest node of each connected component, for nodes that have edges.
 
-    Alternates large-star and small-star steps until nothing changes; every step's edges are written out,
-    so lost executors cost no more than a step.
+    A step is a large-star and a small-star; it is written out, so lost executors cost no more than a step. Steps
+    go on until nothing changes.
     """
     edges = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{tag}-edges")
     before = None
@@ -136,12 +135,13 @@ def components(edges: DataFrame, tag: str = "simhash") -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = materialise(large, f"{tag}-large")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("x"), "u", "m")
         small = small.where("x <> m").select(F.col("x").alias("u"), F.col("m").alias("v")).union(low.select("u", "m")).distinct()
-        edges = materialise(small, f"{tag}-small")
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        seen = Observation()
+        state = small.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"))
+        edges = materialise(state, f"{tag}-step")
+        now = tuple(seen.get.values())
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = now
@@ -150,16 +150,19 @@ def components(edges: DataFrame, tag: str = "simhash") -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id (smallest doc_id reachable) of every document.
 
-    Null texts count as empty: fingerprint zero, linked like any other. Repeated rows each give a row; an
-    empty table gives none; other columns are not read. Texts are read once and never shuffled.
+    Null texts count as empty: fingerprint zero, linked like any other. A row without a doc_id gets the smallest
+    doc_id of its component, null if none has one. Repeated rows each give a row; an empty table gives none; other
+    columns are not read. Texts are read once and never shuffled.
     """
     marked = materialise(fingerprints(docs), "simhash-fp")
-    points = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-points")
+    points = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")), "simhash-points")
     roots = components(links(points))
-    joined = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    lowest = joined.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = joined.join(lowest, "root").select("fp", "component_id")
-    return marked.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    joined = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    joined = materialise(joined, "simhash-rooted")
+    lowest = materialise(joined.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("points")), "simhash-lowest")
+    classes = materialise(joined_unevenly(joined, lowest, "root", "points").select("fp", "component_id", "rows"), "simhash-classes")
+    named = joined_unevenly(marked, classes, "fp", "rows")
+    return named.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_representatives(docs: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.shared import byte_texts, materialise
+from sievework.llm.shared import byte_texts, joined_unevenly, materialise
 
 WINDOW, GRAM = 20, 8
 SHARD_WORDS, HOT_WORDS = 400_000, 200_000
@@ -93,22 +93,23 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class FmIndex:
-    """FM-index over a symbol sequence; symbol 0 separates texts and is in no pattern.
+    """FM-index over a symbol sequence: a wavelet matrix of its Burrows-Wheeler transform, and nothing of the text.
 
-    Suffixes are sorted by their first ORDER symbols, which is all that patterns of that length need.
+    Symbol 0 separates texts and is in no pattern. Suffixes are sorted by their first ORDER symbols, which is all
+    that patterns of that length need. A symbol takes about a bit and a half a level: the packed bits, and a count
+    of ones for each word of them.
     """
 
     def __init__(self, symbols: np.ndarray) -> None:
         n = len(symbols)
-        self.symbols, self.sigma = symbols, int(symbols.max(initial=0)) + 1
+        self.sigma = int(symbols.max(initial=0)) + 1
         rank, size = symbols.astype(np.int64), 1
         while size < ORDER:
             ahead = np.full(n, -1, np.int64)
             ahead[:-size] = rank[size:] if size < n else ahead[:-size]
             rank = np.unique(rank * (n + 2) + ahead + 1, return_inverse=True)[1]
             size *= 2
-        self.sa = np.argsort(rank, kind="stable")
-        bwt = symbols[self.sa - 1]
+        bwt = symbols[np.argsort(rank, kind="stable") - 1]
         self.first = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=self.sigma))])
         self.levels = max(1, (self.sigma - 1).bit_length())
         self.bits, self.before, self.zeros = [], [], []
@@ -120,7 +121,7 @@ class FmIndex:
             padded[:n] = bit
             words = np.packbits(padded, bitorder="little").view("<u8")
             self.bits.append(words)
-            self.before.append(np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype=np.int64)])[:-1])
+            self.before.append(np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype=np.int64)])[:-1].astype(np.uint32))
             self.zeros.append(n - int(bit.sum()))
             start = self._down(len(self.bits) - 1, every >> level & 1, start)
             bwt = np.concatenate([bwt[~bit], bwt[bit]])
@@ -128,7 +129,7 @@ class FmIndex:
 
     def _down(self, level: int, bit: np.ndarray, at: np.ndarray) -> np.ndarray:
         word = at >> 6
-        ones = self.before[level][word] + np.bitwise_count(self.bits[level][word] & ((np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)))
+        ones = self.before[level][word].astype(np.int64) + np.bitwise_count(self.bits[level][word] & ((np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)))
         return np.where(bit, self.zeros[level] + ones, at - ones)
 
     def back(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -137,18 +138,22 @@ class FmIndex:
             at = self._down(level, symbol >> (self.levels - 1 - level) & 1, at)
         return at + self.shift[symbol]
 
-    def repeats(self, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the windows at these positions those whose symbols occur again, with their intervals."""
-        at = starts
-        last = self.symbols[at + length - 1]
+    def statistics(self, stream: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Matching statistics of streamed text, up to a threshold: which windows reach it, and their intervals.
+
+        A window's pattern is followed backwards from its end. It is given up where its interval holds it alone, as
+        then no other text matches so far; what is left at the front matches `length` symbols somewhere else.
+        """
+        of = np.arange(len(starts))
+        last = stream[starts + length - 1]
         lo, hi = self.first[last], self.first[last + 1]
         for k in range(length - 2, -1, -1):
-            alive = hi - lo > 1  # an interval of one is the window itself: its matching statistic ends here
-            at, lo, hi = at[alive], lo[alive], hi[alive]
-            symbol = self.symbols[at + k]
+            alive = hi - lo > 1
+            of, lo, hi = of[alive], lo[alive], hi[alive]
+            symbol = stream[starts[of] + k]
             lo, hi = self.back(symbol, lo), self.back(symbol, hi)
         alive = hi - lo > 1
-        return at[alive], lo[alive], hi[alive]
+        return of[alive], lo[alive], hi[alive]
 
 
 def _merged(doc: list, rid: list, starts: np.ndarray, owner: np.ndarray) -> list[tuple]:
@@ -165,35 +170,36 @@ _RANGES = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("s", pa.int64
 
 
 def search_shard(table: pa.Table) -> pa.Table:
-    """Ranges of one shard's segments that some earlier window covers."""
+    """Ranges of one shard's segments that some earlier window covers.
+
+    The index is built over the segments and forgets them; then they stream through it. Windows that reach the
+    same interval are equal, so the least place among them tells which are late.
+    """
     table = table.sort_by([("doc_id", "ascending"), ("start", "ascending")])
     doc, rid = table["doc_id"].to_pylist(), table["rid"].to_pylist()
     texts = [t.split(b" ") for t in table["words"].to_pylist()]
     sizes = np.array([len(t) for t in texts])
     ends = np.cumsum(sizes + 1)
     begins = ends - sizes - 1
-    symbols = np.zeros(int(ends[-1]), np.int64)
-    inside = np.ones(len(symbols), bool)
+    stream = np.zeros(int(ends[-1]), np.int32)
+    inside = np.ones(len(stream), bool)
     inside[ends - 1] = False
     coded = pa.array([w for t in texts for w in t], pa.binary()).dictionary_encode()
-    symbols[inside] = coded.indices.to_numpy() + 1
-    index = FmIndex(symbols)
+    stream[inside] = coded.indices.to_numpy() + 1
+    del texts, inside, coded
+    index = FmIndex(stream)
     windows, starts = table["windows"].to_numpy(), table["start"].to_numpy()
     owner = np.repeat(np.arange(len(windows)), windows)
     offset = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-    where = np.unique(np.array(doc), return_inverse=True)[1].astype(np.int64) << 40
-    key = np.full(len(symbols), np.iinfo(np.int64).max)
-    key[begins[owner] + offset] = where[owner] + starts[owner] + offset
-    at, lo, hi = index.repeats(begins[owner] + offset, WINDOW)
-    if not len(at):
+    place = (np.unique(np.array(doc), return_inverse=True)[1].astype(np.int64) << 40)[owner] + starts[owner] + offset
+    of, lo, _ = index.statistics(stream, begins[owner] + offset, WINDOW)
+    if not len(of):
         return _RANGES.empty_table()
-    each, back = np.unique(lo, return_inverse=True)
-    top = np.zeros(len(each), np.int64)
-    top[back] = hi
-    least = np.minimum.reduceat(np.append(key[index.sa], np.iinfo(np.int64).max), np.stack([each, top], 1).ravel())[::2]
-    flagged = np.sort(at[least[back] < key[at]])
-    of = np.searchsorted(ends, flagged, "right")
-    rows = _merged(doc, rid, flagged - begins[of] + starts[of], of)
+    _, interval = np.unique(lo, return_inverse=True)
+    least = np.full(interval.max() + 1, np.iinfo(np.int64).max)
+    np.minimum.at(least, interval, place[of])
+    late = np.sort(of[place[of] > least[interval]])
+    rows = _merged(doc, rid, (starts[owner] + offset)[late], owner[late])
     return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=_RANGES) if rows else _RANGES.empty_table()
 
 
@@ -213,16 +219,17 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
     keyed = docs.select("doc_id", F.xxhash64("text").alias("rid"), "text")
     marks = materialise(keyed.mapInArrow(_marks, "m long, doc_id long, rid long, n byte"), "substring-marks")
-    again = marks.groupBy("m").agg(F.sum("n").alias("n")).where("n > 1")
-    wanted = marks.join(again.select("m"), "m", "left_semi").groupBy("doc_id", "rid").agg(F.collect_set("m").alias("ms"))
+    again = marks.groupBy("m").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).where("n > 1").select("m", "rows")
+    again = materialise(again, "substring-again")
+    wanted = joined_unevenly(marks.select("m", "doc_id", "rid"), again, "m", "rows").groupBy("doc_id", "rid").agg(F.collect_set("m").alias("ms"))
     found = keyed.join(wanted, ["doc_id", "rid"]).mapInArrow(_segments, "m long, doc_id long, rid long, start long, windows long, words binary, h binary")
     segments = materialise(found, "substring-segments")
     place = F.struct("doc_id", "start")
     first = F.min(F.struct("doc_id", "start", "rid")).alias("f")
     distinct = segments.groupBy("m", "h").agg(first, F.first("windows").alias("windows"), F.first("words").alias("words"), F.count("*").alias("copies"))
     distinct = materialise(distinct.select("m", "h", "copies", "f.doc_id", "f.start", "f.rid", "windows", "words"), "substring-distinct")
-    origin = distinct.where("copies > 1").select("m", "h", F.struct("doc_id", "start").alias("f"))
-    copies = segments.select("m", "h", "doc_id", "rid", "start", "windows").join(origin, ["m", "h"]).where(place > F.col("f"))
+    origin = distinct.where("copies > 1").select("m", "h", F.struct("doc_id", "start").alias("f"), "copies")
+    copies = joined_unevenly(segments.select("m", "h", "doc_id", "rid", "start", "windows"), origin, ["m", "h"], "copies").where(place > F.col("f"))
     ranges = copies.select("doc_id", "rid", F.col("start").alias("s"), (F.col("start") + F.col("windows") + WINDOW - 1).alias("e"))
 
     length = F.col("windows") + WINDOW - 1
@@ -237,8 +244,8 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     ranges = ranges.unionByName(searched)
     if not hot.isEmpty():
         windows = materialise(distinct.join(hot.select("m"), "m", "left_semi").mapInArrow(_windows, "w binary, doc_id long, rid long, start long"), "substring-windows")
-        earliest = windows.groupBy("w").agg(F.min(place).alias("f"), F.count("*").alias("n")).where("n > 1").select("w", "f")
-        late = windows.join(earliest, "w").where(place > F.col("f"))
+        earliest = materialise(windows.groupBy("w").agg(F.min(place).alias("f"), F.count("*").alias("n")).where("n > 1"), "substring-earliest")
+        late = joined_unevenly(windows, earliest, "w", "n").where(place > F.col("f"))
         ranges = ranges.unionByName(late.select("doc_id", "rid", F.col("start").alias("s"), (F.col("start") + WINDOW).alias("e")))
     return materialise(ranges, "substring-ranges")
 
@@ -281,7 +288,8 @@ def dedup_digest(docs: DataFrame) -> DataFrame:
 def drop_repeats(docs: DataFrame) -> DataFrame:
     """docs with the repeated words cut from the text (kept words joined by one space), all columns.
 
-    A text without repeats stays as it is; n_chars, where there is such a column, follows the text.
+    A text without repeats stays as it is, null and empty ones too; n_chars, where there is such a column, follows
+    the text. Rows without a doc_id stay whole. Columns may have any names.
     """
 
     @F.arrow_udf("string")
@@ -292,9 +300,10 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
             out.append(b" ".join([w for w, k in zip(words, keep_mask(len(words), of).tolist(), strict=True) if k]).decode("utf-8", "replace"))
         return pa.array(out, pa.string())
 
-    ranges = repeated_ranges(docs).groupBy("doc_id", "rid").agg(F.collect_list(F.struct("s", "e")).alias("_ranges")).withColumnRenamed("doc_id", "_doc").withColumnRenamed("rid", "_rid")
-    met = docs.join(ranges, (docs["doc_id"] == ranges["_doc"]) & (F.xxhash64(docs["text"]) == ranges["_rid"]), "left")
-    text = F.when(F.col("_ranges").isNull(), docs["text"]).otherwise(cut(docs["text"], F.coalesce("_ranges", F.array().cast("array<struct<s: long, e: long>>"))))
-    out = met.withColumn("_text", text)
-    size = {"n_chars": F.length("_text").cast(dict(docs.dtypes).get("n_chars", "long"))}
-    return out.select(*(F.col("_text").alias("text") if c == "text" else size[c].alias(c) if c in size else docs[c] for c in docs.columns))
+    ranges = repeated_ranges(docs).groupBy("doc_id", "rid").agg(F.collect_list(F.struct("s", "e")).alias("ranges"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"))  # one name, so none can clash
+    met = rows.join(ranges, (F.col("row.doc_id") == F.col("doc_id")) & (F.xxhash64("row.text") == F.col("rid")), "left")
+    text = F.when(F.col("ranges").isNull(), F.col("row.text")).otherwise(cut("row.text", F.coalesce("ranges", F.array().cast("array<struct<s: long, e: long>>"))))
+    new = met.select("row", text.alias("text"))
+    size = F.length("text").cast(dict(docs.dtypes).get("n_chars", "long"))
+    return new.select(*(F.col("text") if c == "text" else size.alias(c) if c == "n_chars" else F.col("row")[c].alias(c) for c in docs.columns))

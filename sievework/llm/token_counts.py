@@ -111,7 +111,7 @@ def automaton(path: str) -> LongestMatch:
 def token_counts(docs: DataFrame, path: str) -> DataFrame:
     """Words and greedy longest-match tokens of every whole text, A-Z in lower case, words split at white space.
 
-    A null text counts as empty: no words, no tokens. Repeated rows each give a row, an empty table gives
+    A null text counts as empty: no words, no tokens; a null doc_id stays. Repeated rows each give a row, an empty table gives
     none, other columns of docs are not read. One pass, no shuffle.
     """
 

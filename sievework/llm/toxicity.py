@@ -3,7 +3,8 @@
 Features are the presence of words and word beginnings that the labelled rows tie to toxicity. The chain
 predicts `marked` (toxic and holds a marker), then `repeated` (toxic and holds three or more), then `toxic`;
 each linear model sees the probabilities of the categories before it, in training those of models that did
-not see the row (out of fold).
+not see the row's fold, neither in their weights nor in the choice of their terms and markers. There is one label;
+the first two categories are derived from it.
 """
 
 from __future__ import annotations
@@ -51,9 +52,11 @@ class Chain:
     def probabilities(self, rows: list[np.ndarray]) -> np.ndarray:
         """A row of category probabilities for each list of term numbers."""
         out = np.zeros((len(rows), len(CATEGORIES)))
-        for i, at in enumerate(rows):
-            for c, w in enumerate(self.weights):
-                out[i, c] = sigmoid(w[0] + w[1 + at].sum() + w[1 + len(self.index) :] @ out[i, :c])
+        owner = np.repeat(np.arange(len(rows)), [len(at) for at in rows])
+        flat = np.concatenate([*rows, np.empty(0, np.int64)])
+        for c, w in enumerate(self.weights):
+            held = np.bincount(owner, w[1 + flat], len(rows)) if len(flat) else np.zeros(len(rows))
+            out[:, c] = sigmoid(w[0] + held + out[:, :c] @ w[1 + len(self.index) :])
         return out
 
     def numbers(self, text: str) -> np.ndarray:
@@ -102,62 +105,87 @@ def logistic(x: np.ndarray, y: np.ndarray, rows: np.ndarray, penalty: float = 0.
     return w
 
 
-def fit_chain(x: np.ndarray, targets: np.ndarray, fold: np.ndarray) -> list[np.ndarray]:
-    """Weights by category; targets has a column for each, fold tells which rows a helper model leaves out."""
-    weights, terms, every = [], x.shape[1], np.arange(len(x))
-    inputs = np.concatenate([x, np.zeros((len(x), targets.shape[1]), x.dtype)], 1)
-    for c in range(targets.shape[1]):
-        y, seen_by = targets[:, c], inputs[:, : terms + c]
-        weights.append(logistic(seen_by, y, every))
-        for f in range(FOLDS if c + 1 < targets.shape[1] else 0):
-            left = every[fold == f]
-            if len(left) and len(left) < len(every):
-                w = logistic(seen_by, y, every[fold != f])
-                inputs[left, terms + c] = sigmoid(w[0] + seen_by[left] @ w[1:])
+@dataclass
+class View:
+    """What a set of rows selects: columns of the terms, and which of them are markers."""
+
+    columns: np.ndarray
+    markers: np.ndarray
+
+    def targets(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        held = x[:, self.columns[self.markers]].sum(1)
+        return np.stack([y * (held >= 1), y * (held >= 3), y], 1)
+
+
+def fit_chain(x: np.ndarray, y: np.ndarray, fold: np.ndarray, every: View, without: list[View]) -> list[np.ndarray]:
+    """Weights by category, for the terms of `every`.
+
+    The probability of an earlier category that a row is trained with comes from a model that has not seen the
+    row's fold: neither its weights nor its terms and markers, which are those of `without` that fold.
+    """
+    weights, rows, seen = [], np.arange(len(x)), np.zeros((len(x), len(CATEGORIES)), x.dtype)
+    own = every.targets(x, y)
+    for c in range(len(CATEGORIES)):
+        weights.append(logistic(np.concatenate([x[:, every.columns], seen[:, :c]], 1), own[:, c], rows))
+        for f, view in enumerate(without if c + 1 < len(CATEGORIES) else []):
+            left = rows[fold == f]
+            if len(left) and len(left) < len(rows):
+                inputs = np.concatenate([x[:, view.columns], seen[:, :c]], 1)
+                w = logistic(inputs, view.targets(x, y)[:, c], rows[fold != f])
+                seen[left, c] = sigmoid(w[0] + inputs[left] @ w[1:])
     return weights
 
 
+def _chosen(counts: DataFrame, t: Column, c: Column, n_toxic: int, n_clean: int) -> list:
+    """The TERMS terms (term, ratio) that tell most about toxicity, by likelihood ratio, of those in three toxic rows or more."""
+    cell = lambda seen, expected: seen * F.log(F.greatest(seen, F.lit(1e-9)) / expected)
+    share = (t + c) / (n_toxic + n_clean)
+    surprise = cell(t, share * n_toxic + 1e-9) + cell(c, share * n_clean + 1e-9) + cell(n_toxic - t, (1 - share) * n_toxic + 1e-9) + cell(n_clean - c, (1 - share) * n_clean + 1e-9)
+    ratio = ((t + 0.5) / (n_toxic + 1)) / ((c + 0.5) / (n_clean + 1))
+    return counts.where(t >= 3).select("term", surprise.alias("g"), ratio.alias("ratio")).orderBy(F.desc("g"), "term").limit(TERMS).collect()
+
+
 def fit(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Chain:
     """Fit the chain on at most `rows` labelled documents. Without toxic ones among them, nothing is toxic."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        toxic, clean = Counter(), Counter()
+        found = Counter()
         for batch in batches:
-            for y, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                (toxic if y else clean).update(terms(text or ""))
-        names = list(toxic | clean)
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([toxic[t] for t in names], pa.int64()), pa.array([clean[t] for t in names], pa.int64())], ["term", "t", "c"])
-
-    sample = materialise(labelled(documents, labels, "toxic", rows), "toxicity-sample")
-    sizes = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
-    n_toxic, n_clean = sizes.get(1.0, 0), sizes.get(0.0, 0)
+            for y, fold, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                found.update((t, fold, y > 0) for t in terms(text or ""))
+        names, folds, toxic = zip(*found, strict=True) if found else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(folds, pa.int32()), pa.array(toxic, pa.bool_()), pa.array(found.values(), pa.int64())], ["term", "fold", "toxic", "n"])
+
+    fold = (F.floor(F.crc32(F.col("doc_id").cast("string")) / 5) % FOLDS).cast("int")
+    sample = materialise(labelled(documents, labels, "toxic", rows).select("y", fold.alias("fold"), "text"), "toxicity-sample")
+    sizes = {(r["y"] > 0, r["fold"]): r["count"] for r in sample.groupBy("y", "fold").count().collect()}
+    total = {y: sum(n for (z, _), n in sizes.items() if z == y) for y in (True, False)}
     empty = Chain({}, [np.array([-10.0, *[0.0] * c]) for c in range(len(CATEGORIES))])
-    if not n_toxic:
+    if not total[True]:
         return empty
-    t, c = F.col("t"), F.col("c")
-    cell = lambda seen, expected: seen * F.log(F.greatest(seen, F.lit(1e-9)) / expected)
-    share = (t + c) / (n_toxic + n_clean)
-    surprise = cell(t, share * n_toxic + 1e-9) + cell(c, share * n_clean + 1e-9) + cell(n_toxic - t, (1 - share) * n_toxic + 1e-9) + cell(n_clean - c, (1 - share) * n_clean + 1e-9)
-    ratio = ((t + 0.5) / (n_toxic + 1)) / ((c + 0.5) / (n_clean + 1))
-    best = sample.mapInArrow(count, "term string, t long, c long").groupBy("term").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).where("t >= 3")
-    best = best.select("term", surprise.alias("g"), ratio.alias("ratio")).orderBy(F.desc("g"), "term").limit(TERMS).collect()
-    if not best:
+    parts = [F.coalesce(F.sum(F.when((F.col("fold") == f) & (F.col("toxic") == y), F.col("n"))), F.lit(0)).alias(f"{'t' if y else 'c'}{f}") for f in range(FOLDS) for y in (True, False)]
+    counts = materialise(sample.mapInArrow(count, "term string, fold int, toxic boolean, n long").groupBy("term").agg(*parts), "toxicity-terms")
+    chosen = []
+    for left in (None, *range(FOLDS)):
+        t, c = (sum((F.col(f"{k}{f}") for f in range(FOLDS) if f != left), F.lit(0)) for k in "tc")
+        n_toxic, n_clean = (total[y] - sizes.get((y, left), 0) for y in (True, False))
+        chosen.append(_chosen(counts, t, c, n_toxic, n_clean) if n_toxic else [])
+    if not chosen[0]:
         return empty
-    index = {r["term"]: i for i, r in enumerate(best)}
-    markers = np.array([r["ratio"] >= MARKER_RATIO for r in best])
+    index = {t: i for i, t in enumerate(dict.fromkeys(r["term"] for rows in chosen for r in rows))}
+    views = [View(np.array([index[r["term"]] for r in rows], np.int64), np.array([r["ratio"] >= MARKER_RATIO for r in rows], bool)) for rows in chosen]
     chain = Chain(index, [])
 
     @F.arrow_udf("array<long>")
     def number(column: pa.Array) -> pa.Array:
         return pa.array([chain.numbers(x or "").tolist() for x in column.to_pylist()], pa.list_(pa.int64()))
 
-    found = sample.select("y", F.crc32(F.col("doc_id").cast("string")).alias("h"), number("text").alias("at")).toPandas()  # bounded by `rows`
+    found = sample.select("y", "fold", number("text").alias("at")).toPandas()  # bounded by `rows`
     x = np.zeros((len(found), len(index)), np.float32)
     for i, at in enumerate(found["at"]):
         x[i, np.asarray(at, np.int64)] = 1
-    y, held = found["y"].to_numpy(), x[:, markers].sum(1)
-    targets = np.stack([y * (held >= 1), y * (held >= 3), y], 1)
-    return Chain(index, fit_chain(x, targets, found["h"].to_numpy() // 5 % FOLDS))
+    weights = fit_chain(x, found["y"].to_numpy(), found["fold"].to_numpy(), views[0], views[1:])
+    return Chain({r["term"]: i for i, r in enumerate(chosen[0])}, weights)
 
 
 def probabilities_column(chain: Chain, text: Column) -> Column:
@@ -174,8 +202,8 @@ def probabilities_column(chain: Chain, text: Column) -> Column:
 def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, the categories' probabilities p_marked, p_repeated, p_toxic, and predicted (1: toxic) of every document.
 
-    Whole texts are read; null texts count as empty and are scored; repeated rows each give a row; an empty
-    table gives none. One pass for the sample, one for the scores, no shuffle of texts outside the sample.
+    Whole texts are read; null texts count as empty and are scored; a null doc_id stays; repeated rows each give a
+    row; an empty table gives none; other columns are not read. One pass for the sample, one for the scores, no shuffle of texts outside the sample.
     """
     chain = fit(documents, labels)
     p = documents.select("doc_id", probabilities_column(chain, F.col("text")).alias("p"))
@@ -183,7 +211,10 @@ def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that the chain does not call toxic, with all their columns."""
+    """The rows of docs that the chain does not call toxic, with all their columns, whatever their names.
+
+    Null texts count as empty; repeated rows are judged alike; an empty table stays empty.
+    """
     chain = fit(documents, labels)
     name = "_toxic"
     while name in docs.columns:

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -11,6 +12,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from sievework.llm import audio, byte_bpe, packing, quality, sharding, simhash, substring, token_counts, topk, toxicity
 
@@ -46,14 +48,62 @@ def rows(df):
     return df.toPandas()
 
 
+def _expanded(law, byte):
+    """One companded sample by the standard's words: sign, segment and step."""
+    if law == 6:
+        byte ^= 0x55
+        segment, step = byte >> 4 & 7, byte & 15
+        size = (step << 4) + 8 if not segment else ((step << 4) + 264) << segment - 1
+        return size if byte & 128 else -size
+    byte = ~byte & 255
+    size = (((byte & 15) << 3) + 132 << (byte >> 4 & 7)) - 132
+    return -size if byte & 128 else size
+
+
+def _adpcm(block):
+    value, index = int.from_bytes(block[:2], "little", signed=True), min(block[2], 88)
+    out = [value]
+    for byte in block[4:]:
+        for nibble in (byte & 15, byte >> 4):
+            step = int(audio._STEPS[index])
+            change = (step >> 3) + (step >> 2) * (nibble & 1) + (step >> 1) * (nibble >> 1 & 1) + step * (nibble >> 2 & 1)
+            value = max(-32768, min(32767, value - change if nibble & 8 else value + change))
+            index = max(0, min(88, index + int(audio._TURN[nibble])))
+            out.append(value)
+    return out
+
+
+def _resampled(x):
+    at = lambda i: x[max(0, min(len(x) - 1, i))]
+    out = []
+    for i in range(len(x)):
+        out += [x[i], max(-32768, min(32767, 9 * (x[i] + at(i + 1)) - at(i - 1) - at(i + 2) + 8 >> 4))]
+    return np.array(out, "<i2").tobytes()
+
+
+def _feature(payload):
+    n = len(payload)
+    mu, a = ([_expanded(law, b) for b in payload] for law in (7, 6))
+    coded = [v for s in range(0, n, 576) for v in _adpcm(payload[s : s + 576])]
+    root = lambda x, k: math.isqrt(sum(v * v for v in x) // k)
+    turns = sum((v < 0) != (w < 0) for v, w in zip(mu, mu[1:]))
+    return f"mulaw_rms={root(mu, n)};alaw_rms={root(a, n)};adpcm_rms={root(coded, 2 * n)};peak={max(map(abs, mu))};sign_changes={turns};pcm16k_crc32={zlib.crc32(_resampled(mu)):08x};adpcm_crc32={zlib.crc32(np.array(coded, '<i2').tobytes()):08x}"
+
+
 def test_media(docs, empty):
     for r in rows(audio.media_digest(docs)).itertuples():
         data = (TEXTS[r.doc_id] or "").encode()
         payload = data + b"\xff" * (-len(data) % 576 or (0 if data else 576))
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
-        assert bytes(audio.wav_data(audio.wav(payload))[1]) == payload
-        assert r.feature == audio.features([memoryview(payload)])[0]
+        media = audio.wav(payload)
+        assert (r.media_bytes, r.media_sha256) == (len(media), hashlib.sha256(media).hexdigest()) and bytes(audio.wav_data(media)[1]) == payload
+        pcm = audio.pcm_wav(_resampled([_expanded(7, b) for b in payload]))
+        assert (r.pcm_bytes, r.pcm_sha256) == (len(pcm), hashlib.sha256(pcm).hexdigest())
+        assert r.feature == _feature(payload)
     assert audio.media_digest(empty).count() == 0
+    stored = {r["doc_id"]: r for r in audio.stored_media(docs.where("doc_id < 3")).collect()}
+    for i, r in stored.items():
+        assert bytes(audio.wav_data(bytes(r["media"]))[1])[: r["n_bytes"]] == TEXTS[i].encode() and bytes(r["pcm"]) == audio.to_pcm(bytes(r["media"]))
 
 
 def test_companding_tables():
@@ -96,9 +146,18 @@ def test_stored_files_as_pcm(spark):
 
 def test_features_do_not_depend_on_segments(monkeypatch):
     payload = memoryview(np.random.default_rng(2).integers(0, 256, 576 * 20, np.uint8).tobytes())
-    whole = audio.features([payload])
+    media = audio.wav(bytes(payload))
+    pcm = audio.to_pcm(media)
+    whole = audio.features([payload], [audio.wav_data(pcm)[1]])
     monkeypatch.setattr(audio, "SEGMENT", 576 * 3)
-    assert audio.features([payload, payload]) == whole * 2
+    assert audio.to_pcm(media) == pcm
+    assert audio.features([payload, payload], [audio.wav_data(pcm)[1]] * 2) == whole * 2
+
+
+def test_bytes_that_are_no_file_give_null(spark):
+    bad = [b"", b"RIFF", audio.wav(b"abc")[:20], bytes(60), b"\xff" * 100]
+    df = spark.createDataFrame([(i, x, "own") for i, x in enumerate(bad)], "i int, media binary, pcm string")
+    assert [r["pcm"] for r in audio.decode_media(df).collect()] == [None] * len(bad)
 
 
 def test_packing(docs, empty):
@@ -429,6 +488,26 @@ def test_byte_bpe(docs, empty):
     assert byte_bpe.encode_digest(empty, path).count() == 0
 
 
+def test_long_texts_are_encoded_in_parts_and_decoded_by_offsets(spark, monkeypatch):
+    import tiktoken
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    monkeypatch.setattr(byte_bpe, "CHUNK", 64)
+    bpe = byte_bpe.ByteBpe(path)
+    for text in ["".join(draw.choices("abé's  \n\t1!字 ", k=draw.randrange(900))) for _ in range(60)] + ["a" * 3000, " b" * 900, "\n" * 700, "é" * 900 + " x" * 99]:
+        assert b"".join(byte_bpe.parts(text.encode())) == text.encode()
+        ids = bpe.encode([text.encode(), b"short"])
+        assert ids == [known.encode_ordinary(text), known.encode_ordinary("short")]
+        own = np.array(ids[0], np.int64)
+        assert bpe.decode(own, bpe.offsets(own)) == text.encode()
+    df = spark.createDataFrame([(1, "a 字 b"), (None, ""), (2, None), (1, "a 字 b")], "doc_id long, text string")
+    back = byte_bpe.decode_texts(byte_bpe.encode_texts(df, path), path)
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.fillna("", ["text"]).collect()))
+
+
 def _windows_removed(texts, size=20):
     seen, out = set(), []
     for t in texts:
@@ -484,6 +563,32 @@ def test_quality(docs, real):
     assert quality.score_documents(real[0].where("false"), real[1]).count() == 0
 
 
+def test_quality_equals_normal_equations_and_isotonic_regression_worked_out_at_once(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    texts, marks = rows(docs).set_index("doc_id")["text"], rows(labels).set_index("doc_id")["quality"]
+    ids = np.array([i for i in marks.index if zlib.crc32(str(i).encode()) % 5])
+    y = marks[ids].to_numpy(float)
+    stats = quality.statistics([texts[i].encode() for i in ids])
+    mean, scale = stats.mean(0), np.maximum(stats.std(0), 1e-6)
+    z = quality.fourier(stats, mean, scale)
+
+    def solved(z, y):
+        return np.linalg.solve(z.T @ z + quality.RIDGE * max(1.0, len(z)) / quality.FEATURES * np.eye(z.shape[1]), z.T @ y)
+
+    fold = ids * 2654435761 % (1 << 32) % quality.FOLDS
+    raw = np.empty(len(y))
+    for f in range(quality.FOLDS):
+        raw[fold == f] = z[fold == f] @ solved(z[fold != f], y[fold != f])
+    order = np.argsort(raw)
+    x, t = raw[order], y[order]
+    total = np.concatenate([[0], np.cumsum(t)])
+    fitted = [max(min((total[k] - total[j]) / (k - j) for k in range(i + 1, len(t) + 1)) for j in range(i + 1)) for i in range(len(t))]
+    every = quality.fourier(quality.statistics([texts[i].encode() for i in texts.index]), mean, scale) @ solved(z, y)
+    want = dict(zip(texts.index, np.interp(every, x, fitted), strict=True))
+    got = rows(quality.score_documents(docs, labels)).set_index("doc_id")["score"]
+    assert max(abs(want[i] - got[i]) for i in texts.index) < 1e-6
+
+
 def test_isotonic():
     x, y = quality.isotonic(np.array([1.0, 2, 2, 3, 4]), np.array([0.0, 1, 0, 0, 1]))
     assert (np.diff(y) >= 0).all() and y[0] == 0 and y[-1] == 1
@@ -501,6 +606,81 @@ def test_toxicity(docs, real):
     assert toxicity.keep_clean(docs, *real).columns == docs.columns
 
 
+def test_toxic_rows_that_no_fit_saw_are_found(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    got = rows(toxicity.score_documents(docs, labels)).merge(rows(labels), on="doc_id")
+    held = got[[zlib.crc32(str(i).encode()) % 5 == 0 for i in got["doc_id"]]]
+    assert held[held["toxic"] == 1]["predicted"].mean() >= 0.9 and held[held["toxic"] == 0]["predicted"].mean() < 0.01
+    assert toxicity.score_documents(docs.where("false"), labels).count() == 0
+
+
+def test_chain_helpers_never_see_the_fold_they_predict():
+    """Terms, markers and weights: whatever the labels of a fold are, the probabilities it is trained with stay."""
+    r = np.random.default_rng(0)
+    x, y, fold = (r.random((120, 9)) < 0.4).astype(np.float32), (r.random(120) < 0.5).astype(float), np.arange(120) % 4
+    views = [toxicity.View(np.sort(r.choice(9, 6, False)), np.arange(6) < 3) for _ in range(5)]
+    seen = np.zeros((120, 3), np.float32)
+    for c in (0, 1):
+        for f in range(4):
+            left, v = fold == f, views[1 + f]
+            held = x[:, v.columns[v.markers]].sum(1)
+            target = y * (held >= (1, 3)[c])
+            inputs = np.concatenate([x[:, v.columns], seen[:, :c]], 1)
+            w = toxicity.logistic(inputs[~left], target[~left], np.arange((~left).sum()))
+            seen[left, c] = 1 / (1 + np.exp(-(w[0] + inputs[left] @ w[1:])))
+    last = toxicity.logistic(np.concatenate([x[:, views[0].columns], seen[:, :2]], 1), y, np.arange(120))
+    assert np.allclose(toxicity.fit_chain(x, y, fold, views[0], views[1:])[2], last, atol=1e-4)
+
+
+def test_clashing_columns(spark, real, tmp_path):
+    """Columns that bear the operators' own names come through; only shard and slot give way to the new ones."""
+    names = ["_ranges", "_text", "_doc", "_rid", "row", "ranges", "rid", "shard", "slot", "key", "_row", "_node", "_key", "_score", "_toxic", "pos", "n_chars", "pcm", "media"]
+    table = [(i, t, *(f"{n}{i}" for n in names)) for i, t in enumerate([PASSAGE, "x " + PASSAGE, None, "", PASSAGE])]
+    df = spark.createDataFrame(table, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    df = df.withColumn("n_chars", F.length("text"))
+    for f in (substring.drop_repeats, simhash.keep_representatives, lambda d: quality.keep_quality(d, *real), lambda d: toxicity.keep_clean(d, *real)):
+        out = f(df)
+        assert out.columns == df.columns
+        for r in out.collect():
+            assert all(r[n] == f"{n}{r['doc_id']}" for n in names if n != "n_chars")
+    sharding.shard_files(df, str(tmp_path / "out"), 2)
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(got.columns) == sorted(df.columns) and got.count() == 5 and dict(got.dtypes)["shard"] == "int"
+
+
+def test_rows_without_ids(spark, real):
+    """They are rows like any other: encoded, packed, scored, put in shards."""
+    df = spark.createDataFrame([(None, "a b c"), (None, "a b c"), (None, None), (7, "a b c")], "doc_id long, text string")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    for out in (audio.media_digest(df), byte_bpe.encode_digest(df, public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), packing.pack_documents(df), sharding.shard_digest(df), token_counts.token_counts(df, path), quality.score_documents(df, real[1]), toxicity.score_documents(df, real[1]), simhash.near_duplicates(df), substring.dedup_digest(df)):
+        got = rows(out)
+        assert len(got) == 4 and got["doc_id"].isna().sum() == 3
+    near = rows(simhash.near_duplicates(df))
+    assert near["component_id"].fillna(-1).tolist().count(7) == 3
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    """Null and empty texts, repeated rows, ties, missing ids, long runs, extra columns; and no documents at all."""
+    import corpus_pipeline
+
+    base = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    odd = [(None, None), (5000, None), (5001, ""), (5002, " \n"), (5003, PASSAGE), (5003, PASSAGE), (5004, PASSAGE), (None, PASSAGE), (5005, "w" * 30_000 + " " * 30_000)]
+    extra = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in odd], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    for name, docs in (("odd", base.unionByName(extra).withColumns({"_row": F.lit(1), "row": F.lit("x"), "shard": F.lit(2)})), ("none", base.where("false"))):
+        sf = str(tmp_path / name)
+        docs.write.parquet(f"{sf}/documents.parquet")
+        labels.write.parquet(f"{sf}/labels.parquet")
+        packed = rows(corpus_pipeline.run(spark, sf))
+        assert (len(packed) > 0) == (name == "odd") and not packed[["sequence_id", "offset"]].duplicated().any()
+        at = spark.read.parquet(f"{sf}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:4]:
+            after = stage(spark, at, sf)
+            assert after.columns == at.columns and after.count() <= at.count()
+            at = after
+    assert set(packed.columns) >= {"doc_id", "piece", "sequence_id"}
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
