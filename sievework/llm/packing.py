@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.llm.byte_bpe import encoder
-from sievework.llm.shared import byte_texts, materialise
+from sievework.llm.shared import byte_texts, materialise, trimmed
 
 CAPACITY = 2048
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -40,10 +40,11 @@ def byte_bpe(text: str) -> np.ndarray:
     Plain text goes through the rank file of the same vocabulary, four times as fast with the same ids; with very
     long runs of white space, through the scan of `byte_bpe`, which has no bound.
     """
+    import public_tokenizers
+
     if not _LOADED:
         import base64
 
-        import public_tokenizers
         import tiktoken
         from tokenizers import Tokenizer
 
@@ -52,11 +53,10 @@ def byte_bpe(text: str) -> np.ndarray:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         _LOADED["fast"] = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         _LOADED["full"] = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-        _LOADED["scan"] = encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     if _PLAIN.search(text):
         return np.array(_LOADED["full"].encode(text, add_special_tokens=False).ids, np.uint32)
     if _RUN.search(text):
-        return np.array(_LOADED["scan"].encode([text.encode()])[0], np.uint32)
+        return np.array(encoder(public_tokenizers.path("byte_bpe_50k.tiktoken")).encode([text.encode()])[0], np.uint32)
     return _LOADED["fast"].encode_to_numpy(text, disallowed_special=())
 
 
@@ -79,7 +79,7 @@ def pieces_of(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, kinds, strict=True)], [x.split()[0] for x in PIECES.split(", ")])
 
-    return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
+    return docs.select("doc_id", "text").mapInArrow(trimmed(cut), PIECES)
 
 
 def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +151,7 @@ def _round(pieces: DataFrame, gaps: DataFrame, longest: int, shortest: int) -> t
     entries = open_.unionByName(pieces.select(F.lit(1).alias("kind"), "id", "size", F.lit(1).cast("long").alias("places")))
     order = [F.desc("size"), "kind", "id"]
     entries = entries.repartitionByRange(*order).sortWithinPartitions(*order).select(F.spark_partition_id().alias("p"), "kind", "id", "size", "places")
-    local = materialise(entries.mapInArrow(sweep, "p int, kind byte, id long, size long, at long, n long, seq long"), "pack-sweep")
+    local = materialise(entries.mapInArrow(trimmed(sweep), "p int, kind byte, id long, size long, at long, n long, seq long"), "pack-sweep")
     counts = local.groupBy("p").agg(F.count_if(F.col("kind") == 1).alias("u"), F.sum("n").alias("l")).orderBy("p").collect()  # a row a partition
     runs, served = carried([tuple(r) for r in counts])
     placed = local.where("kind = 2").select("id", "size", "seq")
@@ -199,7 +199,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         below = min(below, longest // 2)
         own = own if stuck is None else own.unionByName(stuck)
         placed, stuck = _round(own, gaps, longest, min([*fresh, *stuck_sizes]))
-        placed, stuck = materialise(placed, "pack-placed"), materialise(stuck, "pack-stuck")
+        placed = materialise(placed, "pack-placed")
         found.append(placed.select("id", "seq"))
         todo = {n: c for n, c in todo.items() if n not in fresh}
         stuck_sizes = {r["size"]: r["count"] for r in stuck.groupBy("size").count().collect()}  # at most `capacity` rows

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.shared import byte_texts, chunks, materialise
+from sievework.llm.shared import byte_texts, chunks, materialise, trim, trimmed
 
 #: Bound of the labelled rows that a fit uses, taken in hash order.
 FIT_ROWS = 20_000
@@ -122,7 +122,7 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", rows: i
             stats = statistics(byte_texts(batch.column(2)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(stats.tolist(), pa.list_(pa.float64()))], ["doc_id", "y", "stats"])
 
-    sample = materialise(labelled(documents, labels, label, rows).mapInArrow(describe, "doc_id long, y double, stats array<double>"), "quality-sample")
+    sample = materialise(labelled(documents, labels, label, rows).mapInArrow(trimmed(describe), "doc_id long, y double, stats array<double>"), "quality-sample")
     width = len(STATISTICS)
     moments = sample.agg(F.count("*").alias("n"), *(f(F.col("stats")[i]).alias(f"{f.__name__}{i}") for i in range(width) for f in (F.avg, F.stddev_pop))).first()
     if not moments["n"]:
@@ -162,7 +162,9 @@ def score_column(model: Model, text: Column) -> Column:
 
     @F.arrow_udf("double")
     def score(column: pa.Array) -> pa.Array:
-        return pa.array(model.scores(statistics(byte_texts(column))))
+        found = pa.array(model.scores(statistics(byte_texts(column))))
+        trim()
+        return found
 
     return score(text)
 

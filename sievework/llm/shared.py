@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 
 from sievework.operators.store import joined_unevenly, positioned, scratch, shared_root
 from sievework.operators.store import stored as materialise
 
-__all__ = ["byte_texts", "chunks", "joined_unevenly", "materialise", "positioned", "scratch", "shared_root"]
+__all__ = ["byte_texts", "chunks", "joined_unevenly", "materialise", "positioned", "scratch", "shared_root", "trimmed"]
 
 
 def byte_texts(column: pa.Array) -> list[bytes]:
@@ -27,3 +28,22 @@ def chunks(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         total += n
     if start < len(sizes):
         yield start, len(sizes)
+
+
+def trim() -> None:
+    """Give the memory of finished batches back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`run`, and `trim` at its end: Python workers outlive their tasks, and an executor holds several of them."""
+
+    def then_trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        trim()
+
+    return then_trim

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sievework.llm.shared import byte_texts, joined_unevenly, materialise
+from sievework.llm.shared import byte_texts, joined_unevenly, materialise, trimmed
 
 RADIUS, SHINGLE, SEED = 4, 4, 42
 BUCKET = 2048
@@ -81,7 +81,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             fps = np.array([fingerprint(t, shingle) for t in byte_texts(batch.column(1))], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), "doc_id long, fp long")
 
 
 def _linked(buckets: DataFrame, keys: list[str]) -> DataFrame:
@@ -101,7 +101,7 @@ def _linked(buckets: DataFrame, keys: list[str]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a), pa.int64()), pa.array(np.concatenate(b), pa.int64())], ["a", "b"])
 
     whole = buckets.groupBy(*keys).agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
-    return whole.select("fps").mapInArrow(run, "a long, b long")
+    return whole.select("fps").mapInArrow(trimmed(run), "a long, b long")
 
 
 def _dealt(points: DataFrame, turn: int, number: str, key: str) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.shared import byte_texts, joined_unevenly, materialise
+from sievework.llm.shared import byte_texts, joined_unevenly, materialise, trim, trimmed
 
 WINDOW, GRAM = 20, 8
 SHARD_WORDS, HOT_WORDS = 400_000, 200_000
@@ -199,6 +199,8 @@ def search_shard(table: pa.Table) -> pa.Table:
     least = np.full(interval.max() + 1, np.iinfo(np.int64).max)
     np.minimum.at(least, interval, place[of])
     late = np.sort(of[place[of] > least[interval]])
+    del index, stream, of, lo
+    trim()
     rows = _merged(doc, rid, (starts[owner] + offset)[late], owner[late])
     return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=_RANGES) if rows else _RANGES.empty_table()
 
@@ -218,11 +220,11 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     """(doc_id, rid, s, e): word ranges covered by windows that also start earlier; rid tells texts of one doc_id apart."""
     docs = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
     keyed = docs.select("doc_id", F.xxhash64("text").alias("rid"), "text")
-    marks = materialise(keyed.mapInArrow(_marks, "m long, doc_id long, rid long, n byte"), "substring-marks")
+    marks = materialise(keyed.mapInArrow(trimmed(_marks), "m long, doc_id long, rid long, n byte"), "substring-marks")
     again = marks.groupBy("m").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).where("n > 1").select("m", "rows")
     again = materialise(again, "substring-again")
     wanted = joined_unevenly(marks.select("m", "doc_id", "rid"), again, "m", "rows").groupBy("doc_id", "rid").agg(F.collect_set("m").alias("ms"))
-    found = keyed.join(wanted, ["doc_id", "rid"]).mapInArrow(_segments, "m long, doc_id long, rid long, start long, windows long, words binary, h binary")
+    found = keyed.join(wanted, ["doc_id", "rid"]).mapInArrow(trimmed(_segments), "m long, doc_id long, rid long, start long, windows long, words binary, h binary")
     segments = materialise(found, "substring-segments")
     place = F.struct("doc_id", "start")
     first = F.min(F.struct("doc_id", "start", "rid")).alias("f")
@@ -243,7 +245,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     searched = dealt.select("shard", "doc_id", "rid", "start", "windows", "words").groupBy("shard").applyInArrow(search_shard, "doc_id long, rid long, s long, e long")
     ranges = ranges.unionByName(searched)
     if not hot.isEmpty():
-        windows = materialise(distinct.join(hot.select("m"), "m", "left_semi").mapInArrow(_windows, "w binary, doc_id long, rid long, start long"), "substring-windows")
+        windows = materialise(distinct.join(hot.select("m"), "m", "left_semi").mapInArrow(trimmed(_windows), "w binary, doc_id long, rid long, start long"), "substring-windows")
         earliest = materialise(windows.groupBy("w").agg(F.min(place).alias("f"), F.count("*").alias("n")).where("n > 1"), "substring-earliest")
         late = joined_unevenly(windows, earliest, "w", "n").where(place > F.col("f"))
         ranges = ranges.unionByName(late.select("doc_id", "rid", F.col("start").alias("s"), (F.col("start") + WINDOW).alias("e")))
@@ -282,7 +284,7 @@ def dedup_digest(docs: DataFrame) -> DataFrame:
             columns = zip(*rows, strict=True) if rows else [[]] * 3
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string()), strict=True))], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    return _joined_ranges(docs, ["doc_id", "text"]).select("doc_id", "text", "ranges").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return _joined_ranges(docs, ["doc_id", "text"]).select("doc_id", "text", "ranges").mapInArrow(trimmed(run), "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def drop_repeats(docs: DataFrame) -> DataFrame:

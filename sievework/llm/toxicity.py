@@ -21,10 +21,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.quality import labelled
-from sievework.llm.shared import materialise
+from sievework.llm.shared import materialise, trim, trimmed
 
 #: Bounds of the labelled rows, taken in hash order, and of the vocabulary that a fit uses.
-FIT_ROWS, TERMS, BLOCK = 12_000, 512, 1024
+FIT_ROWS, TERMS, BLOCK = 12_000, 512, 1024  # at most 32,767 rows: their counts by fold are packed
 FOLDS, THRESHOLD = 4, 0.3
 CATEGORIES = ("marked", "repeated", "toxic")
 BEGINNINGS = (4, 5, 6)
@@ -80,7 +80,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, rows: np.ndarray, penalty: float = 0.3, steps: int = 30) -> np.ndarray:
+def logistic(x: np.ndarray | Inputs, y: np.ndarray, rows: np.ndarray, penalty: float = 0.3, steps: int = 30) -> np.ndarray:
     """Ridge-penalised logistic regression on these rows by Newton steps; the bias is free, the first weight.
 
     Sums go over blocks of rows, so no copy of x is made.
@@ -113,24 +113,36 @@ class View:
     markers: np.ndarray
 
     def targets(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        held = x[:, self.columns[self.markers]].sum(1)
+        held = x[:, self.columns[self.markers]].sum(1, dtype=np.int64)
         return np.stack([y * (held >= 1), y * (held >= 3), y], 1)
 
 
+class Inputs:
+    """Rows of a view's terms and of the earlier probabilities, put together for the rows that are asked for."""
+
+    dtype = np.dtype(np.float32)
+
+    def __init__(self, x: np.ndarray, view: View, seen: np.ndarray) -> None:
+        self.x, self.columns, self.seen, self.shape = x, view.columns, seen, (len(x), len(view.columns) + seen.shape[1])
+
+    def __getitem__(self, rows: np.ndarray) -> np.ndarray:
+        return np.concatenate([self.x[np.ix_(rows, self.columns)].astype(self.dtype), self.seen[rows].astype(self.dtype)], 1)
+
+
 def fit_chain(x: np.ndarray, y: np.ndarray, fold: np.ndarray, every: View, without: list[View]) -> list[np.ndarray]:
     """Weights by category, for the terms of `every`.
 
     The probability of an earlier category that a row is trained with comes from a model that has not seen the
     row's fold: neither its weights nor its terms and markers, which are those of `without` that fold.
     """
-    weights, rows, seen = [], np.arange(len(x)), np.zeros((len(x), len(CATEGORIES)), x.dtype)
+    weights, rows, seen = [], np.arange(len(x)), np.zeros((len(x), len(CATEGORIES)))
     own = every.targets(x, y)
     for c in range(len(CATEGORIES)):
-        weights.append(logistic(np.concatenate([x[:, every.columns], seen[:, :c]], 1), own[:, c], rows))
+        weights.append(logistic(Inputs(x, every, seen[:, :c]), own[:, c], rows))
         for f, view in enumerate(without if c + 1 < len(CATEGORIES) else []):
             left = rows[fold == f]
             if len(left) and len(left) < len(rows):
-                inputs = np.concatenate([x[:, view.columns], seen[:, :c]], 1)
+                inputs = Inputs(x, view, seen[:, :c])
                 w = logistic(inputs, view.targets(x, y)[:, c], rows[fold != f])
                 seen[left, c] = sigmoid(w[0] + inputs[left] @ w[1:])
     return weights
@@ -149,12 +161,24 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Chain:
     """Fit the chain on at most `rows` labelled documents. Without toxic ones among them, nothing is toxic."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = Counter()
+        """Rows that hold a term, toxic and clean: sixteen bits a fold, as `rows` allows, flushed before they grow large."""
+        toxic, clean = {}, {}
+
+        def flushed() -> pa.RecordBatch:
+            names = list({**toxic, **clean})
+            out = pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([toxic.get(t, 0) for t in names], pa.int64()), pa.array([clean.get(t, 0) for t in names], pa.int64())], ["term", "t", "c"])
+            toxic.clear()
+            clean.clear()
+            return out
+
         for batch in batches:
             for y, fold, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                found.update((t, fold, y > 0) for t in terms(text or ""))
-        names, folds, toxic = zip(*found, strict=True) if found else ((), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(folds, pa.int32()), pa.array(toxic, pa.bool_()), pa.array(found.values(), pa.int64())], ["term", "fold", "toxic", "n"])
+                held = toxic if y else clean
+                for t in terms(text or ""):
+                    held[t] = held.get(t, 0) + (1 << 16 * fold)
+                if len(toxic) + len(clean) > 200_000:
+                    yield flushed()
+        yield flushed()
 
     fold = (F.floor(F.crc32(F.col("doc_id").cast("string")) / 5) % FOLDS).cast("int")
     sample = materialise(labelled(documents, labels, "toxic", rows).select("y", fold.alias("fold"), "text"), "toxicity-sample")
@@ -163,8 +187,8 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Chain:
     empty = Chain({}, [np.array([-10.0, *[0.0] * c]) for c in range(len(CATEGORIES))])
     if not total[True]:
         return empty
-    parts = [F.coalesce(F.sum(F.when((F.col("fold") == f) & (F.col("toxic") == y), F.col("n"))), F.lit(0)).alias(f"{'t' if y else 'c'}{f}") for f in range(FOLDS) for y in (True, False)]
-    counts = materialise(sample.mapInArrow(count, "term string, fold int, toxic boolean, n long").groupBy("term").agg(*parts), "toxicity-terms")
+    parts = [F.sum(F.shiftrightunsigned(k, 16 * f).bitwiseAND(F.lit(65535))).alias(f"{k}{f}") for f in range(FOLDS) for k in "tc"]
+    counts = materialise(sample.mapInArrow(trimmed(count), "term string, t long, c long").groupBy("term").agg(*parts), "toxicity-terms")
     chosen = []
     for left in (None, *range(FOLDS)):
         t, c = (sum((F.col(f"{k}{f}") for f in range(FOLDS) if f != left), F.lit(0)) for k in "tc")
@@ -181,7 +205,7 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Chain:
         return pa.array([chain.numbers(x or "").tolist() for x in column.to_pylist()], pa.list_(pa.int64()))
 
     found = sample.select("y", "fold", number("text").alias("at")).toPandas()  # bounded by `rows`
-    x = np.zeros((len(found), len(index)), np.float32)
+    x = np.zeros((len(found), len(index)), np.uint8)
     for i, at in enumerate(found["at"]):
         x[i, np.asarray(at, np.int64)] = 1
     weights = fit_chain(x, found["y"].to_numpy(), found["fold"].to_numpy(), views[0], views[1:])
@@ -194,6 +218,7 @@ def probabilities_column(chain: Chain, text: Column) -> Column:
     @F.arrow_udf("struct<marked: double, repeated: double, toxic: double>")
     def chained(column: pa.Array) -> pa.Array:
         p = chain.probabilities([chain.numbers(x or "") for x in column.to_pylist()])
+        trim()
         return pa.StructArray.from_arrays([pa.array(p[:, c]) for c in range(len(CATEGORIES))], list(CATEGORIES))
 
     return chained(text)
