@@ -156,6 +156,30 @@ def cache_key(*parts: Column) -> Column:
     return F.sha2(F.to_json(F.struct(*(p.alias(f"p{i}") for i, p in enumerate(parts)))), 256)
 
 
+def description_key(code: Column, metadata: Column) -> Column:
+    """Cache key of a description: code and the four metadata fields (JSON text) that bear on it."""
+    field = lambda name: F.get_json_object(metadata, f"$.{name}")
+    return cache_key(code, field("original_context"), field("source"), field("video_title"), field("youtube_url"))
+
+
+def training_text(turns: Column, family: str = "qwen", fence: bool = False, eos: str = "") -> Column:
+    """Prompt and answer of a three-turn conversation as one training text, in the form of a model family.
+
+    qwen: ChatML with its own end mark; llama: header marks; other families: plain labels. `eos` follows the last two.
+    """
+    system, user, answer = (F.get(turns, F.lit(i))["value"] for i in range(3))
+    if fence:
+        answer = F.when(answer.startswith("```python"), answer).otherwise(F.concat(F.lit("```python\n"), answer, F.lit("\n```")))
+    if family == "qwen":
+        forms = ("<|im_start|>system\n", "<|im_end|>\n<|im_start|>user\n", "<|im_end|>\n<|im_start|>assistant\n", "<|im_end|>")
+    elif family == "llama":
+        mark = "<|start_header_id|>{}<|end_header_id|>\n\n"
+        forms = (mark.format("system"), "<|eot_id|>" + mark.format("user"), "<|eot_id|>" + mark.format("assistant"), eos)
+    else:
+        forms = ("System: ", "\n\nUser: ", "\n\nAssistant: ", eos)
+    return F.concat(F.lit(forms[0]), system, F.lit(forms[1]), user, F.lit(forms[2]), answer, F.lit(forms[3]))
+
+
 def chat_text(turns: Column, end: str = "<|im_end|>\n") -> Column:
     """Turns (`from`, value) in ChatML form; an unfenced answer gets a Python fence."""
     role = lambda t: F.when(t["from"] == "gpt", "assistant").otherwise(t["from"])

@@ -8,13 +8,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.functions.text import cache_key, code_features, needs_description
+from sievework.functions.text import cache_key, code_features, description_key, needs_description
 
 FAILED = "[GENERATION_FAILED]"
 
 
 def keyed(samples: DataFrame) -> DataFrame:
-    """Add `cache_key` from code and source."""
+    """Add `cache_key` from code, source and what the metadata tells of the video, where there are metadata."""
+    if "metadata" in samples.columns:
+        return samples.withColumn("cache_key", description_key(F.col("code"), F.col("metadata")))
     return samples.withColumn("cache_key", cache_key(F.col("code"), F.col("source")))
 
 

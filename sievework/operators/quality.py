@@ -171,11 +171,13 @@ def report(validated: DataFrame) -> DataFrame:
 
 def failures_by_source(validated: DataFrame, examples: int = 10) -> DataFrame:
     """Failed rows by source, with the first examples' first three issues."""
-    failed = validated.where(~F.col("is_valid"))
-    each = failed.groupBy("source").agg(F.count("*").alias("failed"))
     from sievework.operators.statistics import first_n
+    from sievework.operators.store import stored
 
-    shown = first_n(failed, "source", "seq", examples).select("source", F.struct("seq", F.slice("issue_texts", 1, 3).alias("issues")).alias("x"))
+    failed = validated.where(~F.col("is_valid")).select("source", "seq", F.slice("issue_texts", 1, 3).alias("issues"))
+    failed = stored(failed, "quality-failed")  # one parse a row
+    each = failed.groupBy("source").agg(F.count("*").alias("failed"))
+    shown = first_n(failed, "source", "seq", examples).select("source", F.struct("seq", "issues").alias("x"))
     return each.join(shown.groupBy("source").agg(F.sort_array(F.collect_list("x")).alias("examples")), "source")
 
 
@@ -211,3 +213,23 @@ def render(samples: DataFrame, render_fn, fix: bool = True) -> DataFrame:
 
     kept = ", ".join(f"`{n}` {t}" for n, t in samples.dtypes if n != "code")
     return samples.mapInPandas(run, f"{kept}, code string, rendering_validated boolean, rendering_failed boolean, auto_fixed boolean, fixes_applied array<string>, original_code string, render_error string")
+
+
+def looks_like_scene(code: Column) -> Column:
+    """The three marks of a scene: the import, a scene class, construct."""
+    return code.contains("from manim import") & code.contains("Scene") & code.contains("def construct")
+
+
+def judge_outputs(outputs: DataFrame, render_fn, answer: str = "answer") -> DataFrame:
+    """Model answers as scenes: taken out of their fences, wrapped where there is no scene, validated, and the valid ones rendered.
+
+    Adds code, is_valid, issue_texts, and rendering columns that are null where the code is not valid.
+    """
+    from sievework.functions.text import ensure_scene, strip_fence
+
+    rows = outputs.withColumn("code", ensure_scene(strip_fence(F.col(answer), "between")))
+    if "description" not in rows.columns:
+        rows = rows.withColumn("description", F.lit(PENDING))
+    judged = validate(rows).drop("issues")
+    good = render(judged.where("is_valid"), render_fn)
+    return good.unionByName(judged.where(~F.coalesce("is_valid", F.lit(False))), allowMissingColumns=True)

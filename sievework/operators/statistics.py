@@ -159,3 +159,10 @@ def distinct_days(samples: DataFrame) -> DataFrame:
     """Number of distinct days in the metadata (`day`, or `aoc_day`) by source."""
     day = F.coalesce(F.get_json_object("metadata", "$.day"), F.get_json_object("metadata", "$.aoc_day"))
     return samples.groupBy("source").agg(F.count_distinct(day).alias("days"))
+
+
+def class_usage(files: DataFrame, code: str = "code") -> DataFrame:
+    """Base lists of classes and calls of capitalised names, by how many files and times they occur."""
+    bases = files.select(F.explode(F.regexp_extract_all(F.col(code), F.lit(r"(?m)^class\s+\w+\s*\(([^)]*)\)"), F.lit(1))).alias("name"), F.lit("inheritance").alias("kind"))
+    calls = files.select(F.explode(F.regexp_extract_all(F.col(code), F.lit(r"\b([A-Z]\w*)\("), F.lit(1))).alias("name"), F.lit("call").alias("kind"))
+    return bases.unionByName(calls).groupBy("kind", "name").agg(F.count("*").alias("n"))

@@ -27,6 +27,7 @@ class Source:
     default: bool = True  # read unless named ones are asked for
     settings: tuple[str, ...] = field(default=())
     code_only: bool = False  # rows need no description
+    transform: Callable[[DataFrame], DataFrame] | None = None  # of the source's samples, before they are numbered
 
 
 class Registry:
@@ -93,7 +94,9 @@ class Registry:
             if name not in settings:
                 continue
             try:
-                part = conform(self.get(name).read(spark, **settings[name]), name)
+                source = self.get(name)
+                part = conform(source.read(spark, **settings[name]), name)
+                part = source.transform(part) if source.transform else part
                 order = ["seq"] if "seq" in part.columns else []
                 part = positioned(part, order, f"source-{name}", "_at")
                 rows = part.count()

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from sievework.functions import fixes, pycode, similarity, text
+from sievework.functions import bundle, fixes, pycode, similarity, text
 from sievework.operators import dedup, quality, split, statistics
 from sievework.sources import files, tables
 from sievework.sources.registry import Registry, Source
@@ -99,6 +99,55 @@ def test_tree_rewrites():
     assert pycode.inline_files("x = open('a').read()", {"a": "t"}) == "x = 't'"
 
 
+@pytest.mark.parametrize(
+    ("code", "want"),
+    [
+        ("x = open('a.txt').read().strip()", "x = 'one\\ntwo\\n'.strip()"),
+        ("name = 'a.txt'\nx = open(name).readlines()", "name = 'a.txt'\nx = ['one\\n', 'two\\n']"),
+        ("with open('a.txt') as f:\n    x = f.read()\n    y = len(x)", "x = 'one\\ntwo\\n'\ny = len(x)"),
+        ("f = open('a.txt', 'r')\nx = f.read()", "x = 'one\\ntwo\\n'"),
+        ("x = open(Path('d') / 'b').read()", "x = 'b'"),
+        ("f = open('a.txt')\nfor line in f: print(line)", None),
+        ("x = open('none').read()", None),
+        ("x = (", None),
+    ],
+)
+def test_inline_files(code, want):
+    done, names = bundle.inline_files(code, {"a.txt": "one\ntwo\n", "d/b": "b"})
+    assert done == (want or code) and bool(names) == bool(want)
+
+
+def test_bundles(spark):
+    assert bundle.required_imports("np.sin(pi)\nx = partial(f)", "import functools\nfrom functools import partial\nimport yaml") == ["from manim import *", "import numpy as np", "import math", "from math import *", "import functools", "from functools import partial"]
+    tree = "class T:\n    def __init__(self):\n        self.root = None\n\n    def __init__(self, keys):\n        self.insert(keys)\n"
+    space = {}
+    exec(bundle.merged_methods(tree) + "\n    def insert(self, keys):\n        self.keys = keys\n", space)
+    assert space["T"]().root is None and space["T"]([1]).keys == [1]
+    made = bundle.bundle_helpers("class S(Scene): pass", [("t.py", "import x\n# c\n\ndef f(): pass"), ("none.py", "import y")])
+    assert made.split("\n") == ["from manim import *", "from random import sample", "", "# === t.py utility code ===", "", "def f(): pass", "", "# === Scene class ===", "class S(Scene): pass"]
+    cleaned = bundle.clean_code("import sys\nsys.path.insert(0, 'x')\nfrom y import z\nfrom colors import *\nclass A: pass", {"from colors import *": "own colors"})
+    assert cleaned == "from manim import *\n\n# Note: own colors\nclass A: pass"
+    assert "class Entry" in bundle.stubs("class A(Scene):\n    x = Entry()", {"Entry": "class Entry(VGroup):\n    pass", "Toc": "class Toc: pass"})
+    assert one(spark, bundle.described_by_path(F.col("p"), F.lit("A"), {"T": "Topic text"}), p="2022/T/x.py") == "Topic text - A"
+    assert one(spark, bundle.described_by_path(F.col("p"), F.lit("A")), p="x.py") == "Animation of A from the General video"
+    assert one(spark, bundle.narrated(F.col("c")), c="    # Narration: one\nx\n    # Narration: two") == "one two" and one(spark, bundle.narrated(F.col("c")), c="x") is None
+    row = spark.sql("select 'x = open(\\'a\\').read()' as c, map('a', 't') as m").select(bundle.inline_code(F.col("c"), F.col("m")).alias("x")).first()["x"]
+    assert (row["code"], row["inlined"]) == ("x = 't'", ["a"])
+
+
+def test_training_texts_and_model_answers(spark):
+    turns = F.array(*(F.struct(F.lit(r).alias("from"), F.lit(v).alias("value")) for r, v in (("system", "s"), ("user", "u"), ("assistant", "c"))))
+    text_of = lambda **k: spark.range(1).select(text.training_text(turns, **k).alias("x")).first()["x"]
+    assert text_of(fence=True) == "<|im_start|>system\ns<|im_end|>\n<|im_start|>user\nu<|im_end|>\n<|im_start|>assistant\n```python\nc\n```<|im_end|>"
+    assert text_of(family="llama", eos="</s>").endswith("assistant<|end_header_id|>\n\nc</s>") and text_of(family="x") == "System: s\n\nUser: u\n\nAssistant: c"
+    good = "Sure:\n```python\nfrom manim import *\nclass A(Scene):\n    def construct(self):\n        self.play(Create(Circle()))\n```"
+    out = spark.createDataFrame([(1, good), (2, "no code"), (3, None)], "id int, answer string")
+    got = {r["id"]: (r["is_valid"], r["rendering_validated"]) for r in quality.judge_outputs(out, lambda c: (True, None)).collect()}
+    assert got == {1: (True, True), 2: (False, None), 3: (False, None)}
+    used = statistics.class_usage(spark.createDataFrame([("class A(Scene):\n    x = Dot(Dot())",)], "code string"))
+    assert {(r["kind"], r["name"]): r["n"] for r in used.collect()} == {("inheritance", "Scene"): 1, ("call", "A"): 1, ("call", "Dot"): 2}
+
+
 def test_reindent():
     code = fixes.reindent("from manim import * class A(Scene): def construct(self): x = Circle() self.play(x)</s>")
     assert pycode.parse(code)[0] is not None
@@ -284,6 +333,8 @@ def test_seq_is_stored_and_unique_whatever_the_partitions(spark):
     far = lambda spark: spark.range(3).select((F.lit(40_000 << 33) + F.col("id")).alias("seq"), F.lit("d").alias("description"), F.concat(F.lit("x"), F.col("id").cast("string")).alias("code"))
     r.register(Source("a", far))
     r.register(Source("b", lambda spark: spark.range(50).repartition(40).select(F.lit("d").alias("description"), F.concat(F.lit("x"), (F.col("id") % 3).cast("string")).alias("code"))))
+    r.register(Source("shout", lambda spark: spark.createDataFrame([("d", "c")], "description string, code string"), transform=lambda s: s.withColumn("code", F.upper("code"))))
+    assert r.load(spark, {"shout": {}}).first()["code"] == "C"
     r.register(Source("late", lambda spark: spark.range(3).select(F.raise_error(F.lit("broken")).alias("description"), F.lit("c").alias("code"))))
     s = r.load(spark, {"a": {}, "b": {}, "late": {}})
     first, again = s.collect(), s.collect()
