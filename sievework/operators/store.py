@@ -7,7 +7,7 @@ import re
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -49,21 +49,45 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
         atexit.register(released, spark)
     _PATHS.append(path)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def dropped(table: DataFrame) -> None:
+    """Delete a table that `stored` gave and nothing will read again."""
+    path = table._stored_at
+    if path in _PATHS:
+        _PATHS.remove(path)
+        deleted(table.sparkSession, path)
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame], tag: str) -> DataFrame:
+    """What `make` gives, stored; the tables that it stored on the way go at once."""
+    since = len(_PATHS)
+    out = stored(make(), tag)
+    kept = _PATHS.pop()
+    released(spark, since)
+    _PATHS.append(kept)
+    return out
 
 
 def released(spark: SparkSession, since: int = 0) -> None:
     """Delete the stored tables from the given one on; results that still read them must have been written."""
     old, _PATHS[since:] = _PATHS[since:], []
     try:
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         for path in old:
-            where = hadoop(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            deleted(spark, path)
     except Exception:  # the session is gone; a job's own folder is the cluster's to sweep
         pass
 
 
+def deleted(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark can write."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables stored inside go at the end: for plans whose result is written inside too."""
