@@ -7,10 +7,10 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 
-from sievework.operators.store import joined_unevenly, positioned, scratch, shared_root
+from sievework.operators.store import dropped, joined_unevenly, positioned, scratch, settled, shared_root
 from sievework.operators.store import stored as materialise
 
-__all__ = ["byte_texts", "chunks", "joined_unevenly", "materialise", "positioned", "scratch", "shared_root", "trimmed"]
+__all__ = ["byte_texts", "chunks", "dropped", "joined_unevenly", "materialise", "positioned", "scratch", "settled", "shared_root", "trimmed"]
 
 
 def byte_texts(column: pa.Array) -> list[bytes]:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sievework.llm.shared import byte_texts, joined_unevenly, materialise, trimmed
+from sievework.llm.shared import byte_texts, dropped, joined_unevenly, materialise, trimmed
 
 RADIUS, SHINGLE, SEED = 4, 4, 42
 BUCKET = 2048
@@ -140,7 +140,8 @@ def components(edges: DataFrame, tag: str = "simhash") -> DataFrame:
         small = small.where("x <> m").select(F.col("x").alias("u"), F.col("m").alias("v")).union(low.select("u", "m")).distinct()
         seen = Observation()
         state = small.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"))
-        edges = materialise(state, f"{tag}-step")
+        old, edges = edges, materialise(state, f"{tag}-step")
+        dropped(old)
         now = tuple(seen.get.values())
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.shared import byte_texts, joined_unevenly, materialise, trim, trimmed
+from sievework.llm.shared import byte_texts, joined_unevenly, materialise, settled, trim, trimmed
 
 WINDOW, GRAM = 20, 8
 SHARD_WORDS, HOT_WORDS = 400_000, 200_000
@@ -218,6 +218,10 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_ranges(docs: DataFrame) -> DataFrame:
     """(doc_id, rid, s, e): word ranges covered by windows that also start earlier; rid tells texts of one doc_id apart."""
+    return settled(docs.sparkSession, lambda: _repeated_ranges(docs), "substring-ranges")
+
+
+def _repeated_ranges(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
     keyed = docs.select("doc_id", F.xxhash64("text").alias("rid"), "text")
     marks = materialise(keyed.mapInArrow(trimmed(_marks), "m long, doc_id long, rid long, n byte"), "substring-marks")
@@ -249,7 +253,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
         earliest = materialise(windows.groupBy("w").agg(F.min(place).alias("f"), F.count("*").alias("n")).where("n > 1"), "substring-earliest")
         late = joined_unevenly(windows, earliest, "w", "n").where(place > F.col("f"))
         ranges = ranges.unionByName(late.select("doc_id", "rid", F.col("start").alias("s"), (F.col("start") + WINDOW).alias("e")))
-    return materialise(ranges, "substring-ranges")
+    return ranges
 
 
 def _joined_ranges(docs: DataFrame, columns: list[str]) -> DataFrame:
