@@ -1,21 +1,23 @@
-"""Near-duplicate texts by the Jaccard index of their five-word shingles, exact: prefixes, stars, unlike roots.
-
-Two sets of index 4/5 or more share at least ceil(4n/5) shingles, so under any one order of all shingles their
-first n - ceil(4n/5) + 1 have one in common. The order here is by estimated number of occurrences, rare shingles
-first, then by hash; the estimate is one table of counters of fixed size over all documents (a counter shared by
-several shingles costs time, not pairs).
-
-Texts with a common first shingle are joined by a star around the least of them. Each text is compared with the
-centre that it shares most with, which links the copies of one text in one comparison each. Then only pairs are
-left that share a first shingle and are not linked yet, directly or through others: they are sifted by size and by
-a sketch whose distance never exceeds the sets' symmetric difference, and what is left is compared set against
-set. A large group of copies so costs a comparison a text, not a square. Equal word sequences count as one text. A
-shingle is a 64-bit hash of its words.
+"""SimHash near-duplicates of five-word shingles, held to a Jaccard index of 0.8, exact.
+
+Candidates come first. Every text has a SimHash fingerprint of its distinct shingles; fingerprints within the radius
+meet by `simhash.links` and put their texts into one class. Texts at an index of 4/5 often lie further apart than a
+covering reaches, so a second way completes it: two sets of index 4/5 or more share at least ceil(4n/5) shingles, so
+under any one order of all shingles their first n - ceil(4n/5) + 1 have one in common. The order here is by estimated
+number of occurrences, rare shingles first, then by hash; the estimate is one table of counters of fixed size over
+all documents (a counter shared by several shingles costs time, not pairs). All texts with a common first shingle
+belong to the star of the least of them. In each star the classes that SimHash left apart are joined where sizes and
+a sketch, whose distance never exceeds the sets' symmetric difference, allow an index of 4/5.
+
+Classes joined so are families, and every link lies inside a family. Each text of a family is then shipped there
+once, and the sets themselves decide. Both in stars and in families a spanning forest is looked for, never all
+pairs: what is reached is not looked at again, so a group of n texts gives n - 1 edges at most. Equal word sequences
+count as one text. A shingle is a 64-bit hash of its words.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -24,13 +26,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.shared import byte_texts, chunks, dropped, joined_unevenly, materialise, settled, trim, trimmed
-from sievework.llm.simhash import SEED, components
+from sievework.llm.simhash import SEED, components, links
 
 SHINGLE = 5
 #: Counters of the estimate (2 ** 20) go to the driver and back as SLICES arrays, 8 MB in all.
 COUNTERS, SLICES = 1 << 20, 16
 CELLS, MORE_CELLS, LONG = 64, 1024, 800
 BUCKET, BLOCK, CHUNK = 500_000, 2048, 1 << 20
+#: A shingle that may occur more often than this is gathered in no bucket.
+HOT = 50_000
+#: Bytes of sketches or of shingle sets that meet in a task, and bits of the filter of texts that families want (1 MB).
+WEIGHT, BITS = 8 << 20, 1 << 23
 _ODD = np.array([pow(0x9E3779B97F4A7C15, j + 1, 1 << 64) | 1 for j in range(SHINGLE)], np.uint64)
 
 
@@ -106,10 +112,18 @@ def _counted(docs: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
+def simhash(g: np.ndarray) -> int:
+    """64 bits, each set in over half of the (distinct) shingle hashes."""
+    ones = np.zeros(64, np.int64)
+    for s in range(0, len(g), 1 << 16):
+        ones += np.unpackbits(g[s : s + (1 << 16)].view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(g)).tobytes(), "little", signed=True)
+
+
 def _marked(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """id, key, n, cells and the first shingles of every text that has words."""
+    """id, key, n, fp (fingerprint), cells and the first shingles of every text that has words."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
-    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,11 +138,11 @@ def _marked(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                     n, s = int(size[i]), int(bounds[i])
                     cells = coarse[i] if n < LONG else np.bincount((g[s : s + n] % MORE_CELLS).astype(np.int64), minlength=MORE_CELLS)
                     key = text_key(texts[a + i])
-                    rows.append((_id(key), key, n, np.minimum(cells, 65535).astype("<u2").tobytes(), g[s : s + n - (4 * n + 4) // 5 + 1].tobytes()))
+                    rows.append((_id(key), key, n, simhash(g[s : s + n]), np.minimum(cells, 65535).astype("<u2").tobytes(), g[s : s + n - (4 * n + 4) // 5 + 1].tobytes()))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["id", "key", "n", "cells", "first"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["id", "key", "n", "fp", "cells", "first"])
 
-    return docs.select("text").mapInArrow(trimmed(run), "id long, key binary, n long, cells binary, first binary")
+    return docs.select("text").mapInArrow(trimmed(run), "id long, key binary, n long, fp long, cells binary, first binary")
 
 
 def _id(key: bytes) -> int:
@@ -136,68 +150,62 @@ def _id(key: bytes) -> int:
     return int.from_bytes(key[:8], "little", signed=True)
 
 
-def _starred(sig: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of (shingle, id) pairs: each shingle with its least id, and the stars' edges (centre, id), repeats included."""
-    order = np.lexsort((ids, sig))
-    sig, ids = sig[order], ids[order]
+def _starred(sig: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of all (shingle, id) pairs of some shingles: the least id with each shingle, and the others with it."""
+    sig, ids = _distinct(sig, ids)
     new = np.ones(len(sig), bool)
     new[1:] = sig[1:] != sig[:-1]
     centre = ids[np.flatnonzero(new)][np.cumsum(new) - 1] if len(sig) else ids
     away = centre != ids
-    return sig[new], ids[new], centre[away], ids[away]
+    return _distinct(centre[away], ids[away])
 
 
-def _summed(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct edges with their numbers added up."""
+def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.lexsort((b, a))
-    a, b, n = a[order], b[order], n[order]
+    a, b = a[order], b[order]
     new = np.ones(len(a), bool)
     new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    at = np.flatnonzero(new)
-    return a[at], b[at], np.add.reduceat(n, at) if len(at) else n
+    return a[new], b[new]
 
 
 _WORDS = np.dtype("<u8")
 
 
-def _stars(marked: DataFrame) -> DataFrame:
-    """Edges (a, b, shared): a text and the least one with a common first shingle; shared counts such shingles.
+def _stars(marked: DataFrame, counts: np.ndarray) -> DataFrame:
+    """Edges (a, b): a star's name and a text in it. Texts with a common first shingle have a star in common.
 
-    Pairs go to buckets as packed arrays. A batch sends a shingle once, with the least of its texts, and the edges
-    to the others, so a hot shingle never brings more rows to its bucket than there are batches.
+    A star is named for the least of its texts, which is no edge. Pairs go to buckets as packed arrays. A shingle that
+    may occur over HOT times is not gathered: it makes a star of its own, of its own name.
     """
     total = marked.agg(F.sum(F.octet_length("first"))).first()[0] or 0
     buckets = max(1, -(-total // (8 * BUCKET)))
+    hot = np.packbits(counts > HOT)
+    shared = marked.sparkSession.sparkContext.broadcast((hot, len(counts))) if hot.any() else None
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             first = batch.column(1).to_pylist()
             sig = np.frombuffer(b"".join(first), _WORDS)
             ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(f) // 8 for f in first])
-            sig, ids, a, b = _starred(sig, ids)
-            a, b, n = _summed(a, b, np.ones(len(a), np.int64))
             at = ((sig >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+            if shared:
+                bits, size = shared.value
+                often = np.unpackbits(bits)[(sig % np.uint64(size)).astype(np.int64)].astype(bool)
+                at[often] = -1 - ids[often] % buckets
             order = np.argsort(at, kind="stable")
-            sig, ids, bounds = sig[order], ids[order], np.searchsorted(at[order], np.arange(buckets + 1))
-            own = np.searchsorted(np.sort(a % buckets), np.arange(buckets + 1))
-            order = np.argsort(a % buckets, kind="stable")
-            a, b, n = a[order], b[order], n[order]
-            used = np.flatnonzero((np.diff(bounds) > 0) | (np.diff(own) > 0)).tolist()
-            pack = lambda x, at: [x[at[k] : at[k + 1]].tobytes() for k in used]
-            columns = [pack(sig, bounds), pack(ids, bounds), pack(a, own), pack(b, own), pack(n, own)]
-            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), *(pa.array(c, pa.binary()) for c in columns)], ["bucket", "sig", "ids", "a", "b", "n"])
+            sig, ids, at = sig[order], ids[order], at[order]
+            used, bounds = np.unique(at, return_index=True)
+            pack = lambda x: pa.array([p.tobytes() for p in np.split(x, bounds[1:])][: len(used)], pa.binary())  # noqa: B023, E731
+            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pack(sig), pack(ids)], ["bucket", "sig", "ids"])
 
     def star(table: pa.Table) -> pa.Table:
-        joined = lambda name, kind: np.frombuffer(b"".join(table[name].to_pylist()), kind)
-        _, _, a, b = _starred(joined("sig", _WORDS), joined("ids", "<i8"))
-        n = np.concatenate([joined("n", "<i8"), np.ones(len(a), np.int64)])
-        a, b, n = _summed(np.concatenate([joined("a", "<i8"), a]), np.concatenate([joined("b", "<i8"), b]), n)
+        sig, ids = (np.frombuffer(b"".join(table[c].to_pylist()), t) for c, t in (("sig", _WORDS), ("ids", "<i8")))
+        a, b = _starred(sig, ids) if table["bucket"][0].as_py() >= 0 else _distinct(sig.view("<i8"), ids)
         trim()
-        return pa.table({"a": a, "b": b, "shared": n})
+        return pa.table({"a": a, "b": b})
 
-    dealt = marked.select("id", "first").mapInArrow(trimmed(deal), "bucket long, sig binary, ids binary, a binary, b binary, n binary")
-    found = dealt.groupBy("bucket").applyInArrow(star, "a long, b long, shared long")
-    return found.groupBy("a", "b").agg(F.sum("shared").alias("shared"))
+    dealt = marked.select("id", "first").mapInArrow(trimmed(deal), "bucket long, sig binary, ids binary")
+    return dealt.groupBy("bucket").applyInArrow(star, "a long, b long").distinct()
 
 
 def close(n: np.ndarray, sketches: list[np.ndarray], folded: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
@@ -216,70 +224,69 @@ def _unpacked(cells: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
     return sketches, np.stack([x.reshape(-1, CELLS).sum(0) for x in sketches])
 
 
-def _possible(pairs: DataFrame) -> DataFrame:
-    """(a, b), keys, of the rows (a, an, ac, b, bn, bc) that sizes and sketches let pass."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                n = np.stack([batch.column(k).to_numpy() for k in (1, 4)], 1)
-                kept = []
-                for r, cells in enumerate(zip(batch.column(2).to_pylist(), batch.column(5).to_pylist(), strict=True)):
-                    if 9 * abs(n[r, 0] - n[r, 1]) <= n[r].sum() and close(n[r], *_unpacked(list(cells)), 0, np.array([1]))[0]:
-                        kept.append(r)
-                yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(kept, pa.int64())) for k in (0, 3)], ["a", "b"])
-
-    return pairs.select("a", "an", "ac", "b", "bn", "bc").mapInArrow(trimmed(run), "a binary, b binary")
-
-
-def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each first shingle of id, n, root, first."""
-    for batch in batches:
-        for s in range(0, batch.num_rows, 1000):
-            part = batch.slice(s, 1000)
-            first = part.column(3).to_pylist()
-            at = np.repeat(np.arange(len(first)), [len(f) // 8 for f in first])
-            sig = np.frombuffer(b"".join(first), "<i8")
-            yield pa.RecordBatch.from_arrays([pa.array(sig), *(part.column(k).take(pa.array(at)) for k in range(3))], ["sig", "id", "n", "root"])
-
+def spanning(root: np.ndarray, near: Callable[[int, np.ndarray], np.ndarray]) -> tuple[list[int], list[int]]:
+    """Edges (indexes) of a spanning forest of the links that `near` tells; points of equal root are linked already.
 
-def _across(members: DataFrame) -> DataFrame:
-    """(a, b), a < b: ids of unlike roots that share a first shingle and whose sizes allow an index of 4/5.
-
-    Only shingles that two roots hold are looked at. Their rows are gathered by many shingles a task; a shingle of
-    over BLOCK rows is cut into blocks that meet in pairs, a task each, so no task grows with a hot shingle.
+    Each point looks once at those not reached yet.
+    """
+    left, a, b = np.arange(len(root)), [], []
+    while len(left):
+        front, left = [int(left[0])], left[1:]
+        while front and len(left):
+            i = front.pop()
+            same = root[left] == root[i]
+            new = near(i, left)
+            new[same] = False
+            a += [i] * int(new.sum())
+            b += left[new].tolist()
+            front += left[new | same].tolist()
+            left = left[~(new | same)]
+    return a, b
+
+
+def _slices(by: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Bounds of the runs of equal values."""
+    starts = np.flatnonzero(np.concatenate([[True], by[1:] != by[:-1]])).tolist()
+    return zip(starts, [*starts[1:], len(by)], strict=True)
+
+
+def _gathered(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """rows (by, id, ...) with g, i, j, which tell where they meet. sizes: by, size (rows), weight (bytes) of each group.
+
+    Many groups share a task. A group over BLOCK rows or WEIGHT bytes is cut into blocks that meet in pairs, a task
+    each, so no task grows with a group and every two of its rows still meet. Both tables are stored ones.
     """
-    spread = members.select("id", "n", "root", "first").mapInArrow(trimmed(_spread), "sig long, id long, n long, root long")
-    mixed = spread.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size")).where("x <> y")
-    mixed = materialise(mixed.select("sig", "size", F.col("size").alias("weight")), "jaccard-mixed")
-    rows = materialise(joined_unevenly(spread, mixed, "sig", "weight"), "jaccard-rows")
-    tasks = max(1, -(-(mixed.where(F.col("size") <= BLOCK).agg(F.sum("size")).first()[0] or 0) // (BLOCK * 64)))
-    zero = F.lit(0).cast("long")
-    small = rows.where(F.col("size") <= BLOCK).select(F.pmod(F.xxhash64("sig"), F.lit(tasks)).alias("g"), (zero - 1).alias("i"), (zero - 1).alias("j"), (zero - 1).alias("part"), "sig", "id", "n", "root")
-    blocks = F.ceil(F.col("size") / BLOCK)
-    big = rows.where(F.col("size") > BLOCK).withColumns({"part": F.pmod(F.xxhash64("id"), blocks), "other": F.explode(F.sequence(zero, blocks - 1))})
-    big = big.select(F.col("sig").alias("g"), F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "sig", "id", "n", "root")
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("weight") / WEIGHT)).cast("long")
+    sizes = sizes.withColumn("blocks", blocks)
+    tasks = max(1, -(-(sizes.where("blocks = 1").agg(F.sum("weight")).first()[0] or 0) // WEIGHT))
+    dealt = joined_unevenly(rows, sizes.select("by", "blocks", "size"), "by", "size")
+    none = F.lit(-1).cast("long")
+    small = dealt.where("blocks = 1").select(F.pmod(F.xxhash64("by"), F.lit(tasks)).alias("g"), none.alias("i"), none.alias("j"), *rows.columns)
+    big = dealt.where("blocks > 1").withColumn("part", F.pmod(F.xxhash64("id"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).where("part <> other")
+    return small.unionByName(big.select(F.col("by").alias("g"), F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), *rows.columns))
+
+
+def _joined_classes(stars: DataFrame, about: DataFrame) -> DataFrame:
+    """Edges (a, b) of classes whose texts share a star and may have an index of 4/5."""
+    places = stars.select(F.col("a").alias("by"), F.col("b").alias("id")).unionByName(stars.select(F.col("a").alias("by"), F.col("a").alias("id")).distinct())
+    members = materialise(places.join(about.select("id", "n", "cells", "class"), "id").select("by", "id", "n", "cells", "class"), "jaccard-members")
+    sizes = members.groupBy("by").agg(F.min("class").alias("x"), F.max("class").alias("y"), F.count("*").alias("size"), F.sum(F.octet_length("cells") + 16).alias("weight"))
+    sizes = materialise(sizes.where("x <> y").select("by", "size", "weight"), "jaccard-sizes")
 
     def meet(table: pa.Table) -> pa.Table:
-        sig, ids, n, root, part = (table[c].to_numpy() for c in ("sig", "id", "n", "root", "part"))
-        order = np.lexsort((ids, sig))
-        sig, ids, n, root, part = (x[order] for x in (sig, ids, n, root, part))
-        i, j = table["i"][0].as_py(), table["j"][0].as_py()
-        starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-        found = [np.empty((2, 0), np.int64)]
-        for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(sig)]):
-            at = np.arange(s, e)
-            mine, others = (at, at) if i == j else (at[part[s:e] == i], at[part[s:e] == j])
-            for k, r in enumerate(mine.tolist()):
-                rest = others[k + 1 :] if i == j else others
-                near = rest[(root[rest] != root[r]) & (9 * np.abs(n[rest] - n[r]) <= n[rest] + n[r])]
-                if len(near):
-                    found.append(np.stack([np.minimum(ids[near], ids[r]), np.maximum(ids[near], ids[r])]))
-        pairs = np.concatenate(found, 1)
-        a, b, _ = _summed(pairs[0], pairs[1], np.ones(pairs.shape[1], np.int64))
-        return pa.table({"a": a, "b": b})
+        table = table.sort_by("by")
+        n, of = table["n"].to_numpy(), table["class"].to_numpy()
+        cells, u, v = table["cells"].to_pylist(), [], []
+        for s, e in _slices(table["by"].to_numpy()):
+            sketches, folded = _unpacked(cells[s:e])
+            a, b = spanning(of[s:e], lambda i, left: close(n[s:e], sketches, folded, i, left))  # noqa: B023
+            u.append(of[s:e][a])
+            v.append(of[s:e][b])
+        trim()
+        u, v = np.concatenate(u), np.concatenate(v)
+        return pa.table(dict(zip("ab", _distinct(np.minimum(u, v), np.maximum(u, v)), strict=True)))
 
-    return small.unionByName(big).groupBy("g", "i", "j").applyInArrow(meet, "a long, b long").distinct()
+    return _gathered(members, sizes).groupBy("g", "i", "j").applyInArrow(meet, "a long, b long")
 
 
 def with_key(docs: DataFrame, name: str = "_key") -> DataFrame:
@@ -292,42 +299,61 @@ def with_key(docs: DataFrame, name: str = "_key") -> DataFrame:
     return docs.withColumn(name, keys("text"))
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, tag: str) -> DataFrame:
-    """The pairs (a, b) of keys whose index is 4/5 or more.
+def _wanted_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """key and text of the documents whose ids are (as far as a filter of fixed size tells) in `wanted`, copies mostly once."""
+    bit = F.col("id").bitwiseAND(F.lit(BITS - 1)) + 1
+    maps = wanted.groupBy(F.bitmap_bucket_number(bit).alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect()
+    told = np.zeros((BITS >> 15, 1 << 12), np.uint8)
+    for r in maps:
+        told[r["at"] - 1] = np.frombuffer(r["bits"], np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(told.ravel())
 
-    Each text is shipped once to its pairs, as text; the sets are made where two meet. A centre of many pairs is
-    dealt out with them.
-    """
-    pairs = materialise(pairs, f"{tag}-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("_key")).groupBy("_key").count()
-    texts = with_key(docs.select("text")).join(wanted.withColumnRenamed("count", "_pairs"), "_key").groupBy("_key").agg(F.min("text").alias("text"), F.max("_pairs").alias("_pairs"))
-    texts = materialise(texts, f"{tag}-texts")
-    total = pairs.count()
-    most = max(1000, total // 200)
-    hot = F.broadcast(texts.where(F.col("_pairs") > most).select("_key", F.ceil(F.col("_pairs") / most).cast("int").alias("_deals")))  # 400 rows at most
-    met = pairs
-    for own, other in (("a", "b"), ("b", "a")):
-        dealt = met.join(hot, F.col(own) == F.col("_key"), "left").withColumn("_deal", F.pmod(F.xxhash64(other), F.coalesce("_deals", F.lit(1)))).drop("_key", "_deals")
-        copies = texts.select("_key", "text").join(hot, "_key", "left").withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_deals", F.lit(1)).cast("long") - 1)))
-        met = dealt.join(copies.select(F.col("_key").alias("_k"), F.col("text").alias(f"t{own}"), "_copy"), (F.col(own) == F.col("_k")) & (F.col("_deal") == F.col("_copy"))).drop("_deal", "_k", "_copy")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one, two = byte_texts(batch.column(2)), byte_texts(batch.column(3))
-            kept = []
-            for s, e in chunks([len(x) + len(y) for x, y in zip(one, two, strict=True)], CHUNK):
-                (g, at), (h, to) = shingle_sets(one[s:e]), shingle_sets(two[s:e])
-                for r in range(e - s):
-                    x, y = g[at[r] : at[r + 1]], h[to[r] : to[r + 1]]
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    if 9 * both >= 4 * (len(x) + len(y)):
-                        kept.append(s + r)
-            kept = pa.array(kept, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(kept), batch.column(1).take(kept)], ["a", "b"])
-
-    found = materialise(met.select("a", "b", "ta", "tb").mapInArrow(trimmed(compare), "a binary, b binary"), f"{tag}-links")
-    dropped(texts)
-    return found
+            texts, seen = byte_texts(batch.column(0)), {}
+            for r, t in enumerate(texts):
+                key = text_key(t)
+                x = _id(key) & BITS - 1
+                if shared.value[x >> 3] >> (x & 7) & 1:
+                    seen.setdefault(key, r)
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), batch.column(0).take(pa.array(list(seen.values()), pa.int64()))], ["key", "text"])
+
+    return docs.select("text").mapInArrow(trimmed(run), "key binary, text string")
+
+
+def _links(families: DataFrame, docs: DataFrame) -> DataFrame:
+    """Edges (a, b), keys, of a spanning forest of the links of index 4/5 or more in each family (by, key, id, n)."""
+    sizes = families.groupBy("by").agg(F.count("*").alias("size"), F.sum(8 * F.col("n")).alias("weight")).where("size > 1")
+    sizes = materialise(sizes, "jaccard-family-sizes")
+    wanted = materialise(joined_unevenly(families, sizes.select("by", "size"), "by", "size").select("by", "key", "id"), "jaccard-wanted")
+    shipped = _wanted_texts(docs, wanted).join(wanted, "key").groupBy("key").agg(F.first("by").alias("by"), F.first("id").alias("id"), F.min("text").alias("text"))
+    shipped = materialise(shipped, "jaccard-shipped")
+
+    def settle(table: pa.Table) -> pa.Table:
+        table = table.sort_by("by")
+        texts, keys = byte_texts(table["text"].combine_chunks()), table["key"].to_pylist()
+        parts = [shingle_sets(texts[s:e]) for s, e in chunks([len(t) for t in texts], CHUNK)]
+        g, n = np.concatenate([p[0] for p in parts]), np.concatenate([np.diff(p[1]) for p in parts])
+        bounds = np.concatenate([[0], np.cumsum(n)])
+        a, b = [], []
+        for s, e in _slices(table["by"].to_numpy()):
+            code, starts, size = np.unique(g[bounds[s] : bounds[e]], return_inverse=True)[1], bounds[s:e] - bounds[s], n[s:e]
+            held = np.zeros(len(code), bool)
+
+            def near(i: int, left: np.ndarray) -> np.ndarray:
+                mine = code[starts[i] : starts[i] + size[i]]  # noqa: B023
+                held[mine] = True  # noqa: B023
+                both = np.add.reduceat(held[code], starts, dtype=np.int64)[left]  # noqa: B023
+                held[mine] = False  # noqa: B023
+                return 9 * both >= 4 * (size[i] + size[left])  # noqa: B023
+
+            i, j = spanning(np.arange(e - s), near)
+            a += [keys[s + k] for k in i]
+            b += [keys[s + k] for k in j]
+        trim()
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    return _gathered(shipped, sizes).groupBy("g", "i", "j").applyInArrow(settle, "a binary, b binary")
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -336,19 +362,18 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
 
 def _near_classes(docs: DataFrame) -> DataFrame:
-    marked = materialise(_marked(docs, _counted(docs)), "jaccard-marked")
-    stars = materialise(_stars(marked), "jaccard-stars")
+    counts = _counted(docs)
+    marked = materialise(_marked(docs, counts), "jaccard-marked")
+    texts = materialise(marked.groupBy("key").agg(*(F.first(c).alias(c) for c in ("id", "n", "fp"))), "jaccard-texts")
+    points = materialise(texts.select("fp").distinct(), "jaccard-points")
+    close = components(links(points, "jaccard-simhash"), "jaccard-simhash").select(F.col("node").alias("fp"), F.col("root").alias("class"))
+    classed = lambda df: df.join(close, "fp", "left").withColumn("class", F.coalesce("class", "fp"))
+
+    stars = materialise(_stars(marked, counts), "jaccard-stars")
     known = stars.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    about = marked.join(known, "id", "left_semi").groupBy("key").agg(*(F.first(c).alias(c) for c in ("id", "n", "cells", "first")))
-    about = materialise(about, "jaccard-about")
+    about = marked.join(known, "id", "left_semi").groupBy("key").agg(*(F.first(c).alias(c) for c in ("id", "n", "cells", "fp")))
+    about = materialise(classed(about), "jaccard-about")
     dropped(marked)
-    side = lambda c: about.select(F.col("id").alias(f"i{c}"), F.col("key").alias(c), F.col("n").alias(f"{c}n"), F.col("cells").alias(f"{c}c"))
-
-    best = materialise(stars.groupBy(F.col("b").alias("ib")).agg(F.max(F.struct("shared", "a"))["a"].alias("ia")), "jaccard-best")
-    found = _linked(_possible(best.join(side("b"), "ib").join(side("a"), "ia")), docs, "jaccard-first")
-    roots = components(found, "jaccard")
-
-    members = about.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.xxhash64(F.coalesce("root", "key")))
-    pairs = _across(members).join(best.select(F.col("ia").alias("a"), F.col("ib").alias("b")), ["a", "b"], "left_anti").withColumnsRenamed({"a": "ia", "b": "ib"})
-    more = _linked(_possible(pairs.join(side("a"), "ia").join(side("b"), "ib")), docs, "jaccard-rest")
-    return roots if more.isEmpty() else components(found.unionByName(more), "jaccard")
+    roots = components(_joined_classes(stars, about), "jaccard-families").select(F.col("node").alias("class"), F.col("root").alias("by"))
+    families = classed(texts).join(roots, "class", "left").select(F.coalesce("by", "class").alias("by"), "key", "id", "n")
+    return components(_links(materialise(families, "jaccard-families"), docs), "jaccard")

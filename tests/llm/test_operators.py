@@ -442,6 +442,64 @@ def test_representatives_by_jaccard(spark, monkeypatch, counters, block, bucket)
     assert simhash.keep_representatives(df.where("false")).count() == 0
 
 
+def _near_copies(r, families, size, length, changes):
+    """Texts of few words, each copied with some words changed: many links, many pairs just under the bound."""
+    texts = []
+    for _ in range(families):
+        words = r.choices(VOCABULARY, k=length)
+        for _ in range(size):
+            changed = list(words)
+            for _ in range(r.randrange(changes + 1)):
+                changed[r.randrange(length)] = r.choice(VOCABULARY)
+            texts.append(" ".join(changed))
+    return texts
+
+
+def test_near_copies_give_no_pairs_to_be_stored(spark, monkeypatch):
+    """A family of 300 texts has 44,850 pairs; no table between the steps may grow like that."""
+    from sievework.llm import jaccard
+
+    texts = _near_copies(random.Random(5), 1, 300, 120, 5)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    made, store = {}, jaccard.materialise
+
+    def counted(table, tag):
+        out = store(table, tag)
+        made[tag] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "materialise", counted)
+    assert sorted(x["doc_id"] for x in simhash.keep_representatives(df).collect()) == _jaccard_kept(texts)
+    assert max(made.values()) < 20 * len(texts), made
+
+
+@pytest.mark.parametrize(("hot", "block", "weight"), [(1, 3, 1 << 12), (5, 50, 1 << 14)])
+def test_hot_shingles_and_large_families_are_settled_whole(spark, monkeypatch, hot, block, weight):
+    from sievework.llm import jaccard
+
+    for name, value in (("HOT", hot), ("BLOCK", block), ("WEIGHT", weight), ("COUNTERS", 1 << 12)):
+        monkeypatch.setattr(jaccard, name, value)
+    texts = _near_copies(random.Random(6), 6, 25, 60, 3) + [PASSAGE] * 5 + ["", None, "one", "ONE"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    assert sorted(x["doc_id"] for x in simhash.keep_representatives(df).collect()) == _jaccard_kept(texts)
+
+
+def test_near_duplicate_stage_goes_by_fingerprints(spark, monkeypatch):
+    """Every text's SimHash of five-word shingles goes through the covering, and what it links is one class."""
+    from sievework.llm import jaccard
+
+    texts = _near_copies(random.Random(7), 4, 12, 150, 2)
+    sets = [np.unique(jaccard.shingles([t.encode()])[0]) for t in texts]
+    want = [sum(1 << b for b in range(64) if 2 * sum(int(h) >> b & 1 for h in s) > len(s)) for s in sets]
+    bit = lambda x: int.from_bytes(np.packbits(np.unpackbits(np.array([x], "<u8").view(np.uint8), bitorder="little").reshape(8, 8)[:, ::-1].ravel()).tobytes(), "little", signed=True)
+    assert [jaccard.simhash(s) for s in sets] == [bit(x) for x in want]
+    seen, links = [], jaccard.links
+    monkeypatch.setattr(jaccard, "links", lambda points, tag: (seen.append(sorted(r["fp"] for r in points.collect())), links(points, tag))[1])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(x["doc_id"] for x in simhash.keep_representatives(df).collect()) == _jaccard_kept(texts)
+    assert seen == [sorted({jaccard.simhash(s) for s in sets})]
+
+
 def test_representatives_with_shared_doc_ids(spark):
     """Unlike texts of one doc_id both stay; the one that repeats an earlier document goes."""
     a, b = PASSAGE, "alpha beta gamma delta epsilon zeta eta"
