@@ -18,10 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.shared import byte_texts, chunks
+from sievework.llm.shared import byte_texts, chunks, trimmed
 
 BLOCK = 576
-CHUNK = 4 << 20
+#: Bytes of payload that are worked on at once; the files of a chunk and their samples take some forty times that.
+CHUNK = 1 << 20
 SEGMENT = BLOCK * 1820
 
 _STEPS = np.array(
@@ -236,7 +237,7 @@ def stored_media(docs: DataFrame) -> DataFrame:
     Bytes 255 fill the payload up to a positive multiple of 576. A null text counts as empty, a null doc_id stays;
     repeated rows each give a row; an empty table gives none; other columns are not read.
     """
-    return docs.select("doc_id", "text").mapInArrow(_store, STORED)
+    return docs.select("doc_id", "text").mapInArrow(trimmed(_store), STORED)
 
 
 DIGEST = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, pcm_bytes long, pcm_sha256 string"
@@ -260,6 +261,7 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def media_digest(docs: DataFrame) -> DataFrame:
     """`stored_media`, read back from its bytes and described: the payload, the stored files and how they sound.
 
-    Equal texts give equal values. One pass, no shuffle.
+    Equal texts give equal values. One pass, no shuffle: a worker stores a chunk's files and reads them back before
+    it goes on, so the files of ten thousand texts never wait in one batch.
     """
-    return stored_media(docs).mapInArrow(_digest, DIGEST)
+    return docs.select("doc_id", "text").mapInArrow(trimmed(lambda batches: _digest(_store(batches))), DIGEST)

@@ -106,6 +106,13 @@ def test_media(docs, empty):
         assert bytes(audio.wav_data(bytes(r["media"]))[1])[: r["n_bytes"]] == TEXTS[i].encode() and bytes(r["pcm"]) == audio.to_pcm(bytes(r["media"]))
 
 
+def test_media_files_do_not_travel_between_workers(docs):
+    """The files, five times their texts, are stored and read back chunk by chunk; the result is that of the stored table."""
+    got = audio.media_digest(docs)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, audio.stored_media(docs).mapInArrow(audio._digest, audio.DIGEST).collect()))
+
+
 def test_companding_tables():
     assert audio.MULAW[[0x00, 0x7F, 0x80, 0xFF]].tolist() == [-32124, 0, 32124, 0]
     assert audio.ALAW[[0x2A, 0xAA, 0x55, 0xD5]].tolist() == [-32256, 32256, -8, 8]
