@@ -23,6 +23,8 @@ from sievework.llm.shared import byte_texts, dropped, joined_unevenly, materiali
 
 RADIUS, SHINGLE, SEED = 4, 4, 42
 BUCKET = 2048
+#: So many edges at most are settled at once in the driver (some 50 MB); more of them step by step in the cluster.
+TOGETHER = 1 << 17
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -123,13 +125,39 @@ def links(points: DataFrame, tag: str = "simhash") -> DataFrame:
     return edges
 
 
+def rooted(table: pa.Table) -> pa.Table:
+    """(node, root) of `components` for all edges (u, v) of a table; u is the greater node.
+
+    Numbers of the nodes in ascending order stand for them: every root takes the least root that its edges reach,
+    until no edge has two.
+    """
+    values = [x for c in ("u", "v") for x in table[c].to_pylist()]
+    nodes = sorted(set(values))
+    number = {x: i for i, x in enumerate(nodes)}
+    u, v = np.fromiter(map(number.__getitem__, values), np.int64, len(values)).reshape(2, -1)
+    root = np.arange(len(nodes))
+    while (u != v).any():
+        np.minimum.at(root, np.maximum(u, v), np.minimum(u, v))
+        while (root[root] != root).any():
+            root = root[root]
+        u, v = root[u], root[v]
+    kind, lower = table.schema.field("u").type, np.flatnonzero(root != np.arange(len(nodes))).tolist()
+    return pa.table({"node": pa.array([nodes[i] for i in lower], kind), "root": pa.array([nodes[i] for i in root[lower].tolist()], kind)})
+
+
 def components(edges: DataFrame, tag: str = "simhash") -> DataFrame:
-    """(node, root): the smallest node of each connected component, for nodes that have edges.
+    """(node, root): the smallest node of each connected component, for its other nodes.
 
-    A step is a large-star and a small-star; it is written out, so lost executors cost no more than a step. Steps
-    go on until nothing changes.
+    Up to TOGETHER edges are settled in the driver: each step below plans several queries, and what their plans and
+    code leave in a driver adds up. Of more edges a step is a large-star and a small-star; it is written out, so lost
+    executors cost no more than a step. Steps go on until nothing changes.
     """
     edges = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{tag}-edges")
+    if edges.count() <= TOGETHER:
+        found = rooted(edges.toArrow())
+        names = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        dropped(edges)
+        return edges.sparkSession.createDataFrame(found, names.schema)
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -406,6 +406,36 @@ def test_every_close_pair_meets_and_full_buckets_too(spark, monkeypatch):
     assert {signed[i]: low[c] for i, c in want.items()} == {s: roots.get(s, s) for s in signed}
 
 
+def test_few_edges_take_few_queries_and_give_the_components_of_steps(spark, monkeypatch):
+    path = [(i, i + 1) for i in range(60)] + [(1000, -7), (-7, 2000), (5, 5)]
+    for kind, name in (("long", int), ("binary", lambda i: f"{i + 7:05}".encode())):
+        df = spark.createDataFrame([(name(a), name(b)) for a, b in path], f"a {kind}, b {kind}")
+        found = {}
+        for most in (1 << 17, 0):
+            monkeypatch.setattr(simhash, "TOGETHER", most)
+            spark.sparkContext.setJobGroup(f"components-{kind}-{most}", "")
+            roots = {_plain(r["node"]): _plain(r["root"]) for r in simhash.components(df).collect()}
+            found[most] = roots, len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"components-{kind}-{most}"))
+        want = {name(i): name(0) for i in range(1, 61)} | {name(1000): name(-7), name(2000): name(-7)}
+        assert found[0][0] == found[1 << 17][0] == want
+        assert found[1 << 17][1] <= 8 < found[0][1]
+        assert simhash.components(df.where("false")).count() == 0
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def _plain(x):
+    return bytes(x) if isinstance(x, bytearray) else x
+
+
+def test_stored_tables_trim_the_driver(spark, monkeypatch):
+    from sievework.operators import store
+
+    assert "Trim native heap" in store.trimmed_driver(spark)
+    seen = []
+    monkeypatch.setattr(store, "trimmed_driver", seen.append)
+    assert store.stored(spark.range(3), "trim").count() == 3 and seen == [spark]
+
+
 def _shingles(text):
     words = WORD.findall((text or "").encode().lower())
     return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
