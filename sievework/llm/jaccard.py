@@ -9,8 +9,8 @@ all documents (a counter shared by several shingles costs time, not pairs). All
 belong to the star of the least of them. In each star the classes that SimHash left apart are joined where sizes and
 a sketch, whose distance never exceeds the sets' symmetric difference, allow an index of 4/5.
 
-Classes joined so are families, and every link lies inside a family. Each text of a family is then shipped there
-once, and the sets themselves decide. Both in stars and in families a spanning forest is looked for, never all
+Classes joined so are families, and every link lies inside a family. The set of each text of a family is then shipped
+there once, and the sets themselves decide; texts, which may be far longer than their sets, are not shipped. Both in stars and in families a spanning forest is looked for, never all
 pairs: what is reached is not looked at again, so a group of n texts gives n - 1 edges at most. Equal word sequences
 count as one text. A shingle is a 64-bit hash of its words.
 """
@@ -299,8 +299,8 @@ def with_key(docs: DataFrame, name: str = "_key") -> DataFrame:
     return docs.withColumn(name, keys("text"))
 
 
-def _wanted_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """key and text of the documents whose ids are (as far as a filter of fixed size tells) in `wanted`, copies mostly once."""
+def _wanted_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """key and shingle set of the documents whose ids are (as far as a filter of fixed size tells) in `wanted`, copies mostly once."""
     bit = F.col("id").bitwiseAND(F.lit(BITS - 1)) + 1
     maps = wanted.groupBy(F.bitmap_bucket_number(bit).alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect()
     told = np.zeros((BITS >> 15, 1 << 12), np.uint8)
@@ -316,9 +316,13 @@ def _wanted_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 x = _id(key) & BITS - 1
                 if shared.value[x >> 3] >> (x & 7) & 1:
                     seen.setdefault(key, r)
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), batch.column(0).take(pa.array(list(seen.values()), pa.int64()))], ["key", "text"])
+            keys, texts = list(seen), [texts[r] for r in seen.values()]
+            for a, b in chunks([len(t) for t in texts], CHUNK):
+                g, bounds = shingle_sets(texts[a:b])
+                sets = [g[s:e].tobytes() for s, e in zip(bounds, bounds[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays([pa.array(keys[a:b], pa.binary()), pa.array(sets, pa.binary())], ["key", "set"])
 
-    return docs.select("text").mapInArrow(trimmed(run), "key binary, text string")
+    return docs.select("text").mapInArrow(trimmed(run), "key binary, set binary")
 
 
 def _links(families: DataFrame, docs: DataFrame) -> DataFrame:
@@ -326,14 +330,13 @@ def _links(families: DataFrame, docs: DataFrame) -> DataFrame:
     sizes = families.groupBy("by").agg(F.count("*").alias("size"), F.sum(8 * F.col("n")).alias("weight")).where("size > 1")
     sizes = materialise(sizes, "jaccard-family-sizes")
     wanted = materialise(joined_unevenly(families, sizes.select("by", "size"), "by", "size").select("by", "key", "id"), "jaccard-wanted")
-    shipped = _wanted_texts(docs, wanted).join(wanted, "key").groupBy("key").agg(F.first("by").alias("by"), F.first("id").alias("id"), F.min("text").alias("text"))
+    shipped = _wanted_sets(docs, wanted).join(wanted, "key").groupBy("key").agg(*(F.first(c).alias(c) for c in ("by", "id", "set")))
     shipped = materialise(shipped, "jaccard-shipped")
 
     def settle(table: pa.Table) -> pa.Table:
         table = table.sort_by("by")
-        texts, keys = byte_texts(table["text"].combine_chunks()), table["key"].to_pylist()
-        parts = [shingle_sets(texts[s:e]) for s, e in chunks([len(t) for t in texts], CHUNK)]
-        g, n = np.concatenate([p[0] for p in parts]), np.concatenate([np.diff(p[1]) for p in parts])
+        sets, keys = table["set"].to_pylist(), table["key"].to_pylist()
+        g, n = np.frombuffer(b"".join(sets), _WORDS), np.array([len(x) // 8 for x in sets], np.int64)
         bounds = np.concatenate([[0], np.cumsum(n)])
         a, b = [], []
         for s, e in _slices(table["by"].to_numpy()):

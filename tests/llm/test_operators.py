@@ -521,6 +521,27 @@ def test_hot_shingles_and_large_families_are_settled_whole(spark, monkeypatch, h
     assert sorted(x["doc_id"] for x in simhash.keep_representatives(df).collect()) == _jaccard_kept(texts)
 
 
+def test_tasks_of_families_gather_no_more_bytes_than_their_weight(spark, monkeypatch):
+    """Texts that repeat a few lines have small sets, by which tasks are dealt; what meets in a task may not be larger."""
+    from sievework.llm import jaccard
+
+    r, most, gathered = random.Random(8), [], jaccard._gathered
+    lines = [" ".join(r.choices(VOCABULARY, k=12)) + "\n" for _ in range(12)]
+    texts = [line * r.randrange(300, 600) + "x " * k for line in lines for k in range(4)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+
+    def measured(rows, sizes):
+        out = gathered(rows, sizes)
+        held = sum((F.octet_length(c) for c, kind in rows.dtypes if kind in ("string", "binary")), F.lit(0))
+        most.append(out.groupBy("g", "i", "j").agg(F.sum(held).alias("held")).agg(F.max("held")).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(jaccard, "_gathered", measured)
+    monkeypatch.setattr(jaccard, "WEIGHT", 1 << 16)
+    assert sorted(x["doc_id"] for x in simhash.keep_representatives(df).collect()) == _jaccard_kept(texts)
+    assert most and max(most) < 4 << 16, most
+
+
 def test_near_duplicate_stage_goes_by_fingerprints(spark, monkeypatch):
     """Every text's SimHash of five-word shingles goes through the covering, and what it links is one class."""
     from sievework.llm import jaccard
