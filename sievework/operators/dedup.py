@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions.similarity import jaccard_floor, similarity
 from sievework.functions.text import normalize_code, normalize_description, token_set
-from sievework.operators.store import joined_unevenly, stored
+from sievework.operators.store import dropped, joined_unevenly, settled, stored
 
 THRESHOLD = 0.95
 
@@ -54,49 +54,99 @@ def exact_survivors(samples: DataFrame) -> DataFrame:
     return samples.join(best.unionByName(keys.where("code_key is null").select("seq")), "seq", "left_semi")
 
 
-def _banded(rows: DataFrame, n: str, floor: float, around: int) -> DataFrame:
-    """A row for each band of set sizes within `around` of its own; sizes in the ratio of the floor lie at most a band apart."""
-    band = F.floor(F.log(F.col(n)) / -math.log(floor)).cast("int")
-    return rows.withColumn("band", F.explode(F.sequence(band - around, band + around)) if around else band)
+def sketched(tokens: Column, threshold: float = THRESHOLD) -> Column:
+    """Struct (own, up, bits) of a token set: what `_text_edges` joins on in place of its tokens.
+
+    Sets whose Jaccard index passes the floor J differ in under (1 - J) / (1 + J) of both sizes' sum. Tokens are dealt
+    by hash into one part more than such sets can differ in, so some part is the same in both, and it holds ten tokens
+    or more on average. `own` has a number for each part as dealt at the level of the set's size, `up` as at the
+    next level; sizes that can pass lie at most a level apart. `bits`: 128 parities, each token flips one.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    floor = jaccard_floor(threshold)
+    step, apart = -math.log(floor), 2 * (1 - floor) / (1 + floor)
+
+    def mixed(x: np.ndarray) -> np.ndarray:
+        for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
+            x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+        return x ^ (x >> np.uint64(33))
+
+    def lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+        return pa.LargeListArray.from_arrays(np.concatenate([[0], ends]), values.view(np.int64)).cast(pa.list_(pa.int64()))
+
+    def run(column: pa.Array) -> pa.Array:
+        sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        values = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        level = np.floor(np.log(np.maximum(sizes, 1)) / step).astype(np.int64)
+        out = []
+        for at in (level, level + 1):
+            parts = np.floor(apart * np.exp(step * (at + 1)) + 1e-6).astype(np.int64) + 1
+            ends = np.cumsum(parts)
+            part = np.arange(parts.sum()) - np.repeat(ends - parts, parts)
+            sums = mixed((np.repeat(at, parts).astype(np.uint64) << np.uint64(32)) + part.astype(np.uint64) + np.uint64(1))
+            np.add.at(sums, (ends - parts)[row] + (values % parts[row].astype(np.uint64)).astype(np.int64), mixed(values))
+            out.append(lists(mixed(sums), ends))
+        bit = mixed(values + np.uint64(1))
+        bits = np.zeros(2 * len(sizes), np.uint64)
+        np.bitwise_xor.at(bits, 2 * row + (bit >> np.uint64(6) & np.uint64(1)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+        return pa.StructArray.from_arrays([*out, lists(bits, np.arange(2, 2 * len(sizes) + 2, 2))], names=["own", "up", "bits"])
+
+    # Annotated with the module's types, which are strings here; Spark needs the types themselves.
+    run.__annotations__ = {"column": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, "struct<own: array<long>, up: array<long>, bits: array<long>>")(F.transform(tokens, lambda t: F.xxhash64(t)))
+
+
+def _same_text() -> Column:
+    return F.unhex(F.sha2(F.concat_ws("\0", "n_code", "n_desc"), 256))
+
+
+def _measures(threshold: float) -> list[Column]:
+    """What stands for a text of `with_keys` in the search for pairs: sizes and sketch."""
+    return [F.size("t_code").alias("n"), F.length("n_code").alias("len"), sketched(F.col("t_code"), threshold).alias("sketch")]
 
 
 def prefix_edges(keyed: DataFrame, threshold: float = THRESHOLD, code_only: bool = False) -> DataFrame:
-    """Pairs i < j above the threshold, by a prefix-filter join on the rarest code tokens.
+    """Pairs i < j above the threshold, by a join on parts of the token sets.
+
+    One representative of each distinct (code, description) carries the join, so a hot text does not square. It is
+    found, and joined, by hash, sizes and sketch; only texts that meet a partner are read for the similarity.
+    """
+    rows = keyed.where("n_code <> ''").select("seq", _same_text().alias("text"), *_measures(threshold))
+    first = rows.groupBy("text").agg(F.min(F.struct("seq", "n", "len", "sketch")).alias("r")).select("r.*").where("n > 0")
+    return _text_edges(stored(first, "dedup-texts"), keyed, threshold, code_only)
+
+
+def _text_edges(reps: DataFrame, keyed: DataFrame, threshold: float, code_only: bool) -> DataFrame:
+    """`prefix_edges` of a stored table of distinct texts (seq, n, len, sketch), whose texts `keyed` has by seq.
 
-    A pair above the threshold has a Jaccard index over (t - 0.2) / 0.8, so it shares one of the rarest
-    |x| - ceil(J |x|) + 1 tokens of either row, its lengths differ by at most the ratio that leaves, and what
-    stands after the shared token in both orders is still enough for the overlap. Rows meet by token and band
-    of set sizes. One representative of each distinct (code, description) is written and carries the join: the
-    normal forms are made once, and a hot text does not square.
+    A pair above the threshold has the same number for some part (`sketched`), at the level of the larger set.
+    Its lengths differ by at most the ratio that leaves, and its parities in no more bits than its sets in tokens.
     """
     floor = jaccard_floor(threshold)
-    reps = keyed.where("n_code <> ''").groupBy("n_code", "n_desc").agg(F.min("seq").alias("seq"))
-    reps = stored(reps.withColumns({"t_code": token_set(F.col("n_code")), "t_desc": token_set(F.col("n_desc"))}).where(F.size("t_code") > 0), "dedup-texts")
-    return _text_edges(reps, threshold, floor, code_only)
-
-
-def _text_edges(reps: DataFrame, threshold: float, floor: float, code_only: bool) -> DataFrame:
-    """`prefix_edges` of a written table of distinct texts: seq, n_code, n_desc, t_code, t_desc."""
-    spread = reps.select("seq", F.size("t_code").alias("n"), F.length("n_code").alias("len"), F.explode("t_code").alias("token"))
-    counts = stored(spread.groupBy("token").count().withColumn("weight", F.col("count")), "dedup-tokens")
-    ranked = joined_unevenly(spread, counts, "token", "weight").groupBy("seq", "n", "len").agg(F.array_sort(F.collect_list(F.struct("count", "token"))).alias("tokens"))
-    prefix = (F.col("n") - F.ceil(F.lit(floor) * F.col("n") - 1e-9) + 1).cast("int")
-    short = ranked.select("seq", "n", "len", F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("pos", "t")).select("seq", "n", "len", "pos", "t.token")
-    short = stored(short, "dedup-prefixes")
-    a, b = _banded(short, "n", floor, 1).alias("a"), _banded(short, "n", floor, 0).alias("b")
+    dealt = lambda name, up: F.transform(f"sketch.{name}", lambda k: F.struct(k.alias("k"), F.lit(up).alias("up")))
+    bits = [F.get("sketch.bits", F.lit(i)).alias(f"b{i}") for i in (0, 1)]
+    spread = reps.select("seq", "n", "len", *bits, F.explode(F.concat(dealt("own", False), dealt("up", True))).alias("p"))
+    spread = spread.select("p.k", "p.up", "seq", "n", "len", "b0", "b1")
+    a, b = spread.alias("a"), spread.alias("b")
     ratio = (threshold - 0.8) / 0.2
     near = (F.least("a.len", "b.len") >= F.greatest("a.len", "b.len") * ratio) & (F.least("a.n", "b.n") >= F.greatest("a.n", "b.n") * floor)
-    rest = F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos"))  # shared tokens at most, if this is the first
-    seen = F.least("a.pos", "b.pos")
-    near = near & ((rest + seen) * (1 + floor) >= (F.col("a.n") + F.col("b.n")) * floor - 1e-9)
-    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.band") == F.col("b.band")) & (F.col("a.seq") < F.col("b.seq")) & near)
+    flips = sum((F.bit_count(F.col(f"a.b{i}").bitwiseXOR(F.col(f"b.b{i}"))) for i in (0, 1)), F.lit(0))
+    near = near & ~(F.col("a.up") & F.col("b.up")) & (flips <= (F.col("a.n") + F.col("b.n")) * ((1 - floor) / (1 + floor)) + 1e-6)
+    pairs = a.join(b, (F.col("a.k") == F.col("b.k")) & (F.col("a.seq") < F.col("b.seq")) & near)
     pairs = stored(pairs.select(F.col("a.seq").alias("i"), F.col("b.seq").alias("j")).distinct(), "dedup-pairs")
-    met = stored(reps.join(pairs.select(F.explode(F.array("i", "j")).alias("seq")).distinct(), "seq", "left_semi"), "dedup-met")
+    names = ["n_code"] if code_only else ["n_code", "n_desc"]
+    met = stored(keyed.select("seq", *names).join(pairs.select(F.explode(F.array("i", "j")).alias("seq")).distinct(), "seq", "left_semi"), "dedup-met")
     left, right = (met.select([F.col(c).alias(f"{side}_{c}") for c in met.columns]) for side in "ij")
     both = pairs.join(left, F.col("i") == F.col("i_seq")).join(right, F.col("j") == F.col("j_seq"))
+    both = both.withColumns({f"{side}_t{n[1:]}": token_set(F.col(f"{side}_{n}")) for side in "ij" for n in names})
     sim = lambda what: similarity(F.col(f"i_n_{what}"), F.col(f"j_n_{what}"), F.col(f"i_t_{what}"), F.col(f"j_t_{what}"))
+    if code_only:
+        return both.select("i", "j", sim("code").alias("code_sim")).where(F.col("code_sim") > threshold)
     edges = both.select("i", "j", sim("desc").alias("desc_sim"), sim("code").alias("code_sim")).where(F.col("code_sim") > threshold)
-    return edges if code_only else edges.where((F.col("desc_sim") > threshold) | (F.col("code_sim") == 1.0))
+    return edges.where((F.col("desc_sim") > threshold) | (F.col("code_sim") == 1.0))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -109,7 +159,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stored(small.union(low.select("u", "m")).distinct(), "dedup-links")
+        old, edges = edges, stored(small.union(low.select("u", "m")).distinct(), "dedup-links")
+        dropped(old)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -203,18 +254,18 @@ def _classes_removed(rows: DataFrame) -> DataFrame:
 def greedy_removed(samples: DataFrame, priorities: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Every removed row, what it lost to, and why; desc_sim is null where only the codes were compared (equal texts: 1).
 
-    Normal forms are made once and written with the keys. Links and components are found between groups of
-    equal normal forms. A component that is one exact class is settled by joins; where near links tie texts
+    Hashes, sizes and sketches of the normal forms are written, the texts only where two may be near. Links and
+    components are found between groups of equal normal forms. A component that is one exact class is settled by joins; where near links tie texts
     together the rule goes row by row (a row that loses later may have removed others before), so such a
     component's rows meet in one task, as a few numbers each; texts stay behind.
     """
-    keyed = with_priority(with_keys(samples), priorities).where("code_key is not null")
-    text = F.unhex(F.sha2(F.concat_ws("\0", "n_code", "n_desc"), 256))
-    keyed = stored(keyed.select("seq", F.col("priority").cast("int").alias("priority"), "code_key", text.alias("text"), "n_code", "n_desc"), "dedup-keyed")
+    texts = with_keys(samples).where("code_key is not null")
+    measured = with_priority(texts.select("seq", "source", "code_key", _same_text().alias("text"), *_measures(threshold)), priorities)
+    measured = stored(measured.withColumn("priority", F.col("priority").cast("int")).drop("source"), "dedup-keyed")
+    keyed = measured.select("seq", "priority", "code_key", "text")
     groups = stored(keyed.groupBy("text", "code_key").agg(F.min("seq").alias("gid"), F.count("*").alias("rows")), "dedup-groups")
-    reps = keyed.join(groups.select(F.col("gid").alias("seq")), "seq", "left_semi").select("seq", "n_code", "n_desc")
-    reps = stored(reps.withColumns({"t_code": token_set(F.col("n_code")), "t_desc": token_set(F.col("n_desc"))}).where(F.size("t_code") > 0), "dedup-texts")
-    near = stored(_text_edges(reps, threshold, jaccard_floor(threshold), False), "dedup-near")
+    reps = measured.where("n > 0").select("seq", "n", "len", "sketch").join(groups.select(F.col("gid").alias("seq")), "seq", "left_semi")
+    near = settled(samples.sparkSession, lambda: _text_edges(stored(reps, "dedup-texts"), texts, threshold, False), "dedup-near")
 
     # Classes that a near link touches, with all their groups; their components are told apart by the links.
     ends = near.where("code_sim < 1").select(F.explode(F.array("i", "j")).alias("gid")).distinct()

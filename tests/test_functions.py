@@ -442,3 +442,65 @@ def test_code_of_over_a_million_characters_is_parsed():
     assert len(code) > 1_000_000 and pycode.facts(code)["scene_classes"] == ["Long"] and pycode.facts(code)["ok"]
     assert [s["name"] for s in pycode.scene_sources(code)] == ["Long"]
     assert pycode.facts("(" * 100_000)["ok"] is False
+
+
+def stored_tables(monkeypatch):
+    """What the de-duplication stores from now on: (tag, columns, rows)."""
+    seen, plain = [], dedup.stored
+
+    def noted(df, tag):
+        out = plain(df, tag)
+        seen.append((tag, out.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(dedup, "stored", noted)
+    return seen
+
+
+def test_texts_that_share_a_rare_word_alone_are_no_candidates(spark, monkeypatch):
+    import random
+
+    draw, pool = random.Random(4), [f"w{i}" for i in range(150)]
+    texts = [" ".join(draw.sample(pool, 90) + ["rare"] * (i % 2)) for i in range(80)]
+    texts.append(texts[1].replace("rare", "rarer"))  # 90 of 92 words: 0.98
+    seen = stored_tables(monkeypatch)
+    rows = spark.createDataFrame([(i, x, x, "a") for i, x in enumerate(texts)], "seq long, description string, code string, source string")
+    assert [(r["i"], r["j"]) for r in dedup.prefix_edges(dedup.with_keys(rows), code_only=True).collect()] == [(1, 80)]
+    assert [n for tag, _, n in seen if tag == "dedup-pairs"] == [1]
+
+
+def test_near_pairs_of_all_sizes_are_found(spark):
+    import random
+
+    draw, texts = random.Random(5), []
+    for n in [*range(1, 60, 3), 100, 137, 250, 400, 1500]:
+        words = [f"{n}w{i}" for i in range(n)]
+        texts.append(words)
+        for share in (0.01, 0.03, 0.05, 0.06):
+            k = round(n * share)
+            texts.append([w for w in words if w not in draw.sample(words, k // 2)] + [f"{n}x{i}" for i in range(k - k // 2)])
+            texts.append(words[: n - k])
+            texts.append(words + [f"{n}y{i}" for i in range(k)])
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    df = spark.createDataFrame([(i, x, x, "a") for i, x in rows], "seq long, description string, code string, source string")
+    first = {}
+    for i, x in rows:
+        first.setdefault(x, i)
+    keep, want = sorted(first.values()), set()
+    for a, i in enumerate(keep):
+        for j in keep[a + 1 :]:
+            x, y = set(texts[i]), set(texts[j])
+            r = min(len(rows[i][1]), len(rows[j][1])) / max(len(rows[i][1]), len(rows[j][1]))
+            if r >= 0.5 and len(x & y) / len(x | y) * 0.8 + r * 0.2 > 0.95:
+                want.add((i, j))
+    assert {(r["i"], r["j"]) for r in dedup.prefix_edges(dedup.with_keys(df), code_only=True).collect()} == want and len(want) > 100
+
+
+def test_greedy_stores_no_texts_but_of_near_pairs(spark, monkeypatch):
+    seen = stored_tables(monkeypatch)
+    texts = ["a b c d", "a b c d", "e f g h", "i j k l m"]
+    rows = spark.createDataFrame([(i, x, x, "s") for i, x in enumerate(texts)], "seq long, description string, code string, source string")
+    removed = dedup.greedy_removed(rows, spark.createDataFrame([("s", 1)], "source_id string, priority int"))
+    assert [(r["seq"], r["kept_seq"]) for r in removed.collect()] == [(1, 0)]
+    wide = {"n_code", "n_desc", "t_code", "t_desc"}
+    assert [(tag, n) for tag, columns, n in seen if wide & set(columns) and n] == []
