@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.functions.text import augment_prompt, ensure_scene
-from sievework.operators.store import positioned
+from sievework.operators.store import dropped, positioned, stored
 
 SYSTEM = "You write Manim Community scenes that run as they are. Answer with one fenced block of Python."
 
@@ -87,12 +87,19 @@ def keep_listed(samples: DataFrame, listed: DataFrame, key: str = "seq") -> Data
 
 
 def curriculum(samples: DataFrame, length: Column, levels: int = 4) -> DataFrame:
-    """Add `level` by length, from easy to hard, along approximate quantiles: no global sort."""
-    cuts = samples.select(length.alias("x")).agg(F.percentile_approx("x", [i / levels for i in range(1, levels)], 10_000).alias("c")).first()["c"] or []
+    """Add `level` by length, from easy to hard, along exact quantiles (the least length that has the share up to it).
+
+    Lengths are counted first: only the distinct ones are put in order, not the rows. A null length has no level.
+    """
+    counts = stored(samples.groupBy(length.alias("x")).count().where("x is not null"), "curriculum-counts")
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    upto = counts.select("x", F.sum("count").over(Window.orderBy("x")).alias("u"))
+    cuts = upto.agg(*(F.min(F.when(F.col("u") * levels >= i * total, F.col("x"))).alias(f"c{i}") for i in range(1, levels))).first() if levels > 1 else ()
+    dropped(counts)
     level = F.lit(0)
     for c in cuts:
         level = level + (length > c).cast("int")
-    return samples.withColumn("level", level)
+    return samples.withColumn("level", F.when(length.isNotNull(), level))
 
 
 def weighted_sample(samples: DataFrame, weights: dict[str, float], seed: int = 42) -> DataFrame:

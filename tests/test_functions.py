@@ -504,3 +504,9 @@ def test_greedy_stores_no_texts_but_of_near_pairs(spark, monkeypatch):
     assert [(r["seq"], r["kept_seq"]) for r in removed.collect()] == [(1, 0)]
     wide = {"n_code", "n_desc", "t_code", "t_desc"}
     assert [(tag, n) for tag, columns, n in seen if wide & set(columns) and n] == []
+
+
+def test_curriculum_cuts_are_exact(spark):
+    rows = spark.range(300_001).select(((F.col("id") * 7919) % 300_001).alias("x")).unionByName(spark.createDataFrame([(None,)], "x long"))
+    got = {r["level"]: (r["a"], r["b"]) for r in split.curriculum(rows, F.col("x")).groupBy("level").agg(F.min("x").alias("a"), F.max("x").alias("b")).collect()}
+    assert got == {0: (0, 75_000), 1: (75_001, 150_000), 2: (150_001, 225_000), 3: (225_001, 300_000), None: (None, None)}
