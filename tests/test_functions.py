@@ -510,3 +510,10 @@ def test_curriculum_cuts_are_exact(spark):
     rows = spark.range(300_001).select(((F.col("id") * 7919) % 300_001).alias("x")).unionByName(spark.createDataFrame([(None,)], "x long"))
     got = {r["level"]: (r["a"], r["b"]) for r in split.curriculum(rows, F.col("x")).groupBy("level").agg(F.min("x").alias("a"), F.max("x").alias("b")).collect()}
     assert got == {0: (0, 75_000), 1: (75_001, 150_000), 2: (150_001, 225_000), 3: (225_001, 300_000), None: (None, None)}
+
+
+def test_no_repair_pattern_runs_without_its_words(spark):
+    """Patterns that start with a repeat need the square of a word's length where nothing matches."""
+    assert [r.tag for r in fixes.NATIVE if not r.needs] == []
+    code = "x" * 400_000
+    assert spark.createDataFrame([(code,)], "code string").select(fixes.native_fixes(F.col("code")).alias("f")).first()["f"] == (code, [])
