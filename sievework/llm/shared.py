@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 
+from sievework.functions.batches import trim
 from sievework.operators.store import dropped, joined_unevenly, positioned, scratch, settled, shared_root
 from sievework.operators.store import stored as materialise
 
-__all__ = ["byte_texts", "chunks", "dropped", "joined_unevenly", "materialise", "positioned", "scratch", "settled", "shared_root", "trimmed"]
+__all__ = ["byte_texts", "chunks", "dropped", "joined_unevenly", "materialise", "positioned", "scratch", "settled", "shared_root", "trim", "trimmed"]
 
 
 def byte_texts(column: pa.Array) -> list[bytes]:
@@ -30,15 +30,6 @@ def chunks(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-def trim() -> None:
-    """Give the memory of finished batches back to the system."""
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except (AttributeError, OSError):  # another C library
-        pass
-
-
 def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """`run`, and `trim` at its end: Python workers outlive their tasks, and an executor holds several of them."""
 
