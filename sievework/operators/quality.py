@@ -186,33 +186,39 @@ def render(samples: DataFrame, render_fn, fix: bool = True) -> DataFrame:
 
     Repaired code that renders replaces the code, with the original kept; a callable that raises counts as a failure.
     """
-    import pandas as pd
+    import pyarrow as pa
 
+    from sievework.functions.batches import batches_by_slices
     from sievework.functions.fixes import render_fix, render_fix_labels
 
+    names, text = pa.list_(pa.string()), pa.string()
+    kinds = {"code": text, "rendering_validated": pa.bool_(), "rendering_failed": pa.bool_(), "auto_fixed": pa.bool_(), "fixes_applied": names, "original_code": text, "render_error": text}
+
     def attempt(code: str) -> tuple[bool, str]:
         try:
             return render_fn(code)
         except Exception as e:
             return False, f"{type(e).__name__}: {e}"
 
-    def run(frames):
-        for pdf in frames:
-            rows = []
-            for code in pdf["code"].fillna(""):
-                ok, error = attempt(code)
-                fixed, fixes = code, []
-                if not ok and fix:
-                    again = render_fix(code, error)
-                    if again != code:
-                        good, later = attempt(again)
-                        if good:
-                            ok, error, fixed, fixes = True, None, again, render_fix_labels(code, again)
-                rows.append((fixed, ok, not ok, bool(fixes) or fixed != code, fixes, code if fixed != code else None, None if ok else error))
-            yield pd.concat([pdf.drop(columns="code").reset_index(drop=True), pd.DataFrame(rows, columns=["code", "rendering_validated", "rendering_failed", "auto_fixed", "fixes_applied", "original_code", "render_error"])], axis=1)
+    def run(batch):
+        rows = []
+        for code in batch.column("code").to_pylist():
+            code = code or ""
+            ok, error = attempt(code)
+            fixed, fixes = code, []
+            if not ok and fix:
+                again = render_fix(code, error)
+                if again != code:
+                    good, later = attempt(again)
+                    if good:
+                        ok, error, fixed, fixes = True, None, again, render_fix_labels(code, again)
+            rows.append((fixed, bool(ok), not ok, bool(fixes) or fixed != code, fixes, code if fixed != code else None, None if ok else error))
+        made = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds.values())]
+        others = [n for n in batch.schema.names if n != "code"]
+        return pa.RecordBatch.from_arrays([*(batch.column(n) for n in others), *made], [*others, *kinds])
 
     kept = ", ".join(f"`{n}` {t}" for n, t in samples.dtypes if n != "code")
-    return samples.mapInPandas(run, f"{kept}, code string, rendering_validated boolean, rendering_failed boolean, auto_fixed boolean, fixes_applied array<string>, original_code string, render_error string")
+    return samples.mapInArrow(batches_by_slices(run, "code"), f"{kept}, code string, rendering_validated boolean, rendering_failed boolean, auto_fixed boolean, fixes_applied array<string>, original_code string, render_error string")
 
 
 def looks_like_scene(code: Column) -> Column:

@@ -517,3 +517,25 @@ def test_no_repair_pattern_runs_without_its_words(spark):
     assert [r.tag for r in fixes.NATIVE if not r.needs] == []
     code = "x" * 400_000
     assert spark.createDataFrame([(code,)], "code string").select(fixes.native_fixes(F.col("code")).alias("f")).first()["f"] == (code, [])
+
+
+def test_python_work_takes_a_slice_of_a_batch_at_a_time(spark):
+    import pyarrow as pa
+
+    from sievework.functions.batches import SLICE, by_slices, slices
+
+    texts = ["a" * 300_000, None, "b" * 3 * SLICE, "", *["c" * 400_000] * 9]
+    seen = []
+
+    def shout(values):
+        seen.append(values)
+        return [None if v is None else v.upper() for v in values]
+
+    assert by_slices(shout, pa.string(), pa.array(texts)).to_pylist() == shout(texts)
+    assert [v for values in seen[:-1] for v in values] == texts
+    assert max(sum(len(v or "") for v in values) for values in seen[:-1] if len(values) > 1) <= 2 * SLICE
+    assert list(slices(pa.array([], pa.string()))) == [] and by_slices(shout, pa.string(), pa.array([], pa.string())).to_pylist() == []
+    rows = spark.createDataFrame([(i, f"self.play(ShowCreation(c))\n# {x}") for i, x in enumerate(texts)], "seq long, code string").repartition(1)
+    done = quality.render(rows, lambda code: ("Create(" in code and "Show" not in code, "NameError: ShowCreation")).collect()
+    assert sorted(r["seq"] for r in done) == list(range(len(texts)))
+    assert all(r["rendering_validated"] and r["fixes_applied"] and r["original_code"] == f"self.play(ShowCreation(c))\n# {texts[r['seq']]}" for r in done)
